@@ -7,6 +7,10 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 MONEY = 2   # digits kept for money amounts
+# Money is aggregated as an exact decimal: sums and averages then round
+# HALF_UP on the true value instead of on float summation noise. With
+# precision <= 18 Spark keeps the values long-backed (fast path).
+MONEY_TYPE = "decimal(18,6)"
 RATE = 2    # digits kept for percentages
 
 # User segment thresholds (total events) and lifetime-value
@@ -26,6 +30,20 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def money(x) -> Column:
+    return _c(x).cast(MONEY_TYPE)
+
+
+def money_sum(x, digits: int = MONEY) -> Column:
+    """round(SUM(x), digits) computed exactly in decimal, returned as DOUBLE."""
+    return F.round(F.sum(money(x)), digits).cast("double")
+
+
+def money_avg(x, digits: int = MONEY) -> Column:
+    """round(AVG(x), digits) computed exactly in decimal, returned as DOUBLE."""
+    return F.round(F.avg(money(x)), digits).cast("double")
+
+
 def round_half_up(x, digits: int = 2) -> Column:
     """Spark ``round`` (HALF_UP) applied after first rounding to 10 places,
     so float noise from summation order (395.98999999999995 / 14) cannot
@@ -93,12 +111,12 @@ def users_of(t: str, user: str = "user_sk", col: str = "event_type") -> Column:
 
 def revenue_of(t: str = "purchase", col: str = "event_type", revenue: str = "revenue") -> Column:
     """round(SUM(CASE WHEN type = t THEN revenue ELSE 0 END), 2)."""
-    return round_half_up(F.sum(F.when(is_type(t, col), F.col(revenue)).otherwise(F.lit(0.0))), MONEY)
+    return money_sum(F.when(is_type(t, col), F.col(revenue)).otherwise(F.lit(0.0)))
 
 
 def purchase_revenue(col: str = "event_type", revenue: str = "revenue") -> Column:
     """round(AVG(CASE WHEN purchase THEN revenue END), 2)."""
-    return round_half_up(F.avg(F.when(is_type("purchase", col), F.col(revenue))), MONEY)
+    return money_avg(F.when(is_type("purchase", col), F.col(revenue)))
 
 
 def quantity_of(t: str = "purchase", col: str = "event_type", qty: str = "quantity") -> Column:

@@ -33,9 +33,10 @@ def uuid_key(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.expr("uuid()"))
 
 
-def continue_keys(existing: DataFrame, new_rows: DataFrame, order, name: str) -> DataFrame:
-    """Number ``new_rows`` max(existing.name)+1, +2, ... in ``order``; the
+def continue_keys(existing: DataFrame, new_rows: DataFrame, order, name: str,
+                  existing_key: str | None = None) -> DataFrame:
+    """Number ``new_rows`` max(existing key)+1, +2, ... in ``order``; the
     maximum is a scalar subquery (no driver collect, no join)."""
-    start = existing.select(F.coalesce(F.max(name), F.lit(0)).cast("long")).scalar()
+    start = existing.select(F.coalesce(F.max(existing_key or name), F.lit(0)).cast("long")).scalar()
     indexed = row_index(new_rows, order, "_ck_rn")
     return indexed.withColumn(name, F.col("_ck_rn") + start).drop("_ck_rn")

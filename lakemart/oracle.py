@@ -126,6 +126,17 @@ def rnd(x: str, digits: int = 2) -> str:
     return f"CAST(ROUND(CAST({x} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
 
 
+def msum(x: str, digits: int = 2) -> str:
+    """Exact decimal money sum, rounded, as DOUBLE (matches ``money_sum``)."""
+    return f"CAST(ROUND(SUM(CAST({x} AS DECIMAL(18,6))), {digits}) AS DOUBLE)"
+
+
+def mavg(x: str, digits: int = 2) -> str:
+    """Money average: DuckDB returns the exact decimal sum / count as a
+    DOUBLE; rounding through DECIMAL(38,8) removes that one division error."""
+    return f"CAST(ROUND(CAST(AVG(CAST({x} AS DECIMAL(18,6))) AS DECIMAL(38,8)), {digits}) AS DOUBLE)"
+
+
 def with_star(body: str, extra_ctes: str = "", power: int = POWER, engaged: int = ENGAGED) -> str:
     ctes = star_ctes(power, engaged)
     if extra_ctes:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.columns import (MONEY, round_half_up, count_of, distinct_of, purchase_revenue, quantity_of,
+from ..functions.columns import (MONEY, money, money_avg, money_sum, round_half_up, count_of, distinct_of, purchase_revenue, quantity_of,
                                  revenue_of, safe_rate, users_of)
 from ..operators.windows import sessionize
 
@@ -63,7 +63,7 @@ def gold_daily(fact: DataFrame, dates: DataFrame, users: DataFrame, load_ts=None
         count_of("cart").alias("total_carts"),
         count_of("remove_from_cart").alias("total_removes"),
         count_of("purchase").alias("total_purchases"),
-        round_half_up(F.sum("revenue"), MONEY).alias("total_revenue"),
+        money_sum("revenue").alias("total_revenue"),
         purchase_revenue().alias("avg_order_value"),
         quantity_of().alias("total_quantity_sold"),
         F.count_distinct("product_sk").alias("unique_products_viewed"),
@@ -96,7 +96,7 @@ def gold_user(fact: DataFrame, users: DataFrame, as_of=None, load_ts=None) -> Da
     f = fact.join(cur, "user_sk")
     agg = f.groupBy("user_sk", "user_id", "user_segment").agg(
         *_type_counts(),
-        round_half_up(F.sum("revenue"), MONEY).alias("lifetime_revenue"),
+        money_sum("revenue").alias("lifetime_revenue"),
         purchase_revenue().alias("avg_order_value"),
         quantity_of().alias("total_quantity_purchased"),
         F.min("event_time").alias("first_event_date"),
@@ -193,7 +193,7 @@ def gold_brand(fact: DataFrame, products: DataFrame, categories: DataFrame, load
         *_timing(),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
-        round_half_up(F.avg("price"), 2).alias("avg_price"),
+        money_avg("price").alias("avg_price"),
     )
     everything = Window.partitionBy()
     share = round_half_up(F.col("total_revenue") * 100.0
@@ -286,8 +286,8 @@ def gold_session(fact: DataFrame, dates: DataFrame, gap_s: int = 1800, load_ts=N
         round_half_up(F.avg("unique_products_in_session"), 2).alias("avg_products_per_session"),
         F.sum("had_cart_action").cast("long").alias("sessions_with_cart"),
         F.sum("had_purchase").cast("long").alias("sessions_with_purchase"),
-        round_half_up(F.sum("session_revenue"), 2).alias("total_session_revenue"),
-        round_half_up(F.avg(F.when(F.col("had_purchase") == 1, F.col("session_revenue"))), 2)
+        money_sum("session_revenue").alias("total_session_revenue"),
+        money_avg(F.when(F.col("had_purchase") == 1, F.col("session_revenue")))
          .alias("avg_revenue_per_converting_session"),
         F.sum(F.when(n == 1, 1).otherwise(0)).cast("long").alias("single_event_sessions"),
         F.sum(F.when(n.between(2, 5), 1).otherwise(0)).cast("long").alias("low_engagement_sessions"),
@@ -330,19 +330,19 @@ def gold_cohort(fact: DataFrame, user: str = "user_sk", load_ts=None) -> DataFra
         F.sum("views").cast("long").alias("total_views"),
         F.sum("carts").cast("long").alias("total_carts"),
         F.sum("purchases").cast("long").alias("total_purchases"),
-        round_half_up(F.sum("revenue"), 2).alias("period_revenue"),
+        money_sum("revenue").alias("period_revenue"),
         round_half_up(F.avg("views"), 2).alias("avg_views_per_user"),
-        round_half_up(F.avg("revenue"), 2).alias("avg_revenue_per_user"),
+        money_avg("revenue").alias("avg_revenue_per_user"),
     )
     size = first.groupBy("cohort_month").agg(F.count_distinct(user).alias("total_cohort_users"))
     w = (Window.partitionBy("cohort_month").orderBy("periods_since_cohort")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cum = F.sum("period_revenue").over(w)
+    cum = F.sum(money("period_revenue")).over(w)
     return cm.join(size, "cohort_month").select(
         "cohort_month", "periods_since_cohort", "activity_month", "cohort_size", "active_users",
         "total_views", "total_carts", "total_purchases", "period_revenue", "avg_views_per_user",
         "avg_revenue_per_user", "total_cohort_users",
         safe_rate("active_users", "total_cohort_users").alias("retention_rate"),
-        round_half_up(cum, 2).alias("cumulative_revenue"),
-        round_half_up(cum / F.col("total_cohort_users"), 2).alias("ltv_to_date"),
+        F.round(cum, 2).cast("double").alias("cumulative_revenue"),
+        F.round(cum / F.col("total_cohort_users"), 2).cast("double").alias("ltv_to_date"),
         _ts(load_ts))

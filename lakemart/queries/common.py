@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..oracle import ENGAGED, POWER, rnd  # noqa: F401
+from ..oracle import ENGAGED, POWER, mavg, msum, rnd  # noqa: F401
 from ..plans.star import Star, star_from_tables
 from ..session import configure
 
@@ -37,11 +37,11 @@ def rate(a: str, b: str, scale: str = "100.0", digits: int = 2) -> str:
 
 
 def rev(alias: str = "f") -> str:
-    return f"CAST(ROUND(CAST(SUM(CASE WHEN {alias}.event_type = 'purchase' THEN {alias}.revenue ELSE 0 END) AS DECIMAL(38,10)), 2) AS DOUBLE)"
+    return msum(f"CASE WHEN {alias}.event_type = 'purchase' THEN {alias}.revenue ELSE 0 END")
 
 
 def aov(alias: str = "f") -> str:
-    return f"CAST(ROUND(CAST(AVG(CASE WHEN {alias}.event_type = 'purchase' THEN {alias}.revenue END) AS DECIMAL(38,10)), 2) AS DOUBLE)"
+    return mavg(f"CASE WHEN {alias}.event_type = 'purchase' THEN {alias}.revenue END")
 
 
 def qty(alias: str = "f") -> str:

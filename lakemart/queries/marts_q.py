@@ -7,7 +7,7 @@ from __future__ import annotations
 from .. import oracle
 from ..plans import marts
 from ..registry import register
-from .common import (RATES, TIMING, USER_DISTINCTS, aov, cnt, no_audit, qty, rate, rev, star,
+from .common import (mavg, msum, RATES, TIMING, USER_DISTINCTS, aov, cnt, no_audit, qty, rate, rev, star,
                      type_counts, users)
 
 DAILY_SQL = f"""
@@ -15,7 +15,7 @@ DAILY_SQL = f"""
     d.day_name, d.day_of_week, d.is_weekend,
     COUNT(DISTINCT f.user_sk) AS daily_active_users,
     {type_counts()},
-    CAST(ROUND(CAST(SUM(f.revenue) AS DECIMAL(38,10)), 2) AS DOUBLE) AS total_revenue,
+    {msum('f.revenue')} AS total_revenue,
     {aov()} AS avg_order_value,
     {qty()} AS total_quantity_sold,
     {rate(cnt('cart', alias='f'), cnt('view', alias='f'))} AS view_to_cart_rate,
@@ -36,7 +36,7 @@ DAILY_SQL = f"""
 USER_SQL = f"""
   SELECT u.user_sk, u.user_id, u.user_segment,
     {type_counts()},
-    CAST(ROUND(CAST(SUM(f.revenue) AS DECIMAL(38,10)), 2) AS DOUBLE) AS lifetime_revenue,
+    {msum('f.revenue')} AS lifetime_revenue,
     {aov()} AS avg_order_value,
     {qty()} AS total_quantity_purchased,
     MIN(f.event_time) AS first_event_date,
@@ -111,7 +111,7 @@ BRAND_SQL = f"""
       COUNT(DISTINCT c.category_sk) AS total_categories,
       {USER_DISTINCTS},
       {TIMING},
-      MIN(p.price) AS min_price, MAX(p.price) AS max_price, CAST(ROUND(CAST(AVG(p.price) AS DECIMAL(38,10)), 2) AS DOUBLE) AS avg_price
+      MIN(p.price) AS min_price, MAX(p.price) AS max_price, {mavg('p.price')} AS avg_price
     FROM fact f
     JOIN dim_products p ON f.product_sk = p.product_sk
     JOIN dim_categories c ON f.category_sk = c.category_sk
@@ -177,7 +177,7 @@ session_agg AS (
     {cnt('purchase')} AS purchases_in_session,
     MAX(CASE WHEN event_type = 'cart' THEN 1 ELSE 0 END) AS had_cart_action,
     MAX(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS had_purchase,
-    CAST(ROUND(CAST(SUM(CASE WHEN event_type = 'purchase' THEN revenue ELSE 0 END) AS DECIMAL(38,10)), 2) AS DOUBLE) AS session_revenue,
+    {msum("CASE WHEN event_type = 'purchase' THEN revenue ELSE 0 END")} AS session_revenue,
     COUNT(DISTINCT product_sk) AS unique_products_in_session,
     COUNT(DISTINCT category_sk) AS unique_categories_in_session
   FROM sess_num GROUP BY user_sk, session_number, date_sk
@@ -198,8 +198,8 @@ SESSION_SQL = f"""
     CAST(SUM(sa.had_purchase) AS BIGINT) AS sessions_with_purchase,
     {rate('SUM(sa.had_cart_action)', 'COUNT(*)')} AS pct_sessions_with_cart,
     {rate('SUM(sa.had_purchase)', 'COUNT(*)')} AS pct_sessions_with_purchase,
-    CAST(ROUND(CAST(SUM(sa.session_revenue) AS DECIMAL(38,10)), 2) AS DOUBLE) AS total_session_revenue,
-    CAST(ROUND(CAST(AVG(CASE WHEN sa.had_purchase = 1 THEN sa.session_revenue END) AS DECIMAL(38,10)), 2) AS DOUBLE) AS avg_revenue_per_converting_session,
+    {msum('sa.session_revenue')} AS total_session_revenue,
+    {mavg('CASE WHEN sa.had_purchase = 1 THEN sa.session_revenue END')} AS avg_revenue_per_converting_session,
     CAST(SUM(CASE WHEN sa.total_events_in_session = 1 THEN 1 ELSE 0 END) AS BIGINT) AS single_event_sessions,
     CAST(SUM(CASE WHEN sa.total_events_in_session BETWEEN 2 AND 5 THEN 1 ELSE 0 END) AS BIGINT) AS low_engagement_sessions,
     CAST(SUM(CASE WHEN sa.total_events_in_session BETWEEN 6 AND 15 THEN 1 ELSE 0 END) AS BIGINT) AS medium_engagement_sessions,
@@ -219,7 +219,7 @@ uma AS (
     COUNT(DISTINCT CASE WHEN f.event_type = 'view' THEN f.event_time END) AS views,
     COUNT(DISTINCT CASE WHEN f.event_type = 'cart' THEN f.event_time END) AS carts,
     COUNT(DISTINCT CASE WHEN f.event_type = 'purchase' THEN f.event_time END) AS purchases,
-    CAST(ROUND(CAST(SUM(CASE WHEN f.event_type = 'purchase' THEN f.revenue ELSE 0 END) AS DECIMAL(38,10)), 2) AS DOUBLE) AS revenue
+    {msum("CASE WHEN f.event_type = 'purchase' THEN f.revenue ELSE 0 END")} AS revenue
   FROM {source} f JOIN ufa ON f.{user} = ufa.cu
   GROUP BY f.{user}, ufa.cohort_month, date_trunc('month', f.event_time)
 ),
@@ -229,19 +229,21 @@ cm AS (
     COUNT(DISTINCT cu) AS cohort_size, COUNT(DISTINCT cu) AS active_users,
     CAST(SUM(views) AS BIGINT) AS total_views, CAST(SUM(carts) AS BIGINT) AS total_carts,
     CAST(SUM(purchases) AS BIGINT) AS total_purchases,
-    CAST(ROUND(CAST(SUM(revenue) AS DECIMAL(38,10)), 2) AS DOUBLE) AS period_revenue,
+    {msum('revenue')} AS period_revenue,
     CAST(ROUND(CAST(AVG(views) AS DECIMAL(38,10)), 2) AS DOUBLE) AS avg_views_per_user,
-    CAST(ROUND(CAST(AVG(revenue) AS DECIMAL(38,10)), 2) AS DOUBLE) AS avg_revenue_per_user
+    {mavg('revenue')} AS avg_revenue_per_user
   FROM uma GROUP BY cohort_month, datediff('month', cohort_month, activity_month), activity_month
 ),
 csb AS (SELECT cohort_month, COUNT(DISTINCT cu) AS total_cohort_users FROM ufa GROUP BY cohort_month),
 gold_cohort AS (
   SELECT cm.*, csb.total_cohort_users,
     {rate('cm.active_users', 'csb.total_cohort_users')} AS retention_rate,
-    CAST(ROUND(CAST(SUM(cm.period_revenue) OVER (PARTITION BY cm.cohort_month ORDER BY cm.periods_since_cohort
-          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,10)), 2) AS DOUBLE) AS cumulative_revenue,
-    CAST(ROUND(CAST(SUM(cm.period_revenue) OVER (PARTITION BY cm.cohort_month ORDER BY cm.periods_since_cohort
-          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / csb.total_cohort_users AS DECIMAL(38,10)), 2) AS DOUBLE) AS ltv_to_date
+    CAST(ROUND(SUM(CAST(cm.period_revenue AS DECIMAL(18,6))) OVER (PARTITION BY cm.cohort_month
+          ORDER BY cm.periods_since_cohort ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS DOUBLE)
+      AS cumulative_revenue,
+    CAST(ROUND(CAST(SUM(CAST(cm.period_revenue AS DECIMAL(18,6))) OVER (PARTITION BY cm.cohort_month
+          ORDER BY cm.periods_since_cohort ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+          / csb.total_cohort_users AS DECIMAL(38,8)), 2) AS DOUBLE) AS ltv_to_date
   FROM cm JOIN csb ON cm.cohort_month = csb.cohort_month
 )"""
 

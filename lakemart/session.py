@@ -42,6 +42,9 @@ def get_spark(master: str | None = None, app: str = "lakemart",
     elif not os.environ.get("SPARK_MASTER") and not os.environ.get("PYSPARK_SUBMIT_ARGS"):
         builder = builder.master("local[*]")
     builder = builder.config("spark.ui.enabled", "false")
+    if (master or "local").startswith("local"):
+        # local mode: the driver JVM is the only executor
+        builder = builder.config("spark.driver.memory", os.environ.get("LAKEMART_DRIVER_MEMORY", "12g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**RUNTIME_CONF, **(extra or {})}.items():
