@@ -141,7 +141,7 @@ def month_segment_revenue(fact, dates, users) -> DataFrame:
 
 def product_history_purchases(fact, products) -> DataFrame:
     """Purchases per product price version (GROUP BY ALL of the doc query)."""
-    f = fact.filter(F.col("event_type") == "purchase").join(
+    f = fact.filter(F.col("event_type") == "purchase").select("product_sk").join(
         products.select("product_sk", "product_id", "brand", "price", "effective_from"), "product_sk")
     return f.groupBy("product_id", "brand", "price", "effective_from").agg(
         F.count(F.lit(1)).alias("purchases"))
