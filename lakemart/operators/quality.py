@@ -48,12 +48,15 @@ def range_check(df: DataFrame, cols: list[str], name: str | None = None) -> Data
 
 
 def reconcile(mart_totals: DataFrame, fact_totals: DataFrame, label_mart: str = "Gold Table",
-              label_fact: str = "Fact Table") -> DataFrame:
-    """UNION ALL of two one-row totals with a ``source`` label; plus a
-    ``matches`` flag that is true when every measure agrees."""
+              label_fact: str = "Fact Table", flag: bool = True) -> DataFrame:
+    """UNION ALL of two one-row totals with a ``source`` label; with
+    ``flag``, a ``matches`` column true when every measure agrees (the
+    window spans the two rows only)."""
     a = mart_totals.select(F.lit(label_mart).alias("source"), "*")
     b = fact_totals.select(F.lit(label_fact).alias("source"), "*")
     both = a.unionByName(b)
+    if not flag:
+        return both
     measures = [c for c in mart_totals.columns]
     same = reduce(lambda x, y: x & y,
                   [F.min(c).over(Window.partitionBy()).eqNullSafe(F.max(c).over(Window.partitionBy()))
