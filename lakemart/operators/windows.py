@@ -94,10 +94,12 @@ def share(df: DataFrame, col: str, part=None, name: str | None = None, digits: i
 
 
 def sessionize(df: DataFrame, user: str = "user_sk", ts: str = "event_time",
-               gap_s: int = 1800, bucket_s: int = 3600, out: str = "session_number") -> DataFrame:
+               gap_s: int = 1800, bucket_s: int = 3600, out: str = "session_number",
+               unit: str = "s") -> DataFrame:
     """Number each user's sessions: a new session starts at the user's first
     event and whenever the gap to the previous event exceeds ``gap_s``
-    whole seconds (``unix_timestamp`` differences).
+    (``unit="s"``: whole-second ``unix_timestamp`` differences; ``"us"``:
+    microsecond differences, as ``session_window`` measures them).
 
     Skew-safe form: rows are windowed per (user, time bucket) rather than per
     user, so a user holding a third of all events is spread over many tasks.
@@ -105,7 +107,10 @@ def sessionize(df: DataFrame, user: str = "user_sk", ts: str = "event_time",
     bucket and the count of sessions started before it; a final running sum
     inside the bucket gives the global session number.
     """
-    sec = F.unix_timestamp(F.col(ts))
+    scale = 1 if unit == "s" else 1000000
+    gap_s = gap_s * scale
+    bucket_s = bucket_s * scale
+    sec = F.unix_timestamp(F.col(ts)) if unit == "s" else F.unix_micros(F.col(ts))
     d = df.withColumn("_sz_sec", sec).withColumn("_sz_bkt", F.floor(F.col("_sz_sec") / bucket_s))
     w = Window.partitionBy(user, "_sz_bkt").orderBy(F.col(ts))
     d = d.withColumn("_sz_prev", F.lag("_sz_sec").over(w))

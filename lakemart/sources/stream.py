@@ -26,10 +26,13 @@ def read_event_stream(spark: SparkSession, fmt: str, path: str | None = None,
     return reader.load(path) if path else reader.load()
 
 
-def stream_events_from_bronze(bronze: DataFrame) -> DataFrame:
+def stream_events_from_bronze(bronze: DataFrame, corrupt_mod: int | None = None) -> DataFrame:
     """Encode bronze rows as stream messages: a binary JSON ``value`` with
     the stream event fields (quantity 1 for cart/purchase, revenue = price
-    for purchases), plus a ``key`` of the user id, like a Kafka record."""
+    for purchases), plus a ``key`` of the user id, like a Kafka record.
+
+    ``corrupt_mod`` truncates the message of every event whose id is a
+    multiple of it (malformed JSON, to exercise quarantine routing)."""
     qty = F.when(F.col("event_type").isin("cart", "purchase"), 1).otherwise(0)
     rev = F.when(F.col("event_type") == "purchase", F.col("price") * qty).otherwise(F.lit(0.0))
     payload = F.struct(
@@ -43,7 +46,10 @@ def stream_events_from_bronze(bronze: DataFrame) -> DataFrame:
         qty.cast("int").alias("quantity"),
         rev.alias("revenue"),
     )
+    text = F.to_json(payload)
+    if corrupt_mod:
+        text = F.when(F.col("event_id") % corrupt_mod == 0, F.substring(text, 1, 25)).otherwise(text)
     return bronze.select(
         F.col("user_id").cast("string").cast("binary").alias("key"),
-        F.to_json(payload).cast("binary").alias("value"),
+        text.cast("binary").alias("value"),
     )
