@@ -93,6 +93,24 @@ def share(df: DataFrame, col: str, part=None, name: str | None = None, digits: i
     return df.withColumn(name or f"{col}_share", value)
 
 
+def row_number_by_time(df: DataFrame, part: str, ts: str, tie: str, name: str = "rn",
+                       bucket_s: int = 3600) -> DataFrame:
+    """``row_number() OVER (PARTITION BY part ORDER BY ts, tie)`` without
+    sorting a whole (possibly hot) group in one task: rows are numbered
+    inside (part, time bucket) and shifted by the count of the group's rows
+    in earlier buckets (a small per-bucket summary with a running sum)."""
+    bkt = F.floor(F.unix_micros(F.col(ts)) / (bucket_s * 1000000))
+    d = df.withColumn("_rb_bkt", bkt)
+    local = F.row_number().over(Window.partitionBy(part, "_rb_bkt").orderBy(F.col(ts), F.col(tie)))
+    d = d.withColumn("_rb_local", local)
+    sizes = d.groupBy(part, "_rb_bkt").agg(F.count(F.lit(1)).alias("_rb_n"))
+    wo = Window.partitionBy(part).orderBy("_rb_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(part, "_rb_bkt", F.coalesce(F.sum("_rb_n").over(wo), F.lit(0)).alias("_rb_off"))
+    return (d.join(offsets, [part, "_rb_bkt"])
+             .withColumn(name, (F.col("_rb_local") + F.col("_rb_off")).cast("long"))
+             .drop("_rb_bkt", "_rb_local", "_rb_off"))
+
+
 def sessionize(df: DataFrame, user: str = "user_sk", ts: str = "event_time",
                gap_s: int = 1800, bucket_s: int = 3600, out: str = "session_number",
                unit: str = "s") -> DataFrame:

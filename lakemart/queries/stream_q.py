@@ -137,3 +137,25 @@ def q_stream_bronze_quality(spark, sf):
         F.count_if(good).alias("good_events"),
         F.count_if(good & F.col("data.price").isNull()).alias("null_price"),
         (F.count_if(good) - F.count_distinct(F.when(good, F.col("data.event_id")))).alias("duplicate_event_ids"))
+
+
+@register("schema_contract_check", stream_sql(f"""
+SELECT COUNT(*) AS total_rows,
+       COUNT(*) FILTER (WHERE event_id % {CORRUPT_MOD} <> 0) AS conforming_rows,
+       COUNT(*) FILTER (WHERE event_id % {CORRUPT_MOD} = 0) AS quarantined_rows
+FROM bronze"""))
+def q_schema_contract_check(spark, sf):
+    """Every message (malformed ones included) projected onto the stream
+    bronze contract; rows breaking a NOT NULL column are quarantined."""
+    from ..schemas import STREAM_BRONZE, conform
+    from ..streaming import with_stream_metadata
+    raw = stream_events_from_bronze(star(spark, sf).bronze, corrupt_mod=CORRUPT_MOD)
+    rows = with_stream_metadata(tag_events(raw).select("data.*", F.col("_ts").alias("_t"))
+                                .withColumn("event_time", F.col("_t")).drop("_t"))
+    good, bad = conform(rows, STREAM_BRONZE)
+    g = good.select(F.lit(1).alias("ok"))
+    b = bad.select(F.lit(0).alias("ok"))
+    both = g.unionByName(b)
+    return both.agg(F.count(F.lit(1)).alias("total_rows"),
+                    F.count_if(F.col("ok") == 1).alias("conforming_rows"),
+                    F.count_if(F.col("ok") == 0).alias("quarantined_rows"))
