@@ -148,6 +148,8 @@ def sessionize(df: DataFrame, user: str = "user_sk", ts: str = "event_time",
                    .over(wu.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     j = d.join(summary.select(user, "_sz_bkt", "_sz_first_start", "_sz_offset"), [user, "_sz_bkt"])
     flag = F.when(F.col("_sz_prev").isNull(), F.col("_sz_first_start")).otherwise(F.col("_sz_inner"))
-    running = F.sum(flag).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    # RANGE frame: rows with the same timestamp share one cumulative value,
+    # so the result does not depend on how ties are ordered by either window
+    running = F.sum(flag).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     return (j.withColumn(out, (F.col("_sz_offset") + running).cast("long"))
              .drop("_sz_sec", "_sz_bkt", "_sz_prev", "_sz_inner", "_sz_first_start", "_sz_offset"))

@@ -84,7 +84,7 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, key: str, tracked: list[str]
     (e.g. a denormalized category code). New surrogate keys continue after
     the current maximum (scalar subquery, no driver collect)."""
     carry = carry or []
-    as_of = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
+    as_of = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("date")
     ts = load_ts if load_ts is not None else F.current_timestamp()
     cols = dim.columns
     det = scd2_detect(dim, snapshot, key, tracked, sk)
