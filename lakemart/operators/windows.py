@@ -112,44 +112,32 @@ def row_number_by_time(df: DataFrame, part: str, ts: str, tie: str, name: str =
 
 
 def sessionize(df: DataFrame, user: str = "user_sk", ts: str = "event_time",
-               gap_s: int = 1800, bucket_s: int = 3600, out: str = "session_number",
-               unit: str = "s") -> DataFrame:
+               gap_s: int = 1800, out: str = "session_number", unit: str = "s") -> DataFrame:
     """Number each user's sessions: a new session starts at the user's first
     event and whenever the gap to the previous event exceeds ``gap_s``
     (``unit="s"``: whole-second ``unix_timestamp`` differences; ``"us"``:
     microsecond differences, as ``session_window`` measures them).
 
-    Skew-safe form: rows are windowed per (user, time bucket) rather than per
-    user, so a user holding a third of all events is spread over many tasks.
-    A small per-(user, bucket) summary carries the last time of the previous
-    bucket and the count of sessions started before it; a final running sum
-    inside the bucket gives the global session number.
+    Sort-free and skew-safe: time is cut into buckets of ``gap_s``. Two
+    events in one bucket are less than ``gap_s`` apart, so a session can
+    only start at a bucket's first event. Hence only a per-(user, bucket)
+    min/max aggregate is needed (partial aggregation before the shuffle),
+    a window over each user's buckets (one row per active bucket, however
+    many events a hot user has) decides which buckets open a session and
+    numbers them, and a join on (user, bucket) hands the number to the
+    events.
     """
     scale = 1 if unit == "s" else 1000000
-    gap_s = gap_s * scale
-    bucket_s = bucket_s * scale
-    sec = F.unix_timestamp(F.col(ts)) if unit == "s" else F.unix_micros(F.col(ts))
-    d = df.withColumn("_sz_sec", sec).withColumn("_sz_bkt", F.floor(F.col("_sz_sec") / bucket_s))
-    w = Window.partitionBy(user, "_sz_bkt").orderBy(F.col(ts))
-    d = d.withColumn("_sz_prev", F.lag("_sz_sec").over(w))
-    inner = (F.col("_sz_prev").isNotNull() & (F.col("_sz_sec") - F.col("_sz_prev") > gap_s)).cast("int")
-    d = d.withColumn("_sz_inner", inner)
-    summary = d.groupBy(user, "_sz_bkt").agg(
-        F.min("_sz_sec").alias("_sz_first"), F.max("_sz_sec").alias("_sz_last"),
-        F.sum("_sz_inner").alias("_sz_n_inner"))
+    gap = gap_s * scale
+    t = F.unix_timestamp(F.col(ts)) if unit == "s" else F.unix_micros(F.col(ts))
+    d = df.withColumn("_sz_t", t).withColumn("_sz_bkt", F.floor(F.col("_sz_t") / gap))
+    buckets = d.groupBy(user, "_sz_bkt").agg(F.min("_sz_t").alias("_sz_first"),
+                                             F.max("_sz_t").alias("_sz_last"))
     wu = Window.partitionBy(user).orderBy("_sz_bkt")
     prev_last = F.lag("_sz_last").over(wu)
-    summary = summary.withColumn(
-        "_sz_first_start",
-        F.when(prev_last.isNull() | (F.col("_sz_first") - prev_last > gap_s), 1).otherwise(0))
-    summary = summary.withColumn(
-        "_sz_offset",
-        F.coalesce(F.sum(F.col("_sz_n_inner") + F.col("_sz_first_start"))
-                   .over(wu.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    j = d.join(summary.select(user, "_sz_bkt", "_sz_first_start", "_sz_offset"), [user, "_sz_bkt"])
-    flag = F.when(F.col("_sz_prev").isNull(), F.col("_sz_first_start")).otherwise(F.col("_sz_inner"))
-    # RANGE frame: rows with the same timestamp share one cumulative value,
-    # so the result does not depend on how ties are ordered by either window
-    running = F.sum(flag).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    return (j.withColumn(out, (F.col("_sz_offset") + running).cast("long"))
-             .drop("_sz_sec", "_sz_bkt", "_sz_prev", "_sz_inner", "_sz_first_start", "_sz_offset"))
+    opens = F.when(prev_last.isNull() | (F.col("_sz_first") - prev_last > gap), 1).otherwise(0)
+    numbered = (buckets.withColumn("_sz_open", opens)
+                .withColumn(out, F.sum("_sz_open").over(wu.rowsBetween(Window.unboundedPreceding, 0))
+                            .cast("long"))
+                .select(user, "_sz_bkt", out))
+    return d.join(numbered, [user, "_sz_bkt"]).drop("_sz_t", "_sz_bkt")

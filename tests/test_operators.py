@@ -49,7 +49,7 @@ def test_sessionize_edges(spark):
              base + dt.timedelta(hours=5)]                      # next day, new session
     rows = [(1, i, t) for i, t in enumerate(times)] + [(2, 10, base)]
     df = spark.createDataFrame(rows, "u int, id int, t timestamp")
-    got = {r.id: r.session_number for r in sessionize(df, "u", "t", 1800, bucket_s=600).collect()}
+    got = {r.id: r.session_number for r in sessionize(df, "u", "t", 1800).collect()}
     assert got == {0: 1, 1: 1, 2: 2, 3: 2, 4: 3, 10: 1}
 
 
@@ -62,7 +62,7 @@ def test_sessionize_matches_brute_force_hot_user(spark):
         t = t + dt.timedelta(seconds=rnd.choice([5, 60, 900, 1799, 1800, 1801, 4000]))
         rows.append((0 if i % 3 else rnd.randint(1, 20), i, t))
     df = spark.createDataFrame(rows, "u int, id int, t timestamp")
-    got = sessionize(df, "u", "t", 1800, bucket_s=3600).select("id", F.col("session_number").alias("sn"))
+    got = sessionize(df, "u", "t", 1800).select("id", F.col("session_number").alias("sn"))
     want = _brute_sessions(df, 1800).select("id", F.col("sn").cast("long"))
     assert sorted(got.collect()) == sorted(want.collect())
 
