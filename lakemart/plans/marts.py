@@ -49,14 +49,17 @@ def _timing() -> list:
 
 def gold_daily(fact: DataFrame, dates: DataFrame, users: DataFrame, load_ts=None) -> DataFrame:
     """Daily KPIs: active users, events by type, revenue, AOV, conversion
-    rates, distinct products / categories, active users per segment."""
-    f = (fact.join(F.broadcast(dates.select(*DATE_ATTRS)), fact.date_sk == F.col("date_key"))
-             .join(users.select("user_sk", "user_segment"), "user_sk"))
+    rates, distinct products / categories, active users per segment.
+
+    Aggregated on the narrow ``date_sk`` key (the distinct-aggregate rewrite
+    copies every grouping column per distinct set); the calendar
+    attributes are joined to the ~one-row-per-day result afterwards."""
+    f = fact.join(users.select("user_sk", "user_segment"), "user_sk")
 
     def seg_users(s):
         return F.count_distinct(F.when(F.col("user_segment") == s, F.col("user_sk")))
 
-    agg = f.groupBy(*DATE_ATTRS).agg(
+    agg = f.groupBy("date_sk").agg(
         F.count_distinct("user_sk").alias("daily_active_users"),
         F.count(F.lit(1)).alias("total_events"),
         count_of("view").alias("total_views"),
@@ -73,7 +76,8 @@ def gold_daily(fact: DataFrame, dates: DataFrame, users: DataFrame, load_ts=None
         seg_users("engaged").alias("dau_engaged"),
         seg_users("casual").alias("dau_casual"),
     )
-    return agg.select(
+    cal = F.broadcast(dates.select(*DATE_ATTRS))
+    return agg.join(cal, agg.date_sk == cal.date_key).select(
         *DATE_ATTRS, "daily_active_users", "total_events", "total_views", "total_carts",
         "total_removes", "total_purchases", "total_revenue", "avg_order_value",
         "total_quantity_sold",
@@ -93,8 +97,9 @@ def gold_user(fact: DataFrame, users: DataFrame, as_of=None, load_ts=None) -> Da
     elif isinstance(as_of, str):
         as_of = F.lit(as_of).cast("date")
     cur = users.filter(F.col("is_current_version")).select("user_sk", "user_id", "user_segment")
-    f = fact.join(cur, "user_sk")
-    agg = f.groupBy("user_sk", "user_id", "user_segment").agg(
+    # aggregate on user_sk, then keep current versions (join after: the
+    # user dimension meets one row per user instead of every event)
+    agg = fact.groupBy("user_sk").agg(
         *_type_counts(),
         money_sum("revenue").alias("lifetime_revenue"),
         purchase_revenue().alias("avg_order_value"),
@@ -106,7 +111,7 @@ def gold_user(fact: DataFrame, users: DataFrame, as_of=None, load_ts=None) -> Da
         F.count_distinct("product_sk").alias("unique_products_viewed"),
         distinct_of("purchase", "product_sk").alias("unique_products_purchased"),
         F.count_distinct("category_sk").alias("unique_categories_browsed"),
-    )
+    ).join(cur, "user_sk")
     return agg.select(
         "user_sk", "user_id", "user_segment", "total_events", "total_views", "total_carts",
         "total_removes", "total_purchases", "lifetime_revenue", "avg_order_value",
@@ -126,19 +131,24 @@ def gold_product(fact: DataFrame, products: DataFrame, categories: DataFrame, lo
     p = products.filter(F.col("is_current_version")).select("product_sk", "product_id", "brand", "price")
     c = categories.select("category_sk", F.col("category_full_path").alias("category_code"),
                           "category_l1", "category_l2")
-    f = fact.join(p, "product_sk").join(c, "category_sk")
-    agg = f.groupBy("product_sk", "product_id", "brand", "category_code", "category_l1",
-                    "category_l2").agg(
+    # aggregate on the fact's keys (category_sk follows from the product
+    # version), then attach the product / category attributes
+    per = fact.groupBy("product_sk", "category_sk").agg(
         *_type_counts(),
         revenue_of().alias("total_revenue"),
         purchase_revenue().alias("avg_revenue_per_purchase"),
         quantity_of().alias("total_quantity_sold"),
         *_user_distincts(),
         *_timing(),
-        F.max("price").alias("current_price"),
-        F.min("price").alias("min_price_seen"),
-        F.max("price").alias("max_price_seen"),
     )
+    agg = per.join(p, "product_sk").join(c, "category_sk").select(
+        "product_sk", "product_id", "brand", "category_code", "category_l1", "category_l2",
+        "total_events", "total_views", "total_carts", "total_removes", "total_purchases",
+        "total_revenue", "avg_revenue_per_purchase", "total_quantity_sold",
+        "unique_users_interacted", "unique_viewers", "unique_carts", "unique_purchasers",
+        "first_event_date", "last_event_date", "days_active",
+        F.col("price").alias("current_price"), F.col("price").alias("min_price_seen"),
+        F.col("price").alias("max_price_seen"))
     w = Window.partitionBy("category_l1")
     return agg.select(
         "*", *_rates(),
@@ -152,8 +162,7 @@ def gold_category(fact: DataFrame, categories: DataFrame, load_ts=None) -> DataF
     inside the top-level category and dense ranks."""
     keys = ["category_sk", "category_l1", "category_l2", "category_l3", "category_full_path",
             "category_depth"]
-    f = fact.join(categories.select(*keys), "category_sk")
-    agg = f.groupBy(*keys).agg(
+    per = fact.groupBy("category_sk").agg(
         *_type_counts(),
         revenue_of().alias("total_revenue"),
         purchase_revenue().alias("avg_revenue_per_purchase"),
@@ -163,6 +172,8 @@ def gold_category(fact: DataFrame, categories: DataFrame, load_ts=None) -> DataF
         *_user_distincts(),
         *_timing(),
     )
+    agg = per.join(categories.select(*keys), "category_sk").select(*keys, *[c for c in per.columns
+                                                                             if c != "category_sk"])
     l1 = Window.partitionBy("category_l1")
     share = round_half_up(F.col("total_revenue") * 100.0
                     / F.nullif(F.sum("total_revenue").over(l1), F.lit(0.0)), 2)
@@ -213,9 +224,8 @@ def gold_funnel(fact: DataFrame, products: DataFrame, categories: DataFrame, dat
     p = products.filter(F.col("is_current_version")).select("product_sk")
     c = categories.select("category_sk", "category_l1", "category_l2")
     d = F.broadcast(dates.select("date_key", "full_date"))
-    f = (fact.join(p, "product_sk").join(c, "category_sk")
-             .join(d, fact.date_sk == F.col("date_key")))
-    agg = f.groupBy("date_sk", "full_date", "category_l1", "category_l2").agg(
+    f = fact.join(p, "product_sk").join(c, "category_sk")
+    agg = f.groupBy("date_sk", "category_l1", "category_l2").agg(
         users_of("view").alias("users_viewed"),
         users_of("cart").alias("users_carted"),
         users_of("purchase").alias("users_purchased"),
@@ -226,6 +236,8 @@ def gold_funnel(fact: DataFrame, products: DataFrame, categories: DataFrame, dat
         revenue_of().alias("total_revenue"),
         F.count_distinct("product_sk").alias("unique_products_in_funnel"),
     )
+    agg = agg.join(d, agg.date_sk == d.date_key).select("date_sk", "full_date", *[
+        x for x in agg.columns if x != "date_sk"])
     uv, uc, up = F.col("users_viewed"), F.col("users_carted"), F.col("users_purchased")
     return agg.select(
         "*",
