@@ -19,7 +19,7 @@ TOD_SQL = ("CASE WHEN h < 5 THEN 'night' WHEN h < 12 THEN 'morning' WHEN h < 17
 SELECT event_id, event_time, event_type, user_sk, user_session, product_sk, h AS hour_of_day,
        dow AS day_of_week, dow IN (6, 7) AS is_weekend,
        h >= 9 AND h < 17 AND dow NOT IN (6, 7) AS is_business_hours,
-       {TOD_SQL.replace('h', 'h')} AS time_of_day,
+       {TOD_SQL} AS time_of_day,
        row_number() OVER (PARTITION BY user_session ORDER BY event_time, event_id) AS event_number_in_session,
        row_number() OVER (PARTITION BY user_session ORDER BY event_time, event_id) = 1 AS is_first_event_in_session
 FROM (SELECT *, CAST(hour(event_time) AS INTEGER) AS h, CAST(isodow(event_time) AS INTEGER) AS dow FROM fact)"""))
@@ -38,7 +38,7 @@ SELECT *, CASE WHEN total_events > 1 THEN {rnd('session_duration_seconds / (tota
 FROM (
   SELECT user_session AS session_id, MIN(user_sk) AS user_sk, MIN(event_date) AS session_date,
     MIN(event_time) AS session_start_time, MAX(event_time) AS session_end_time,
-    epoch(date_trunc('second', MAX(event_time))) - epoch(date_trunc('second', MIN(event_time)))
+    CAST(epoch(date_trunc('second', MAX(event_time))) - epoch(date_trunc('second', MIN(event_time))) AS BIGINT)
       AS session_duration_seconds,
     COUNT(*) AS total_events,
     CAST(SUM(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS total_views,
@@ -64,8 +64,8 @@ def q_category_parents(spark, sf):
 
 
 @register("user_lifecycle_segment", oracle.with_star(f"""
-SELECT *, datediff('day', first_event_date, d) AS days_since_first,
-       datediff('day', last_event_date, d) AS days_since_last,
+SELECT * EXCLUDE (d), CAST(datediff('day', first_event_date, d) AS INTEGER) AS days_since_first,
+       CAST(datediff('day', last_event_date, d) AS INTEGER) AS days_since_last,
        CASE WHEN datediff('day', last_event_date, d) > {X.CHURN_DAYS} THEN 'churned'
             WHEN datediff('day', last_event_date, d) > {X.AT_RISK_DAYS} THEN 'at_risk'
             WHEN datediff('day', first_event_date, d) < {X.NEW_MAX_DAYS}
@@ -78,7 +78,7 @@ FROM (SELECT user_sk, MIN(event_date) AS first_event_date, MAX(event_date) AS la
              {msum('revenue')} AS total_lifetime_revenue,
              CAST(SUM(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS total_lifetime_purchases,
              (SELECT MAX(event_date) FROM fact) AS d
-      FROM fact GROUP BY user_sk)""").replace("SELECT *, datediff", "SELECT * EXCLUDE (d), datediff"))
+      FROM fact GROUP BY user_sk)"""))
 def q_user_lifecycle(spark, sf):
     return X.user_lifecycle(star(spark, sf).fact)
 
@@ -113,7 +113,7 @@ SELECT a.user_sk, recency_days, events_last_7d, events_last_14d, events_last_30d
   {rate('events_last_7d', 'events_prior_7d', '1.0')} AS trend_events_7d_vs_prior_7d,
   h.favorite_shopping_hour, dw.preferred_day_of_week
 FROM (
-  SELECT user_sk, datediff('day', MAX(event_date), (SELECT MAX(event_date) FROM fact)) AS recency_days,
+  SELECT user_sk, CAST(datediff('day', MAX(event_date), (SELECT MAX(event_date) FROM fact)) AS INTEGER) AS recency_days,
     CAST(SUM(CASE WHEN {_age(0, 7)} THEN 1 ELSE 0 END) AS BIGINT) AS events_last_7d,
     CAST(SUM(CASE WHEN {_age(0, 14)} THEN 1 ELSE 0 END) AS BIGINT) AS events_last_14d,
     CAST(SUM(CASE WHEN {_age(0, 30)} THEN 1 ELSE 0 END) AS BIGINT) AS events_last_30d,
@@ -160,10 +160,10 @@ FROM (
     {mavg("CASE WHEN event_type = 'purchase' THEN price_at_event END")} AS avg_price_sold_at,
     MIN(price_at_event) AS min_price_seen, MAX(price_at_event) AS max_price_seen,
     first(price_at_event ORDER BY event_time DESC, event_id DESC) AS last_known_price,
-    datediff('day', MAX(CASE WHEN event_type = 'view' THEN event_date END), (SELECT MAX(event_date) FROM fact))
-      AS days_since_last_view,
-    datediff('day', MAX(CASE WHEN event_type = 'purchase' THEN event_date END), (SELECT MAX(event_date) FROM fact))
-      AS days_since_last_purchase
+    CAST(datediff('day', MAX(CASE WHEN event_type = 'view' THEN event_date END), (SELECT MAX(event_date) FROM fact))
+      AS INTEGER) AS days_since_last_view,
+    CAST(datediff('day', MAX(CASE WHEN event_type = 'purchase' THEN event_date END), (SELECT MAX(event_date) FROM fact))
+      AS INTEGER) AS days_since_last_purchase
   FROM fact WHERE product_sk <> -1 GROUP BY product_sk)"""))
 def q_product_features(spark, sf):
     return X.product_features(star(spark, sf).fact)

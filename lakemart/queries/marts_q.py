@@ -41,9 +41,9 @@ USER_SQL = f"""
     {qty()} AS total_quantity_purchased,
     MIN(f.event_time) AS first_event_date,
     MAX(f.event_time) AS last_event_date,
-    datediff('day', CAST(MIN(f.event_time) AS DATE), CAST(MAX(f.event_time) AS DATE)) AS days_between_first_last,
+    CAST(datediff('day', CAST(MIN(f.event_time) AS DATE), CAST(MAX(f.event_time) AS DATE)) AS INTEGER) AS days_between_first_last,
     COUNT(DISTINCT f.date_sk) AS days_active,
-    datediff('day', MAX(CAST(f.event_time AS DATE)), (SELECT MAX(event_date) FROM fact)) AS recency_days,
+    CAST(datediff('day', MAX(CAST(f.event_time AS DATE)), (SELECT MAX(event_date) FROM fact)) AS INTEGER) AS recency_days,
     {cnt('purchase', alias='f')} AS frequency_purchases,
     {rate(cnt('purchase', alias='f'), cnt('view', alias='f'))} AS personal_conversion_rate,
     COUNT(DISTINCT f.product_sk) AS unique_products_viewed,
@@ -55,8 +55,8 @@ USER_SQL = f"""
 
 PRODUCT_SQL = f"""
   SELECT *, {RATES},
-    DENSE_RANK() OVER (PARTITION BY category_l1 ORDER BY total_revenue DESC) AS rank_in_category_by_revenue,
-    DENSE_RANK() OVER (PARTITION BY category_l1 ORDER BY total_purchases DESC) AS rank_in_category_by_purchases
+    CAST(DENSE_RANK() OVER (PARTITION BY category_l1 ORDER BY total_revenue DESC) AS INTEGER) AS rank_in_category_by_revenue,
+    CAST(DENSE_RANK() OVER (PARTITION BY category_l1 ORDER BY total_purchases DESC) AS INTEGER) AS rank_in_category_by_purchases
   FROM (
     SELECT p.product_sk, p.product_id, p.brand, c.category_full_path AS category_code,
       c.category_l1, c.category_l2,
@@ -77,8 +77,8 @@ CATEGORY_SQL = f"""
   SELECT *, {RATES},
     CAST(ROUND(CAST(total_revenue * 100.0 / NULLIF(SUM(total_revenue) OVER (PARTITION BY category_l1), 0) AS DECIMAL(38,10)), 2) AS DOUBLE)
       AS revenue_share_within_l1,
-    DENSE_RANK() OVER (ORDER BY total_revenue DESC) AS overall_rank_by_revenue,
-    DENSE_RANK() OVER (PARTITION BY category_l1 ORDER BY total_revenue DESC) AS rank_within_l1_by_revenue
+    CAST(DENSE_RANK() OVER (ORDER BY total_revenue DESC) AS INTEGER) AS overall_rank_by_revenue,
+    CAST(DENSE_RANK() OVER (PARTITION BY category_l1 ORDER BY total_revenue DESC) AS INTEGER) AS rank_within_l1_by_revenue
   FROM (
     SELECT c.category_sk, c.category_l1, c.category_l2, c.category_l3, c.category_full_path,
       c.category_depth,
@@ -97,8 +97,8 @@ CATEGORY_SQL = f"""
 BRAND_SQL = f"""
   SELECT *, {RATES},
     CAST(ROUND(CAST(total_revenue * 100.0 / NULLIF(SUM(total_revenue) OVER (), 0) AS DECIMAL(38,10)), 2) AS DOUBLE) AS revenue_market_share,
-    DENSE_RANK() OVER (ORDER BY total_revenue DESC) AS rank_by_revenue,
-    DENSE_RANK() OVER (ORDER BY unique_products DESC) AS rank_by_product_count
+    CAST(DENSE_RANK() OVER (ORDER BY total_revenue DESC) AS INTEGER) AS rank_by_revenue,
+    CAST(DENSE_RANK() OVER (ORDER BY unique_products DESC) AS INTEGER) AS rank_by_product_count
   FROM (
     SELECT p.brand,
       {type_counts()},

@@ -286,7 +286,7 @@ def q_category_distribution(spark, sf):
 @register("top_products_by_category", mart_sql("""
 SELECT * FROM (
   SELECT category_l1, product_id, brand, total_revenue, total_purchases, view_to_purchase_rate,
-         ROW_NUMBER() OVER (PARTITION BY category_l1 ORDER BY total_revenue DESC, product_id) AS rn
+         CAST(ROW_NUMBER() OVER (PARTITION BY category_l1 ORDER BY total_revenue DESC, product_id) AS INTEGER) AS rn
   FROM gold_product WHERE total_revenue > 0) WHERE rn <= 5"""))
 def q_top_products_by_category(spark, sf):
     s = star(spark, sf)
@@ -338,7 +338,7 @@ def q_category_rollup_levels(spark, sf):
 @register("top_subcategories_by_l1", mart_sql("""
 SELECT * FROM (
   SELECT category_l1, category_l2, category_l3, total_revenue, total_purchases, view_to_purchase_rate,
-         ROW_NUMBER() OVER (PARTITION BY category_l1 ORDER BY total_revenue DESC, category_sk) AS rn
+         CAST(ROW_NUMBER() OVER (PARTITION BY category_l1 ORDER BY total_revenue DESC, category_sk) AS INTEGER) AS rn
   FROM gold_category WHERE category_l2 IS NOT NULL) WHERE rn <= 3"""))
 def q_top_subcategories_by_l1(spark, sf):
     s = star(spark, sf)

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
-from check_oracle import _rows
+from check_oracle import _rows, type_mismatches
 from conftest import SMOKE
 from lakemart.sources.tables import TABLES
 
@@ -35,4 +35,5 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(ORACLES[name])
     ocols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(ocols)
+    assert type_mismatches(sdf, res) == []
     assert _rows(sdf.columns, [tuple(r) for r in sdf.collect()]) == _rows(ocols, res.fetchall())
