@@ -42,7 +42,7 @@ def run_pipeline(spark, sf_dir: str, out: str, cpus: int, times: dict) -> dict:
     def path(name):
         return os.path.join(out, name)
 
-    spark.conf.set("spark.sql.shuffle.partitions", str(cpus * 2))
+    spark.conf.set("spark.sql.shuffle.partitions", os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
     load_ts = F.lit("2024-02-01 00:00:00").cast("timestamp")
 
     # bronze: partitioned by event date
@@ -127,7 +127,7 @@ def main() -> None:
     warmup_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = get_spark(f"local[{cpus}]", app="lakemart-bench", shuffle_partitions=cpus * 2)
+    spark = get_spark(f"local[{cpus}]", app="lakemart-bench", shuffle_partitions=cpus)
     out = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     # Untimed warm-up pass over the smallest data set (JVM class loading and
     # JIT compilation of the same code paths), so the timed pass measures

@@ -26,9 +26,10 @@ def dim_date(spark: SparkSession, bronze: DataFrame, buffer_days: int = CALENDAR
     the row count is bounded by the date span, so the calendar is a safe
     broadcast side.
     """
-    lo = bronze.select(F.min("event_date")).scalar()
-    hi = bronze.select(F.max("event_date")).scalar()
-    days = spark.range(1).select(F.explode(F.sequence(lo, F.date_add(hi, buffer_days))).alias("d"))
+    bounds = bronze.select(F.struct(F.min("event_date").alias("lo"),
+                                    F.max("event_date").alias("hi"))).scalar()
+    days = spark.range(1).select(F.explode(F.sequence(bounds.getField("lo"),
+                                                      F.date_add(bounds.getField("hi"), buffer_days))).alias("d"))
     return days.select(*calendar_columns(F.col("d")))
 
 
