@@ -171,3 +171,28 @@ def test_mart_sink_foreach_batch(spark, messages, tmp_path):
     out = str(tmp_path / "mart")
     start_mart_stream(W.funnel(good), out, str(tmp_path / "ck"), available_now=True).awaitTermination()
     assert spark.read.parquet(out).count() == W.funnel(_batch_good(spark, bronze)).count()
+
+
+def test_stream_static_join_with_dimension(spark, messages, tmp_path):
+    """Stream events enriched with a static dimension (stream-static join)."""
+    from lakemart.plans.star import dim_categories, dim_products
+    root, bronze = messages
+    good, _ = _stream(spark, _stage(root, "j1", ["part1"]))
+    # streams join the written dimension table, as the pipeline does
+    dim_products(bronze, dim_categories(bronze)).write.parquet(str(tmp_path / "dim_products"))
+    products = spark.read.parquet(str(tmp_path / "dim_products")).select(
+        F.col("product_id").cast("int").alias("product_id"), "brand", "product_sk")
+    enriched = good.join(products, "product_id", "left")
+    start_memory_stream(enriched, "enriched", "append", str(tmp_path / "ck")).awaitTermination()
+    out = spark.table("enriched")
+    assert out.count() == bronze.filter(F.col("event_date") <= "2024-01-15").count()
+    assert out.filter(F.col("product_sk").isNull()).count() == 0
+
+
+def test_console_sink_update_mode(spark, messages, tmp_path):
+    from lakemart.streaming import start_debug_stream
+    root, _ = messages
+    good, _ = _stream(spark, _stage(root, "k1", ["part1"]))
+    q = start_debug_stream(W.tumbling(good), mode="update", available_now=True, checkpoint=str(tmp_path / "ck"))
+    q.awaitTermination()
+    assert q.lastProgress["numInputRows"] >= 0
