@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from lakemart.operators.io import write_bronze, write_table  # noqa: E402
+from lakemart.operators.io import partitioned_layout, write_bronze, write_table  # noqa: E402
 from lakemart.oracle import ENGAGED, POWER  # noqa: E402
 from lakemart.plans import marts, reports, scd2, star as S  # noqa: E402
 from lakemart.session import get_spark  # noqa: E402
@@ -61,8 +61,9 @@ def run_pipeline(spark, sf_dir: str, out: str, cpus: int, times: dict) -> dict:
     timed("silver_dimensions", dims)
     dates, cats, products, users = (spark.read.parquet(path(n)) for n in
                                     ("dim_date", "dim_categories", "dim_products", "dim_users"))
-    timed("silver_fact", lambda: write_table(S.fact_events(bronze, dates, users, products, load_ts),
-                                             path("fact"), ["event_date"]))
+    timed("silver_fact", lambda: write_table(
+        partitioned_layout(S.fact_events(bronze, dates, users, products, load_ts), "event_date", "event_time"),
+        path("fact"), ["event_date"]))
     fact = spark.read.parquet(path("fact"))
 
     # gold marts
