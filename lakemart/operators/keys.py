@@ -30,6 +30,9 @@ def monotonic_key(df: DataFrame, name: str) -> DataFrame:
 
 
 def uuid_key(df: DataFrame, name: str) -> DataFrame:
+    """Random UUID per row. A re-run task draws new values, so write the
+    keyed table (or checkpoint it) before joining or reusing it; prefer
+    ``hash_key`` when keys must be reproducible."""
     return df.withColumn(name, F.expr("uuid()"))
 
 

@@ -46,6 +46,8 @@ def get_spark(master: str | None = None, app: str = "lakemart",
     elif not os.environ.get("SPARK_MASTER") and not os.environ.get("PYSPARK_SUBMIT_ARGS"):
         builder = builder.master("local[*]")
     builder = builder.config("spark.ui.enabled", "false")
+    # remove checkpoint files (dense-key steps) once their data is unreferenced
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if (master or "local").startswith("local"):
         # local mode: the driver JVM is the only executor
         builder = builder.config("spark.driver.memory", os.environ.get("LAKEMART_DRIVER_MEMORY", "12g"))
