@@ -77,7 +77,7 @@ def events_per_user_stats(bronze: DataFrame) -> DataFrame:
     per = bronze.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     return per.agg(F.min("n").alias("min_events"), F.max("n").alias("max_events"),
                    rhu(F.avg("n")).alias("avg_events"),
-                   F.percentile("n", 0.5).alias("median_events"))
+                   rhu(F.percentile("n", 0.5), 6).alias("median_events"))
 
 
 def user_level_funnel(bronze: DataFrame) -> DataFrame:
@@ -93,8 +93,8 @@ def price_statistics(bronze: DataFrame, exact: bool = True) -> DataFrame:
     pct = F.percentile if exact else F.percentile_approx
     return bronze.agg(F.min("price").alias("min_price"), F.max("price").alias("max_price"),
                       money_avg("price", 6).alias("avg_price"),
-                      pct("price", F.lit(0.5)).alias("median_price"),
-                      pct("price", F.lit(0.95)).alias("p95_price"))
+                      rhu(pct("price", F.lit(0.5)), 6).alias("median_price"),
+                      rhu(pct("price", F.lit(0.95)), 6).alias("p95_price"))
 
 
 def purchase_revenue_summary(bronze: DataFrame) -> DataFrame:

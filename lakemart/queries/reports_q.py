@@ -109,7 +109,7 @@ def q_top_brands(spark, sf):
 
 @register("events_per_user_stats", bronze_sql(f"""
 SELECT MIN(n) AS min_events, MAX(n) AS max_events, {rnd('AVG(n)')} AS avg_events,
-       quantile_cont(n, 0.5) AS median_events
+       {rnd('quantile_cont(n, 0.5)', 6)} AS median_events
 FROM (SELECT user_id, COUNT(*) AS n FROM bronze GROUP BY user_id)"""))
 def q_events_per_user_stats(spark, sf):
     return R.events_per_user_stats(star(spark, sf).bronze)
@@ -128,7 +128,7 @@ def q_user_level_funnel(spark, sf):
 
 @register("price_statistics", bronze_sql(f"""
 SELECT MIN(price) AS min_price, MAX(price) AS max_price, {mavg('price', 6)} AS avg_price,
-       quantile_cont(price, 0.5) AS median_price, quantile_cont(price, 0.95) AS p95_price
+       {rnd('quantile_cont(price, 0.5)', 6)} AS median_price, {rnd('quantile_cont(price, 0.95)', 6)} AS p95_price
 FROM bronze"""))
 def q_price_statistics(spark, sf):
     return R.price_statistics(star(spark, sf).bronze)
