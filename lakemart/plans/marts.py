@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.columns import (MONEY, money, money_avg, money_sum, round_half_up, count_of, distinct_of, purchase_revenue, quantity_of,
+from ..functions.columns import (money, money_avg, money_sum, round_half_up, count_of, distinct_of, purchase_revenue, quantity_of,
                                  revenue_of, safe_rate, users_of)
 from ..operators.windows import sessionize
 
