@@ -23,7 +23,8 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from lakemart.operators.io import partitioned_layout, write_bronze, write_table  # noqa: E402
 from lakemart.oracle import ENGAGED, POWER  # noqa: E402
-from lakemart.plans import marts, reports, scd2, star as S  # noqa: E402
+from lakemart.pipeline import gold_builders  # noqa: E402
+from lakemart.plans import reports, scd2, star as S  # noqa: E402
 from lakemart.session import get_spark  # noqa: E402
 from lakemart.sources.events import bronze_from_tables  # noqa: E402
 from lakemart.sources.stream import stream_events_from_bronze  # noqa: E402
@@ -66,17 +67,9 @@ def run_pipeline(spark, sf_dir: str, out: str, cpus: int, times: dict) -> dict:
         path("fact"), ["event_date"]))
     fact = spark.read.parquet(path("fact"))
 
-    # gold marts
-    builders = {
-        "gold_daily": lambda: marts.gold_daily(fact, dates, users, load_ts),
-        "gold_user": lambda: marts.gold_user(fact, users, load_ts=load_ts),
-        "gold_product": lambda: marts.gold_product(fact, products, cats, load_ts),
-        "gold_category": lambda: marts.gold_category(fact, cats, load_ts),
-        "gold_brand": lambda: marts.gold_brand(fact, products, cats, load_ts),
-        "gold_funnel": lambda: marts.gold_funnel(fact, products, cats, dates, load_ts),
-        "gold_session": lambda: marts.gold_session(fact, dates, load_ts=load_ts),
-        "gold_cohort": lambda: marts.gold_cohort(fact, load_ts=load_ts),
-    }
+    # gold marts (the pipeline job's builders)
+    builders = gold_builders({"fact_events": fact, "dim_date": dates, "dim_users": users,
+                              "dim_products": products, "dim_categories": cats}, load_ts)
     for name, build in builders.items():
         timed(name, lambda b=build, n=name: write_table(b(), path(n)))
 
