@@ -106,9 +106,12 @@ def purchase_revenue_summary(bronze: DataFrame) -> DataFrame:
 # --- star-schema reports ---------------------------------------------------
 
 def monthly_revenue_by_brand(fact, dates, products, year: int) -> DataFrame:
+    """Purchases and revenue per month and brand for one year. The calendar
+    is joined on the date itself (the fact's partition column), so the year
+    filter prunes fact partitions at run time (dynamic partition pruning)."""
     f = (fact.filter(F.col("event_type") == "purchase")
-         .join(F.broadcast(dates.select("date_key", "year", "month", "month_name")),
-               fact.date_sk == F.col("date_key"))
+         .join(F.broadcast(dates.select("full_date", "year", "month", "month_name")),
+               fact.event_date == F.col("full_date"))
          .filter(F.col("year") == year)
          .join(products.select("product_sk", "brand"), "product_sk"))
     return (f.groupBy("year", "month_name", "month", "brand")

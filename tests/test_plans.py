@@ -65,3 +65,14 @@ def test_dense_keys_do_not_window_over_the_whole_dimension(spark):
     # per-partition row counts (one row per partition), which is broadcast
     assert _single_partition_windows(plan) <= 1 and "BroadcastExchange" in plan
     assert "Scan ExistingRDD" in plan          # numbered from the checkpointed, range-partitioned rows
+
+
+def test_calendar_filter_prunes_fact_partitions(spark, tmp_path):
+    from lakemart.operators.io import write_table
+    from lakemart.plans import reports
+    s = star(spark, SMOKE)
+    write_table(s.fact, str(tmp_path / "fact"), ["event_date"])
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    q = reports.monthly_revenue_by_brand(fact, s.dates, s.products, 2024)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
