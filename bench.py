@@ -106,7 +106,7 @@ def run_pipeline(spark, sf_dir: str, out: str, cpus: int, times: dict) -> dict:
         spark.conf.set("spark.sql.shuffle.partitions", str(cpus))
         raw = spark.readStream.schema("key binary, value binary").parquet(msgs)
         good, _ = parse_events(raw)
-        q = (W.funnel(good).writeStream.outputMode("append").format("parquet")
+        q = (W.funnel(good, exact_users=True).writeStream.outputMode("append").format("parquet")
              .option("checkpointLocation", path("ckpt_funnel")).trigger(availableNow=True)
              .start(path("stream_funnel")))
         q.awaitTermination()

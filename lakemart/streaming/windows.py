@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import money_avg, money_sum, safe_rate
+from ..functions.columns import money, money_avg, money_sum, safe_rate
 from ..operators.windows import sessionize
 
 WATERMARK = "10 minutes"
@@ -56,18 +56,36 @@ def sliding(df: DataFrame, size: str = SLIDE_SIZE, slide: str = TUMBLE,
                       "event_type", "event_count", "avg_revenue_10min")
 
 
-def funnel(df: DataFrame, size: str = TUMBLE, delay: str | None = WATERMARK, rsd: float = 0.05) -> DataFrame:
+def funnel(df: DataFrame, size: str = TUMBLE, delay: str | None = WATERMARK, rsd: float = 0.05,
+           exact_users: bool = False) -> DataFrame:
     """Per tumbling window: views, carts, purchases, active users, revenue
-    and the two step rates (NULL when the denominator is 0)."""
+    and the two step rates (NULL when the denominator is 0).
+
+    ``exact_users`` counts active users exactly on a stream too, with a
+    two-level aggregation: (window, user) first, then window, where the
+    user count is a row count. Streaming accepts the chained stateful
+    aggregation in append mode (each window is emitted once the watermark
+    passes it); state is one row per active user per open window."""
     d = _watermarked(df, delay)
 
     def n(t):
         return F.sum(F.when(F.col("event_type") == t, 1).otherwise(0)).cast("long")
 
-    agg = d.groupBy(F.window("event_time", size).alias("w")).agg(
-        n("view").alias("views"), n("cart").alias("carts"), n("purchase").alias("purchases"),
-        _distinct(d, "user_id", rsd).alias("active_users"),
-        money_sum("revenue").alias("revenue"))
+    w = F.window("event_time", size).alias("w")
+    if exact_users:
+        per_user = d.groupBy(w, "user_id").agg(
+            n("view").alias("views"), n("cart").alias("carts"), n("purchase").alias("purchases"),
+            F.sum(money("revenue")).alias("_rev"))
+        agg = per_user.groupBy("w").agg(
+            F.sum("views").cast("long").alias("views"), F.sum("carts").cast("long").alias("carts"),
+            F.sum("purchases").cast("long").alias("purchases"),
+            F.count(F.lit(1)).alias("active_users"),
+            F.round(F.sum("_rev"), 2).cast("double").alias("revenue"))
+    else:
+        agg = d.groupBy(w).agg(
+            n("view").alias("views"), n("cart").alias("carts"), n("purchase").alias("purchases"),
+            _distinct(d, "user_id", rsd).alias("active_users"),
+            money_sum("revenue").alias("revenue"))
     return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       "views", "carts", "purchases", "active_users", "revenue",
                       safe_rate("carts", "views").alias("view_to_cart_rate"),

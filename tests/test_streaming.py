@@ -196,3 +196,18 @@ def test_console_sink_update_mode(spark, messages, tmp_path):
     q = start_debug_stream(W.tumbling(good), mode="update", available_now=True, checkpoint=str(tmp_path / "ck"))
     q.awaitTermination()
     assert q.lastProgress["numInputRows"] >= 0
+
+
+def test_exact_user_funnel_in_append_mode(spark, messages, tmp_path):
+    """Two-level (window, user) -> window aggregation: exact distinct users
+    on a stream, equal to the batch twin for every closed window."""
+    root, bronze = messages
+    good, _ = _stream(spark, _stage(root, "e1", ["part1", "part2"]))
+    q = start_memory_stream(W.funnel(good, exact_users=True), "funnel_exact", "append", str(tmp_path / "ck"))
+    q.awaitTermination()
+    got = spark.table("funnel_exact")
+    batch = _batch_good(spark, bronze)
+    wm = batch.agg(F.max("event_time")).first()[0] - dt.timedelta(minutes=10)
+    want = W.funnel(batch).filter(F.col("window_end") <= F.lit(wm))
+    assert got.count() > 0 and sorted(got.collect()) == sorted(want.collect())
+    assert sorted(W.funnel(batch, exact_users=True).collect()) == sorted(W.funnel(batch).collect())
