@@ -237,3 +237,18 @@ def q_scd2_invariants(spark, sf):
         scd2_invariants(scd2.users_from_history(s.bronze), "user_id").select(F.lit("users_history").alias("dimension"), "*"),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+@register("point_in_time_users", scd2_sql("""
+SELECT b.event_id, b.user_id, b.event_date, coalesce(u.user_sk, -1) AS user_sk, u.user_segment,
+       u.version_number
+FROM bronze b LEFT JOIN hist_users u ON b.user_id = u.user_id
+     AND b.event_date >= u.effective_from AND b.event_date < u.effective_to"""))
+def q_point_in_time_users(spark, sf):
+    """Each event with the user's segment version valid on the event date
+    (segment evolution from the running event count)."""
+    s = star(spark, sf)
+    ev = s.bronze.select("event_id", "user_id", "event_date")
+    return point_in_time(ev, scd2.users_from_history(s.bronze), "user_id", "event_date",
+                         {"user_sk": "user_sk", "user_segment": "user_segment",
+                          "version_number": "version_number"}, unknown={"user_sk": -1})
