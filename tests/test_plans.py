@@ -9,12 +9,14 @@ from lakemart.queries.common import star
 
 
 def _plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()      # run it, so AQE decisions are final
+    """The final adaptive plan: run this Dataset's own execution first."""
+    df.collect()
     return df._jdf.queryExecution().executedPlan().toString()
 
 
 def _single_partition_windows(plan: str) -> int:
-    return len(re.findall(r"Exchange SinglePartition", plan))
+    final = plan.split("== Initial Plan ==")[0]          # adaptive plans print both
+    return len(re.findall(r"Exchange SinglePartition", final))
 
 
 def test_event_scan_reads_only_needed_columns(spark):
@@ -76,3 +78,42 @@ def test_calendar_filter_prunes_fact_partitions(spark, tmp_path):
     q = reports.monthly_revenue_by_brand(fact, s.dates, s.products, 2024)
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()
+
+
+def test_hot_product_is_split_by_adaptive_skew_join(spark):
+    """One product holds a third of all events: the point-in-time join runs
+    as a sort-merge join whose hot partition AQE splits into several tasks
+    (thresholds lowered to test scale, broadcasts off), results unchanged."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from lakemart.operators.joins import point_in_time
+    n = 30000
+    ev = spark.range(n).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("product_id"),
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 30).cast("int")).alias("event_date"))
+    dim = spark.range(1000).select(
+        F.col("id").alias("product_id"), F.lit(dt.date(2023, 1, 1)).alias("effective_from"),
+        F.lit(dt.date(9999, 12, 31)).alias("effective_to"), (F.col("id") + 1).alias("product_sk"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        j = point_in_time(ev, dim, "product_id", "event_date", {"product_sk": "product_sk"},
+                          unknown={"product_sk": -1})
+        plan = _plan(j)
+        assert "SortMergeJoin" in plan and "isSkewJoin=true" in plan
+        assert j.filter(F.col("product_sk") == 8).count() == n // 3
+        assert j.filter(F.col("product_sk") == -1).count() == 0
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
