@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import (money, money_avg, money_sum, round_half_up, count_of, distinct_of, purchase_revenue, quantity_of,
                                  revenue_of, safe_rate, users_of)
+from ..operators.joins import UNKNOWN_SK
 from ..operators.windows import sessionize
 
 DATE_ATTRS = ["date_key", "full_date", "year", "quarter", "month", "month_name",
@@ -51,14 +52,13 @@ def gold_daily(fact: DataFrame, dates: DataFrame, users: DataFrame, load_ts=None
     """Daily KPIs: active users, events by type, revenue, AOV, conversion
     rates, distinct products / categories, active users per segment.
 
-    Aggregated on the narrow ``date_sk`` key (the distinct-aggregate rewrite
-    copies every grouping column per distinct set); the calendar
-    attributes are joined to the ~one-row-per-day result afterwards."""
-    f = fact.join(users.select("user_sk", "user_segment"), "user_sk")
-
-    def seg_users(s):
-        return F.count_distinct(F.when(F.col("user_segment") == s, F.col("user_sk")))
-
+    The fact's user keys come from ``users`` (or are -1 when unresolved,
+    which the inner join of the mart drops), so the per-day measures are
+    aggregated straight from the fact on the narrow ``date_sk`` key; only
+    the distinct (day, user) pairs meet the user dimension for the segment
+    counts, instead of shuffling every event against it. Calendar
+    attributes are joined to the ~one-row-per-day results."""
+    f = fact.filter(F.col("user_sk") != UNKNOWN_SK)
     agg = f.groupBy("date_sk").agg(
         F.count_distinct("user_sk").alias("daily_active_users"),
         F.count(F.lit(1)).alias("total_events"),
@@ -72,12 +72,19 @@ def gold_daily(fact: DataFrame, dates: DataFrame, users: DataFrame, load_ts=None
         F.count_distinct("product_sk").alias("unique_products_viewed"),
         distinct_of("purchase", "product_sk").alias("unique_products_sold"),
         F.count_distinct("category_sk").alias("unique_categories_active"),
+    )
+    day_users = f.select("date_sk", "user_sk").distinct().join(users.select("user_sk", "user_segment"), "user_sk")
+
+    def seg_users(s):
+        return F.count_if(F.col("user_segment") == s)
+
+    segs = day_users.groupBy("date_sk").agg(
         seg_users("power_user").alias("dau_power_users"),
         seg_users("engaged").alias("dau_engaged"),
         seg_users("casual").alias("dau_casual"),
     )
     cal = F.broadcast(dates.select(*DATE_ATTRS))
-    return agg.join(cal, agg.date_sk == cal.date_key).select(
+    return agg.join(segs, "date_sk").join(cal, F.col("date_sk") == cal.date_key).select(
         *DATE_ATTRS, "daily_active_users", "total_events", "total_views", "total_carts",
         "total_removes", "total_purchases", "total_revenue", "avg_order_value",
         "total_quantity_sold",
