@@ -330,22 +330,21 @@ def gold_cohort(fact: DataFrame, user: str = "user_sk", load_ts=None) -> DataFra
     activity, revenue, retention, cumulative revenue and LTV per period.
 
     View / cart / purchase counts are distinct event times per user-month,
-    as the mart defines them."""
-    month = F.date_trunc("MONTH", F.col("event_time"))
-    first = fact.groupBy(user).agg(F.date_trunc("MONTH", F.min("event_time")).alias("cohort_month"))
-    # user x month activity: the month comes from the event itself, the
-    # cohort from the (small) per-user aggregate
-    ua = (fact.select(user, "event_time", "event_type", "revenue", month.alias("activity_month"))
-              .join(first, user)
-              .groupBy(user, "cohort_month", "activity_month").agg(
-                  distinct_of("view", "event_time").alias("views"),
-                  distinct_of("cart", "event_time").alias("carts"),
-                  distinct_of("purchase", "event_time").alias("purchases"),
-                  revenue_of().alias("revenue")))
+    as the mart defines them. Events are aggregated per (user, month)
+    first; the cohort month is the smallest month of each user, taken by a
+    window over the user's months (one row per active month, so a hot user
+    stays small) — no join of events to a per-user table."""
+    ua = (fact.groupBy(user, F.date_trunc("MONTH", F.col("event_time")).alias("activity_month")).agg(
+              distinct_of("view", "event_time").alias("views"),
+              distinct_of("cart", "event_time").alias("carts"),
+              distinct_of("purchase", "event_time").alias("purchases"),
+              revenue_of().alias("revenue"))
+          .withColumn("cohort_month", F.min("activity_month").over(Window.partitionBy(user))))
     periods = F.months_between("activity_month", "cohort_month").cast("int")
+    # one row per (user, month): row counts are distinct user counts
     cm = ua.groupBy("cohort_month", periods.alias("periods_since_cohort"), "activity_month").agg(
-        F.count_distinct(user).alias("cohort_size"),
-        F.count_distinct(user).alias("active_users"),
+        F.count(F.lit(1)).alias("cohort_size"),
+        F.count(F.lit(1)).alias("active_users"),
         F.sum("views").cast("long").alias("total_views"),
         F.sum("carts").cast("long").alias("total_carts"),
         F.sum("purchases").cast("long").alias("total_purchases"),
@@ -353,7 +352,8 @@ def gold_cohort(fact: DataFrame, user: str = "user_sk", load_ts=None) -> DataFra
         round_half_up(F.avg("views"), 2).alias("avg_views_per_user"),
         money_avg("revenue").alias("avg_revenue_per_user"),
     )
-    size = first.groupBy("cohort_month").agg(F.count_distinct(user).alias("total_cohort_users"))
+    size = (ua.filter(F.col("activity_month") == F.col("cohort_month"))
+              .groupBy("cohort_month").agg(F.count(F.lit(1)).alias("total_cohort_users")))
     w = (Window.partitionBy("cohort_month").orderBy("periods_since_cohort")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cum = F.sum(money("period_revenue")).over(w)
