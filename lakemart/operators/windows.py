@@ -86,9 +86,11 @@ def top_n(df: DataFrame, part, order, n: int, name: str = "rn", keep_rank: bool
 
 def share(df: DataFrame, col: str, part=None, name: str | None = None, digits: int = 2) -> DataFrame:
     """``round(col * 100 / SUM(col) OVER (PARTITION BY part), digits)``,
-    NULL when the group total is 0."""
-    w = Window.partitionBy(*_cols(part)) if part else Window.partitionBy()
-    total = F.sum(col).over(w)
+    NULL when the group total is 0. Without ``part`` the total is a scalar
+    subquery (an aggregate), not a window funnelling every row into one
+    partition."""
+    total = (F.sum(col).over(Window.partitionBy(*_cols(part))) if part
+             else df.select(F.sum(col)).scalar())
     value = round_half_up(F.col(col).cast("double") * 100.0 / F.nullif(total.cast("double"), F.lit(0.0)), digits)
     return df.withColumn(name or f"{col}_share", value)
 

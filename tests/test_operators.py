@@ -106,3 +106,11 @@ def test_rates_and_rounding(spark):
     assert [x.r for x in r] == [None, None, 12.5]
     assert df.agg(money_avg("x").alias("m")).first().m == 28.29
     assert spark.range(1).select(round_half_up(F.lit(395.99) / 14).alias("v")).first().v == 28.29
+
+
+def test_share_overall_and_within_group(spark):
+    from lakemart.operators.windows import share
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 4.0), ("c", 0.0)], "g string, v double")
+    assert sorted(r.v_share for r in share(df, "v").collect()) == [0.0, 12.5, 37.5, 50.0]
+    within = {(r.g, r.v): r.v_share for r in share(df, "v", part="g").collect()}
+    assert within[("a", 1.0)] == 25.0 and within[("b", 4.0)] == 100.0 and within[("c", 0.0)] is None
