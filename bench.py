@@ -132,8 +132,10 @@ def main() -> None:
     times: dict[str, float] = {}
     checks = run_pipeline(spark, sf_dir, os.path.join(out, "timed"), cpus, times)
     total = round(sum(times.values()), 3)
+    events = checks["rows"]["bronze"]
     print(json.dumps({
         "metric": "pipeline_total_seconds", "value": total, "unit": "sec", "queries": times, "sf": sf,
+        "events_per_second_end_to_end": round(events / total, 1) if total else None,
         "cpus": cpus, "warmup": {"dir": warmup_dir, "seconds": round(sum(warm_times.values()), 3)},
         **checks,
     }))
