@@ -113,6 +113,21 @@ def row_number_by_time(df: DataFrame, part: str, ts: str, tie: str, name: str =
              .drop("_rb_bkt", "_rb_local", "_rb_off"))
 
 
+def number_session_buckets(buckets: DataFrame, user: str, gap: int, first: str = "_sz_first",
+                           last: str = "_sz_last", bkt: str = "_sz_bkt",
+                           out: str = "session_number") -> DataFrame:
+    """Session numbers per (user, bucket) from each bucket's first / last
+    time (buckets as wide as ``gap``): a bucket opens a session when it is
+    the user's first or starts more than ``gap`` after the previous active
+    bucket ended. The window sees one row per active bucket."""
+    wu = Window.partitionBy(user).orderBy(bkt)
+    prev_last = F.lag(last).over(wu)
+    opens = F.when(prev_last.isNull() | (F.col(first) - prev_last > gap), 1).otherwise(0)
+    return (buckets.withColumn("_sz_open", opens)
+            .withColumn(out, F.sum("_sz_open").over(wu.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
+            .select(user, bkt, out))
+
+
 def sessionize(df: DataFrame, user: str = "user_sk", ts: str = "event_time",
                gap_s: int = 1800, out: str = "session_number", unit: str = "s") -> DataFrame:
     """Number each user's sessions: a new session starts at the user's first
@@ -135,11 +150,5 @@ def sessionize(df: DataFrame, user: str = "user_sk", ts: str = "event_time",
     d = df.withColumn("_sz_t", t).withColumn("_sz_bkt", F.floor(F.col("_sz_t") / gap))
     buckets = d.groupBy(user, "_sz_bkt").agg(F.min("_sz_t").alias("_sz_first"),
                                              F.max("_sz_t").alias("_sz_last"))
-    wu = Window.partitionBy(user).orderBy("_sz_bkt")
-    prev_last = F.lag("_sz_last").over(wu)
-    opens = F.when(prev_last.isNull() | (F.col("_sz_first") - prev_last > gap), 1).otherwise(0)
-    numbered = (buckets.withColumn("_sz_open", opens)
-                .withColumn(out, F.sum("_sz_open").over(wu.rowsBetween(Window.unboundedPreceding, 0))
-                            .cast("long"))
-                .select(user, "_sz_bkt", out))
+    numbered = number_session_buckets(buckets, user, gap, out=out)
     return d.join(numbered, [user, "_sz_bkt"]).drop("_sz_t", "_sz_bkt")

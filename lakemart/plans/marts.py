@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.columns import (money, money_avg, money_sum, round_half_up, count_of, distinct_of, purchase_revenue, quantity_of,
+from ..functions.columns import (MONEY_TYPE, money, money_avg, money_sum, round_half_up, count_of, distinct_of, purchase_revenue, quantity_of,
                                  revenue_of, safe_rate, users_of)
 from ..operators.joins import UNKNOWN_SK
-from ..operators.windows import sessionize
+from ..operators.windows import number_session_buckets
 
 DATE_ATTRS = ["date_key", "full_date", "year", "quarter", "month", "month_name",
               "day_of_month", "day_name", "day_of_week", "is_weekend"]
@@ -267,24 +267,44 @@ def gold_funnel(fact: DataFrame, products: DataFrame, categories: DataFrame, dat
 def session_rows(fact: DataFrame, gap_s: int = 1800) -> DataFrame:
     """One row per (user, session, date): timing, counts, outcome flags,
     revenue, distinct products / categories. Sessions crossing midnight
-    give one row per date, as the daily mart expects."""
-    s = sessionize(fact.select("user_sk", "event_time", "event_type", "date_sk", "revenue",
-                               "product_sk", "category_sk"), "user_sk", "event_time", gap_s)
+    give one row per date, as the daily mart expects.
+
+    Events are first reduced per (user, gap-wide bucket, date) — partial
+    aggregation before the shuffle — and per distinct (user, bucket, date,
+    product, category); sessions are numbered from the bucket rows
+    (``number_session_buckets``) and only those reduced rows are rolled up
+    to sessions, so no event-level join or second event shuffle is needed."""
     sec = F.unix_timestamp("event_time")
-    return s.groupBy("user_sk", "session_number", "date_sk").agg(
-        F.min("event_time").alias("session_start"),
-        F.max("event_time").alias("session_end"),
-        ((F.max(sec) - F.min(sec)) / 60.0).alias("session_duration_minutes"),
-        F.count(F.lit(1)).alias("total_events_in_session"),
-        count_of("view").alias("views_in_session"),
-        count_of("cart").alias("carts_in_session"),
-        count_of("purchase").alias("purchases_in_session"),
-        F.max(F.when(F.col("event_type") == "cart", 1).otherwise(0)).alias("had_cart_action"),
-        F.max(F.when(F.col("event_type") == "purchase", 1).otherwise(0)).alias("had_purchase"),
-        revenue_of().alias("session_revenue"),
-        F.count_distinct("product_sk").alias("unique_products_in_session"),
-        F.count_distinct("category_sk").alias("unique_categories_in_session"),
-    )
+    f = fact.select("user_sk", "event_time", "event_type", "date_sk", "revenue", "product_sk",
+                    "category_sk", sec.alias("_sec"), F.floor(sec / gap_s).alias("_bkt"))
+    purchase = F.col("event_type") == "purchase"
+    per_bucket = f.groupBy("user_sk", "_bkt", "date_sk").agg(
+        F.min("event_time").alias("_start"), F.max("event_time").alias("_end"),
+        F.min("_sec").alias("_smin"), F.max("_sec").alias("_smax"),
+        F.count(F.lit(1)).alias("_n"),
+        count_of("view").alias("_views"), count_of("cart").alias("_carts"),
+        count_of("purchase").alias("_purchases"),
+        F.sum(F.when(purchase, money("revenue")).otherwise(F.lit(0).cast(MONEY_TYPE))).alias("_rev"))
+    numbers = number_session_buckets(
+        per_bucket.groupBy("user_sk", "_bkt").agg(F.min("_smin").alias("_first"), F.max("_smax").alias("_last")),
+        "user_sk", gap_s, first="_first", last="_last", bkt="_bkt")
+    keys = ["user_sk", "session_number", "date_sk"]
+    sessions = per_bucket.join(numbers, ["user_sk", "_bkt"]).groupBy(*keys).agg(
+        F.min("_start").alias("session_start"),
+        F.max("_end").alias("session_end"),
+        ((F.max("_smax") - F.min("_smin")) / 60.0).alias("session_duration_minutes"),
+        F.sum("_n").cast("long").alias("total_events_in_session"),
+        F.sum("_views").cast("long").alias("views_in_session"),
+        F.sum("_carts").cast("long").alias("carts_in_session"),
+        F.sum("_purchases").cast("long").alias("purchases_in_session"),
+        F.max(F.when(F.col("_carts") > 0, 1).otherwise(0)).alias("had_cart_action"),
+        F.max(F.when(F.col("_purchases") > 0, 1).otherwise(0)).alias("had_purchase"),
+        F.round(F.sum("_rev"), 2).cast("double").alias("session_revenue"))
+    breadth = (f.select("user_sk", "_bkt", "date_sk", "product_sk", "category_sk").distinct()
+                .join(numbers, ["user_sk", "_bkt"]).groupBy(*keys).agg(
+                    F.count_distinct("product_sk").alias("unique_products_in_session"),
+                    F.count_distinct("category_sk").alias("unique_categories_in_session")))
+    return sessions.join(breadth, keys)
 
 
 def gold_session(fact: DataFrame, dates: DataFrame, gap_s: int = 1800, load_ts=None) -> DataFrame:
