@@ -114,3 +114,24 @@ def test_share_overall_and_within_group(spark):
     assert sorted(r.v_share for r in share(df, "v").collect()) == [0.0, 12.5, 37.5, 50.0]
     within = {(r.g, r.v): r.v_share for r in share(df, "v", part="g").collect()}
     assert within[("a", 1.0)] == 25.0 and within[("b", 4.0)] == 100.0 and within[("c", 0.0)] is None
+
+
+def test_session_rows_split_at_midnight(spark):
+    """A session crossing midnight gives one row per date (same session
+    number), as the daily session mart counts it on both days."""
+    from lakemart.plans.marts import session_rows
+    rows = [(1, dt.datetime(2024, 1, 1, 23, 50), "view", 20240101, 0.0, 10, 1),
+            (1, dt.datetime(2024, 1, 2, 0, 10), "purchase", 20240102, 5.5, 11, 1),
+            (1, dt.datetime(2024, 1, 2, 0, 15), "view", 20240102, 0.0, 10, 2),
+            (1, dt.datetime(2024, 1, 2, 3, 0), "cart", 20240102, 0.0, 12, 2),      # gap > 30 min
+            (2, dt.datetime(2024, 1, 2, 0, 0), "view", 20240102, 0.0, 10, 1)]
+    fact = spark.createDataFrame(rows, "user_sk long, event_time timestamp, event_type string, date_sk int, "
+                                       "revenue double, product_sk long, category_sk long")
+    got = {(r.user_sk, r.session_number, r.date_sk):
+           (r.total_events_in_session, r.had_purchase, r.had_cart_action, r.session_revenue,
+            r.unique_products_in_session, r.unique_categories_in_session)
+           for r in session_rows(fact, 1800).collect()}
+    assert got == {(1, 1, 20240101): (1, 0, 0, 0.0, 1, 1),
+                   (1, 1, 20240102): (2, 1, 0, 5.5, 2, 2),
+                   (1, 2, 20240102): (1, 0, 1, 0.0, 1, 1),
+                   (2, 1, 20240102): (1, 0, 0, 0.0, 1, 1)}
