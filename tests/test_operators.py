@@ -135,3 +135,23 @@ def test_session_rows_split_at_midnight(spark):
                    (1, 1, 20240102): (2, 1, 0, 5.5, 2, 2),
                    (1, 2, 20240102): (1, 0, 1, 0.0, 1, 1),
                    (2, 1, 20240102): (1, 0, 0, 0.0, 1, 1)}
+
+
+def test_zero_revenue_share_and_negative_dropoff(spark):
+    from lakemart.plans.marts import gold_category, gold_funnel
+    d = dt.date(2024, 1, 1)
+    fact = spark.createDataFrame([
+        (1, 1, 1, 20240101, dt.datetime(2024, 1, 1, 10), "cart", 0.0, 0),     # cart without a view
+        (2, 1, 1, 20240101, dt.datetime(2024, 1, 1, 11), "purchase", 0.0, 1),
+        (3, 2, 2, 20240101, dt.datetime(2024, 1, 1, 12), "view", 0.0, 0)],
+        "event_id long, user_sk long, category_sk long, date_sk int, event_time timestamp, event_type string, "
+        "revenue double, quantity int").withColumn("product_sk", F.col("category_sk"))
+    cats = spark.createDataFrame([(1, "a", None, None, "a", 1), (2, "b", None, None, "b", 1)],
+                                 "category_sk long, category_l1 string, category_l2 string, category_l3 string, "
+                                 "category_full_path string, category_depth int")
+    shares = {r.category_sk: r.revenue_share_within_l1 for r in gold_category(fact, cats).collect()}
+    assert shares == {1: None, 2: None}                    # zero revenue in the group: NULL, no error
+    products = spark.createDataFrame([(1, True), (2, True)], "product_sk long, is_current_version boolean")
+    dates = spark.createDataFrame([(20240101, d)], "date_key int, full_date date")
+    f = {r.category_l1: r for r in gold_funnel(fact, products, cats, dates).collect()}
+    assert f["a"].users_dropped_at_cart == -1 and f["a"].view_to_cart_user_rate is None
