@@ -149,12 +149,15 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates=TEMPLATES, rare
 
     base_re = "|".join(SEPARATOR.join(_words(p)) for p, _ in BASE)
     d = docs.select("*", lowered(F.col(text)).alias("__low"))
-    d = d.select(*docs.columns, split_alnum(F.col("__low")).alias("__w"), F.col("__low").rlike(base_re).alias("__b"))
-    w = F.col("__w")
-    places = [F.when(F.col("__b"), _places(w, p)).otherwise(F.array().cast("array<int>")) for p, _ in BASE]
-    present = F.array_intersect(w, index_words)
-    d = d.select(*docs.columns, F.size(w).cast("long").alias("lic_n_words"), F.array(*places).alias("__p"),
-                 let(present, lambda p: F.when(F.size(p) >= min(need), aligned(w, p))).alias("__m"))
+    low = F.col("__low")
+
+    def found(w: Column) -> Column:
+        places = [F.when(low.rlike(base_re), _places(w, p)).otherwise(F.array().cast("array<int>")) for p, _ in BASE]
+        return F.struct(F.size(w).cast("long").alias("n"), F.array(*places).alias("p"),
+                        let(F.array_intersect(w, index_words), lambda p: F.when(F.size(p) >= min(need), aligned(w, p))).alias("m"))
+    # one expression: wherever the optimizer moves it, words are split once
+    d = d.select(*docs.columns, let(split_alnum(low), found).alias("__f"))
+    d = d.select(*docs.columns, F.col("__f.n").alias("lic_n_words"), F.col("__f.p").alias("__p"), F.col("__f.m").alias("__m"))
     every = F.flatten("__p")
     base = F.filter(F.array(*[F.when(F.size(F.get("__p", F.lit(i))) > 0, F.lit(label)) for i, (_, label) in enumerate(BASE)]), lambda x: x.isNotNull())
     matches = F.coalesce(F.col("__m"), F.array().cast("array<struct<label:string,share:double>>"))

@@ -47,8 +47,8 @@ g AS (SELECT rid, trusted, unnest(w) AS gram FROM d
       UNION ALL SELECT rid, trusted, w[i] || ' ' || w[i + 1] FROM d, unnest(range(1, len(w))) t(i)),
 h AS (SELECT gram, {crc32('gram')} % {quality.BUCKETS} AS bucket FROM (SELECT DISTINCT gram FROM g)),
 c AS (SELECT bucket, count(*) AS r, count(*) FILTER (trusted) AS t FROM g JOIN h USING (gram) GROUP BY bucket),
-s AS (SELECT sum(r) + {quality.SMOOTHING * quality.BUCKETS} AS rs, sum(t) + {quality.SMOOTHING * quality.BUCKETS} AS ts FROM c),
-lr AS (SELECT bucket, round((ln((t + {quality.SMOOTHING}) / ts) - ln((r + {quality.SMOOTHING}) / rs)) * 1e6)::BIGINT AS weight FROM c, s),
+s AS (SELECT sum(r)::DOUBLE AS rs, sum(t)::DOUBLE AS ts FROM c),
+lr AS (SELECT bucket, round((ln(t + {quality.SMOOTHING}::DOUBLE) - ln(r::DOUBLE * ts / rs + {quality.SMOOTHING}::DOUBLE)) * 1e6)::BIGINT AS weight FROM c, s),
 score AS (SELECT rid, sum(weight)::BIGINT AS total FROM g JOIN h USING (gram) JOIN lr USING (bucket) GROUP BY rid),
 win AS (SELECT rid, i, array_to_string(list_slice(w, i, i + 7), ' ') AS k FROM d, unnest(range(1, len(w) - 6)) t(i)),
 twice AS (SELECT rid, k FROM win GROUP BY rid, k HAVING count(*) > 1),
