@@ -15,13 +15,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from lakemart.llm import decontaminate, mixing, quality, sharding, simhash
+from lakemart.llm.common import keep_columns
 from lakemart.session import checkpoint_dir
 from lakemart.sources.tables import load
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return quality.score_quality(docs, load(spark, sf_dir, "labels")).filter("q_kept").select(*docs.columns)
+    labels = load(spark, sf_dir, "labels")
+    return keep_columns(docs, ("doc_id", "text"), lambda d: quality.score_quality(d, labels).filter("q_kept"))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,13 +33,13 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents contaminated by benchmark passages go; others stay as they are."""
-    found = decontaminate.judge(decontaminate.find_phrases(docs, load(spark, sf_dir, "benchmark")))
-    return found.filter("not decon_contaminated").select(*docs.columns)
+    benchmark = load(spark, sf_dir, "benchmark")
+    return keep_columns(docs, ("doc_id", "text"), lambda d: decontaminate.judge(decontaminate.find_phrases(d, benchmark)).filter("not decon_contaminated"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target asks for."""
-    return mixing.mix(docs)
+    return keep_columns(docs, ("doc_id", "text", "source"), mixing.mix)
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,15 +59,27 @@ def row_key(df: DataFrame, text: str = "text") -> Column:
     return F.xxhash64(F.col("doc_id"), F.col(text))
 
 
+def without(df: DataFrame, *added: str) -> DataFrame:
+    """``df`` less the columns that an operator is about to add: columns of
+    the same name are replaced. (Names that begin with two underscores are
+    the operators' own.)"""
+    names = {a.lower() for a in added}
+    return df.drop(*[c for c in df.columns if c.lower() in names])
+
+
+def keep_columns(docs: DataFrame, needed: tuple[str, ...], fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``fn`` (which filters or repeats rows) over ``docs`` with the columns
+    of ``docs`` unchanged, also those named like columns that ``fn`` adds."""
+    inner = [c if c in needed else f"__c{i}" for i, c in enumerate(docs.columns)]
+    return fn(docs.toDF(*inner)).select(*[F.col(i).alias(c) for i, c in zip(inner, docs.columns)])
+
+
 def annotate(df: DataFrame, text: str, added: str, make: Callable[[], Callable[[pa.RecordBatch, list], list]]) -> DataFrame:
     """All columns of ``df`` plus the columns of the DDL ``added``. In each
     task ``make()`` gives a function (batch, texts as bytes or None) -> list
-    of Arrow arrays. Narrow: no shuffle, batch-wise memory. Added columns
-    should carry a prefix of their own; a clash is an error here."""
+    of Arrow arrays. Narrow: no shuffle, batch-wise memory."""
     extra = StructType.fromDDL(added).fields
-    clash = {f.name.lower() for f in extra} & {c.lower() for c in df.columns}
-    if clash:
-        raise ValueError(f"columns already there: {sorted(clash)}")
+    df = without(df, *(f.name for f in extra))
     names = [*df.columns, *(f.name for f in extra)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

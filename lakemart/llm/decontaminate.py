@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import annotate, persisted
+from .common import annotate, persisted, without
 
 WINDOW = 13
 #: Benchmark text (UTF-8 bytes) that one pass sends to every task.
@@ -264,7 +264,7 @@ def judge(found: DataFrame) -> DataFrame:
     """The columns ``decon_hit`` (words inside spans) and
     ``decon_contaminated``: a hit, and hits of at least 5 % of the words."""
     hit = F.aggregate("decon.spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
-    found = found.withColumn("decon_hit", hit)
+    found = without(found, "decon_hit", "decon_contaminated").withColumn("decon_hit", hit)
     return found.withColumn("decon_contaminated", (F.col("decon_hit") > 0) & (20 * F.col("decon_hit") >= F.col("decon.n_words")))
 
 

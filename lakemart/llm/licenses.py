@@ -25,7 +25,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import let
+from .common import let, without
 
 # Base phrases and their labels.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -116,6 +116,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates=TEMPLATES, rare
     """``docs`` plus ``lic_`` columns: n_words, n_base, first_word,
     last_word, base_labels, labels (arrays) and score: the best share of a
     template's rare words in place (verified), 1 for a base phrase."""
+    docs = without(docs, "lic_n_words", "lic_n_base", "lic_first_word", "lic_last_word", "lic_base_labels", "lic_labels", "lic_score")
     postings = build_index(document_frequencies(docs, text, templates), templates, rare)
     sizes = [sum(1 for p in postings if p[1] == t) for t in range(len(templates))]
     need = [max(1, -(-int(share * 100) * n // 100)) for n in sizes]

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import SPACES, let, row_key
+from .common import SPACES, let, row_key, without
 
 MIN_SITES = 10
 LG_K = 12
@@ -48,6 +48,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K)
 def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
     """``docs`` plus ``line_n`` (non-blank lines), ``line_removed`` and
     ``line_text`` (the text without boilerplate lines)."""
+    docs = without(docs, "line_n", "line_removed", "line_text")
     where: Column = F.coalesce(F.concat(F.lit("s:"), F.col(site).cast("string")), F.lit("null"))
     keyed = docs.select("doc_id", row_key(docs, text).alias("key"), where.alias("site"), F.col(text).alias("__t"))
     lines = _lines(keyed, "__t")

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import count_words, sized
+from .common import count_words, sized, without
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -60,6 +60,7 @@ def draw(seed: str = SEED, text: str = "text") -> Column:
 def mixing_plan(docs: DataFrame, text: str = "text", source: str = "source", seed: str = SEED, **kw) -> DataFrame:
     """``docs`` plus ``mix_size``, ``mix_source_size``, ``mix_target`` and
     ``mix_copies``."""
+    docs = without(docs, "mix_source", "mix_size", "mix_source_size", "mix_target", "mix_copies")
     rates = sized(source_targets(docs, text, source, **kw), MAX_BROADCAST)
     d = docs.withColumn("mix_size", count_words(F.col(text)))
     d = d.join(rates, d[source].eqNullSafe(rates["mix_source"])).drop("mix_source")

@@ -20,6 +20,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .common import without
+
 SHARDS = 24
 BUCKETS = 512
 OVERHEAD = 8
@@ -62,6 +64,7 @@ def key_of(column: str = "doc_id") -> Column:
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id") -> DataFrame:
     """``docs`` plus ``shard`` and ``grown_shard`` (with one shard more)."""
+    docs = without(docs, "shard", "grown_shard")
     h = jump_hash(key_of(key), F.lit(shards), F.lit(shards + 1), shards + 1)
     return (docs.withColumn("__h", h)
             .select(*docs.columns, F.col("__h.shard").cast("int").alias("shard"), F.col("__h.grown").cast("int").alias("grown_shard")))
