@@ -11,6 +11,8 @@ MONEY = 2   # digits kept for money amounts
 # HALF_UP on the true value instead of on float summation noise. With
 # precision <= 18 Spark keeps the values long-backed (fast path).
 MONEY_TYPE = "decimal(18,6)"
+# Totals are summed on: they may exceed one event's range.
+TOTAL_TYPE = "decimal(38,6)"
 RATE = 2    # digits kept for percentages
 
 # User segment thresholds (total events) and lifetime-value
@@ -39,15 +41,33 @@ def money_sum(x, digits: int = MONEY) -> Column:
     return F.round(F.sum(money(x)), digits).cast("double")
 
 
+def total_sum(x, digits: int = MONEY) -> Column:
+    """``money_sum`` of amounts that are sums themselves."""
+    return F.round(F.sum(_c(x).cast(TOTAL_TYPE)), digits).cast("double")
+
+
+def total_avg(x, digits: int = MONEY) -> Column:
+    """``money_avg`` of amounts that are sums themselves."""
+    return F.round(F.avg(_c(x).cast(TOTAL_TYPE)), digits).cast("double")
+
+
 def money_avg(x, digits: int = MONEY) -> Column:
     """round(AVG(x), digits) computed exactly in decimal, returned as DOUBLE."""
     return F.round(F.avg(money(x)), digits).cast("double")
 
 
+def ratio_avg(total, n, digits: int = MONEY) -> Column:
+    """``money_avg`` from an exact decimal sum and its row count (sums of
+    partial sums); NULL without rows."""
+    return F.round(_c(total).cast("decimal(28,6)") / F.nullif(_c(n), F.lit(0)).cast("decimal(18,0)"), digits).cast("double")
+
+
 def round_half_up(x, digits: int = 2) -> Column:
     """Spark ``round`` (HALF_UP) applied after first rounding to 10 places,
     so float noise from summation order (395.98999999999995 / 14) cannot
-    flip a value that is exactly half-way in decimal (28.285 -> 28.29)."""
+    flip a value that is exactly half-way in decimal (28.285 -> 28.29).
+    A single ``ROUND`` of the double differs from it only where the double
+    lies within 5e-11 below a half-way point."""
     return F.round(F.round(_c(x), 10), digits)
 
 

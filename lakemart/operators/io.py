@@ -4,11 +4,39 @@ partition report, snapshot comparison and history sampling."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.columns import round_half_up
 
 
+def _spread(df: DataFrame) -> Column:
+    """A hash of the whole row: the second range key that lets a heavy
+    first key take several tasks."""
+    return F.xxhash64(*[F.col(c) for c in df.columns])
+
+
+def swap_in(spark: SparkSession, new: str, path: str) -> None:
+    """Make the finished table at ``new`` the table at ``path``. The old
+    table is readable until it is set aside by one rename and is removed
+    only after the second rename; a crash in between leaves both complete
+    tables beside ``path`` (``<path>.new-*``, ``<path>.old-*``)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    target = hadoop(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    aside = hadoop(f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+    had = fs.exists(target)
+    if had and not fs.rename(target, aside):
+        raise OSError(f"cannot set {path} aside")
+    if not fs.rename(hadoop(new), target):
+        if had:
+            fs.rename(aside, target)
+        raise OSError(f"cannot move {new} to {path}")
+    if had:
+        fs.delete(aside, True)
+
+
 def partitioned_layout(df: DataFrame, partition_col: str, order_col: str | None = None,
                        num_files: int | None = None) -> DataFrame:
     """Rows laid out for a ``partitionBy(partition_col)`` write: range-
@@ -18,15 +46,16 @@ def partitioned_layout(df: DataFrame, partition_col: str, order_col: str | None
     two partition folders instead of every folder), and files come out
     clustered on ``order_col`` for min/max skipping."""
     n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cols = [partition_col] + ([order_col] if order_col else [])
-    return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    second = F.col(order_col) if order_col else _spread(df)
+    return df.repartitionByRange(n, F.col(partition_col), second).sortWithinPartitions(F.col(partition_col), second)
 
 
 def write_bronze(df: DataFrame, path: str, partition_col: str = "event_date",
                  order_col: str | None = "event_time", num_files: int | None = None) -> None:
     """Overwrite ``path`` as Parquet partitioned by ``partition_col``; only
     the partitions present in ``df`` are replaced (dynamic overwrite), so a
-    re-run of one day does not drop the other days."""
+    re-run of one whole day does not drop the other days. For batches that
+    hold part of a day use ``merge_bronze``."""
     (partitioned_layout(df, partition_col, order_col, num_files)
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
@@ -34,12 +63,29 @@ def write_bronze(df: DataFrame, path: str, partition_col: str = "event_date",
        .parquet(path))
 
 
+def merge_bronze(spark: SparkSession, batch: DataFrame, path: str, key: str = "event_id", partition_col: str = "event_date",
+                 order_col: str | None = "event_time", num_files: int | None = None) -> None:
+    """Load a batch that may hold only part of a day: rows already loaded
+    for the batch's days stay unless the batch has their ``key``. Only those
+    days' partitions are read and rewritten, and the same batch again
+    changes nothing."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+        days = batch.select(partition_col).distinct()
+        loaded = spark.read.parquet(path).join(F.broadcast(days), partition_col, "left_semi")
+        batch = loaded.join(batch.select(key), key, "left_anti").unionByName(batch, allowMissingColumns=True)
+    write_bronze(batch, path, partition_col, order_col, num_files)
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Full-refresh overwrite (new schema replaces the old one)."""
-    w = df.write.mode("overwrite")
+    """Full refresh (new schema replaces the old one): written beside
+    ``path``, then swapped in, so a failed write leaves the old table."""
+    new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    w.parquet(new)
+    swap_in(df.sparkSession, new, path)
 
 
 def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -61,9 +107,9 @@ def compact(spark: SparkSession, src: str, dst: str, target_files: int,
     """Rewrite a table with many small files into ``target_files`` files
     (per partition when partitioned) at a new path."""
     df = spark.read.parquet(src)
-    # partitioned tables: range over the partition columns, so a large
-    # partition is spread over several output files instead of one task
-    out = (df.repartitionByRange(target_files, *partition_by) if partition_by
+    # partitioned tables: range over the partition columns and a hash of the
+    # row, so a large partition is spread over several tasks and files
+    out = (df.repartitionByRange(target_files, *[F.col(c) for c in partition_by], _spread(df)) if partition_by
            else df.repartition(target_files))
     write_table(out, dst, partition_by)
     return spark.read.parquet(dst)

@@ -18,14 +18,6 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def null_check(df: DataFrame, cols: list[str], name: str | None = None) -> DataFrame:
-    """total_rows and ``null_<col>`` counts in one pass."""
-    aggs = [F.count(F.lit(1)).alias("total_rows")]
-    aggs += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in cols]
-    out = df.agg(*aggs)
-    return out.select(F.lit(name).alias("table_name"), "*") if name else out
-
-
 def null_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per column: null count and percent of rows (one aggregate pass, then
     an unpivot of the single result row)."""
@@ -37,14 +29,13 @@ def null_profile(df: DataFrame, cols: list[str]) -> DataFrame:
                        round_half_up(F.col("null_count") * 100.0 / F.col("_total")).alias("null_pct"))
 
 
-def range_check(df: DataFrame, cols: list[str], name: str | None = None) -> DataFrame:
-    """min / max / avg (rounded to 2) of each column, one pass."""
-    aggs = []
-    for c in cols:
-        aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"),
-                 round_half_up(F.avg(c)).alias(f"avg_{c}")]
-    out = df.agg(*aggs)
-    return out.select(F.lit(name).alias("table_name"), "*") if name else out
+def range_profile(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Per column: min, max and avg (rounded to 2), as doubles. One
+    aggregate pass, then an unpivot of the single result row."""
+    wide = df.agg(*[F.struct(F.min(c).cast("double").alias("min_value"), F.max(c).cast("double").alias("max_value"),
+                             round_half_up(F.avg(F.col(c).cast("double"))).alias("avg_value")).alias(c) for c in cols])
+    long = wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("v")) for c in cols])).alias("x"))
+    return long.select("x.column_name", "x.v.min_value", "x.v.max_value", "x.v.avg_value")
 
 
 def reconcile(mart_totals: DataFrame, fact_totals: DataFrame, label_mart: str = "Gold Table",
@@ -102,7 +93,3 @@ def scd2_invariants(dim: DataFrame, key: str, frm: str = "effective_from", to: s
         F.sum("_gap").cast("long").alias("gaps_or_overlaps"),
         F.sum("_ver").cast("long").alias("version_breaks"),
     )
-
-
-def count_where(cond: Column, name: str) -> Column:
-    return F.count_if(cond).alias(name)

@@ -65,6 +65,35 @@ def ntile_global(df: DataFrame, order, n: int, name: str = "ntile") -> DataFrame
     return indexed.withColumn(name, tile.cast("int")).drop(tmp)
 
 
+def running_total(df: DataFrame, order, amount: str, name: str, num_partitions: int | None = None) -> DataFrame:
+    """``SUM(amount) OVER (ORDER BY order)`` (distinct order values) without
+    a single-partition window: range partitions are summed, their offsets
+    broadcast (one row per partition), and running sums kept inside each."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    order = _cols(order)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *order).withColumn("_rt_pid", F.spark_partition_id()).checkpoint(eager=True)
+    sums = ranged.groupBy("_rt_pid").agg(F.sum(amount).alias("_rt_n"))
+    offsets = sums.select("_rt_pid", (F.sum("_rt_n").over(Window.orderBy("_rt_pid")) - F.col("_rt_n")).alias("_rt_off"))
+    inside = F.sum(amount).over(Window.partitionBy("_rt_pid").orderBy(*order))
+    return (ranged.withColumn(name, inside).join(F.broadcast(offsets), "_rt_pid")
+            .withColumn(name, (F.col(name) + F.col("_rt_off")).cast("long")).drop("_rt_pid", "_rt_off"))
+
+
+def dense_rank_in(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
+    """``DENSE_RANK() OVER (PARTITION BY group ORDER BY value DESC)`` without
+    sorting a group in one task: the distinct (group, value) pairs are
+    indexed over all groups, a pair's rank is its index less those of
+    earlier groups, and rows get it by join."""
+    pairs = df.select(group, value).distinct()
+    indexed = row_index(pairs, [F.col(group).asc_nulls_last(), F.col(value).desc()], "_dr_i")
+    first = indexed.groupBy(group).agg(F.min("_dr_i").alias("_dr_0")).select(F.col(group).alias("_dr_g0"), "_dr_0")
+    ranks = indexed.join(first, F.col(group).eqNullSafe(F.col("_dr_g0"))).select(
+        F.col(group).alias("_dr_g"), F.col(value).alias("_dr_v"), (F.col("_dr_i") - F.col("_dr_0") + 1).cast("int").alias(name))
+    return df.join(ranks, df[group].eqNullSafe(F.col("_dr_g")) & df[value].eqNullSafe(F.col("_dr_v"))).drop("_dr_g", "_dr_v")
+
+
 def latest_per_key(df: DataFrame, key, order, values: list[str]) -> DataFrame:
     """Values of the row with the greatest ``order`` per ``key`` (the
     ``row_number() ... = 1`` pattern) as a ``max_by`` aggregate: partial
@@ -96,19 +125,25 @@ def share(df: DataFrame, col: str, part=None, name: str | None = None, digits: i
 
 
 def row_number_by_time(df: DataFrame, part: str, ts: str, tie: str, name: str = "rn",
-                       bucket_s: int = 3600) -> DataFrame:
+                       bucket_s: int = 60) -> DataFrame:
     """``row_number() OVER (PARTITION BY part ORDER BY ts, tie)`` without
     sorting a whole (possibly hot) group in one task: rows are numbered
     inside (part, time bucket) and shifted by the count of the group's rows
-    in earlier buckets (a small per-bucket summary with a running sum)."""
+    in earlier buckets (a small per-bucket summary with a running sum).
+    One task sorts at most what a group holds in one bucket (a minute).
+
+    Rows whose ``part`` or ``ts`` is NULL belong to no group: they are kept
+    with a NULL number (and spread over tasks by ``tie``)."""
     bkt = F.floor(F.unix_micros(F.col(ts)) / (bucket_s * 1000000))
-    d = df.withColumn("_rb_bkt", bkt)
-    local = F.row_number().over(Window.partitionBy(part, "_rb_bkt").orderBy(F.col(ts), F.col(tie)))
+    known = F.col(part).isNotNull() & F.col(ts).isNotNull()
+    d = df.withColumn("_rb_bkt", F.when(known, bkt))
+    spread = F.when(known, F.lit(0)).otherwise(F.pmod(F.xxhash64(tie), F.lit(4096)))
+    local = F.row_number().over(Window.partitionBy(part, "_rb_bkt", spread).orderBy(F.col(ts), F.col(tie)))
     d = d.withColumn("_rb_local", local)
-    sizes = d.groupBy(part, "_rb_bkt").agg(F.count(F.lit(1)).alias("_rb_n"))
+    sizes = d.filter(F.col("_rb_bkt").isNotNull()).groupBy(part, "_rb_bkt").agg(F.count(F.lit(1)).alias("_rb_n"))
     wo = Window.partitionBy(part).orderBy("_rb_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(part, "_rb_bkt", F.coalesce(F.sum("_rb_n").over(wo), F.lit(0)).alias("_rb_off"))
-    return (d.join(offsets, [part, "_rb_bkt"])
+    return (d.join(offsets, [part, "_rb_bkt"], "left")
              .withColumn(name, (F.col("_rb_local") + F.col("_rb_off")).cast("long"))
              .drop("_rb_bkt", "_rb_local", "_rb_off"))
 
@@ -143,12 +178,15 @@ def sessionize(df: DataFrame, user: str = "user_sk", ts: str = "event_time",
     many events a hot user has) decides which buckets open a session and
     numbers them, and a join on (user, bucket) hands the number to the
     events.
+
+    Events without a user or a time are in no session: they are kept with a
+    NULL number, so rows out equal rows in.
     """
     scale = 1 if unit == "s" else 1000000
     gap = gap_s * scale
     t = F.unix_timestamp(F.col(ts)) if unit == "s" else F.unix_micros(F.col(ts))
     d = df.withColumn("_sz_t", t).withColumn("_sz_bkt", F.floor(F.col("_sz_t") / gap))
-    buckets = d.groupBy(user, "_sz_bkt").agg(F.min("_sz_t").alias("_sz_first"),
+    buckets = d.filter(F.col(user).isNotNull() & F.col("_sz_bkt").isNotNull()).groupBy(user, "_sz_bkt").agg(F.min("_sz_t").alias("_sz_first"),
                                              F.max("_sz_t").alias("_sz_last"))
     numbered = number_session_buckets(buckets, user, gap, out=out)
-    return d.join(numbered, [user, "_sz_bkt"]).drop("_sz_t", "_sz_bkt")
+    return d.join(numbered, [user, "_sz_bkt"], "left").drop("_sz_t", "_sz_bkt")

@@ -14,12 +14,17 @@ from __future__ import annotations
 
 import argparse
 import os
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .functions.columns import SEGMENT_ENGAGED_MIN, SEGMENT_POWER_MIN
-from .operators.io import partitioned_layout, write_bronze, write_table
-from .plans import marts, star as S
+from .functions.columns import SEGMENT_ENGAGED_MIN, SEGMENT_POWER_MIN, clean_brand, clean_price
+from .operators import quality as Q
+from .operators.io import merge_bronze, partitioned_layout, write_bronze, write_table
+from .operators.joins import lookup
+from .operators.keys import continue_keys
+from .operators.windows import latest_per_key
+from .plans import marts, scd2, star as S
 from .session import checkpoint_dir, get_spark
 from .sources.events import bronze_from_tables, read_events_csv, with_lineage
 
@@ -31,16 +36,28 @@ def _p(root: str, name: str) -> str:
     return os.path.join(root, name)
 
 
+def with_event_id(raw: DataFrame, cols: list[str]) -> DataFrame:
+    """``event_id``: the MD5 of all raw columns and an occurrence number, so
+    exact duplicate rows stay apart and ids do not collide at scale. Only
+    identical rows share a window group."""
+    digest = F.md5(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).cast("binary"))
+    nth = F.row_number().over(Window.partitionBy("_digest").orderBy(F.lit(1)))
+    return (raw.withColumn("_digest", digest).withColumn("event_id", F.concat(F.col("_digest"), F.lit("-"), nth.cast("string")))
+            .drop("_digest"))
+
+
+def read_batch(spark: SparkSession, csv: str | None = None, tables: str | None = None, load_ts: Column | None = None) -> DataFrame:
+    """Raw CSV files (explicit schema) or the test tables, in bronze form."""
+    if not csv:
+        return bronze_from_tables(spark, tables, load_ts)
+    raw = read_events_csv(spark, csv)
+    return with_event_id(with_lineage(raw, load_ts), raw.columns)
+
+
 def build_bronze(spark: SparkSession, out: str, csv: str | None = None, tables: str | None = None,
                  load_ts: Column | None = None) -> DataFrame:
-    """Raw CSV files (explicit schema) or the test tables -> bronze,
-    partitioned by event date."""
-    if csv:
-        raw = read_events_csv(spark, csv)
-        bronze = with_lineage(raw, load_ts).withColumn("event_id", F.xxhash64(*raw.columns))
-    else:
-        bronze = bronze_from_tables(spark, tables, load_ts)
-    write_bronze(bronze, _p(out, "bronze"))
+    """The initial load: the input's days, partitioned by event date."""
+    write_bronze(read_batch(spark, csv, tables, load_ts), _p(out, "bronze"))
     return spark.read.parquet(_p(out, "bronze"))
 
 
@@ -86,18 +103,70 @@ def build_gold(spark: SparkSession, out: str, silver: dict[str, DataFrame], only
     return result
 
 
+def maintain(spark: SparkSession, out: str, batch: DataFrame, power: int = SEGMENT_POWER_MIN, engaged: int = SEGMENT_ENGAGED_MIN,
+             only: list[str] | None = None, load_ts: Column | None = None) -> dict[str, DataFrame]:
+    """A later load over an existing lake: the batch (which may hold parts of
+    days) is merged into bronze; calendar and categories are refreshed;
+    products take the batch's latest values as a type 2 snapshot that starts
+    on the batch's last day; new users are keyed after the known ones; the
+    fact of the touched days is rewritten; marts and quality tables follow.
+    Each table is written beside the old one and swapped in."""
+    batch.write.parquet(staged := f"{_p(out, 'batch')}-{uuid.uuid4().hex}")
+    batch = spark.read.parquet(staged)
+    merge_bronze(spark, batch, _p(out, "bronze"))
+    bronze = spark.read.parquet(_p(out, "bronze"))
+    write_table(S.dim_date(spark, bronze), _p(out, "dim_date"))
+    write_table(S.dim_categories(bronze, load_ts), _p(out, "dim_categories"))
+    dates, cats = (spark.read.parquet(_p(out, n)) for n in ("dim_date", "dim_categories"))
+    products, users = (spark.read.parquet(_p(out, n)) for n in ("dim_products", "dim_users"))
+    latest = latest_per_key(batch.filter(F.col("product_id").isNotNull()), "product_id", ["event_time", "event_id"],
+                            ["price", "brand", "category_code"])
+    snap = lookup(latest, cats, "category_code", "category_full_path", "category_sk").select(
+        "product_id", clean_price("price").alias("price"), clean_brand("brand").alias("brand"), "category_sk", "category_code")
+    as_of = batch.select(F.max("event_date")).scalar()
+    write_table(scd2.scd2_apply(products, snap, "product_id", scd2.PRODUCT_TRACKED, as_of, carry=["category_code"], load_ts=load_ts),
+                _p(out, "dim_products"))
+    fresh = S.dim_users(bronze, power, engaged, load_ts).drop("user_sk").join(users.select("user_id"), "user_id", "left_anti")
+    keyed = continue_keys(users, fresh, ["user_id"], "user_sk").select(*users.columns)
+    write_table(users.unionByName(keyed), _p(out, "dim_users"))
+    products, users = (spark.read.parquet(_p(out, n)) for n in ("dim_products", "dim_users"))
+    days = batch.select("event_date").distinct()
+    touched = bronze.join(F.broadcast(days), "event_date", "left_semi")
+    write_bronze(S.fact_events(touched, dates, users, products, load_ts), _p(out, "fact_events"))
+    silver = {"dim_date": dates, "dim_categories": cats, "dim_products": products, "dim_users": users,
+              "fact_events": spark.read.parquet(_p(out, "fact_events"))}
+    result = build_gold(spark, out, silver, only, load_ts)
+    result |= build_quality(spark, out, silver)
+    return result
+
+
+def build_quality(spark: SparkSession, out: str, silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Checks over the written tables: key resolution, type 2 invariants,
+    row counts."""
+    tables = {"quality_keys": Q.fk_resolution(silver["fact_events"], ["date_sk", "user_sk", "product_sk", "category_sk"]),
+              "quality_products": Q.scd2_invariants(silver["dim_products"], "product_id"),
+              "quality_rows": Q.row_counts(silver)}
+    for name, df in tables.items():
+        write_table(df, _p(out, name))
+    return {name: spark.read.parquet(_p(out, name)) for name in tables}
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--csv", help="raw event CSV files (glob)")
     src.add_argument("--tables", help="folder with the events / part Parquet tables")
     ap.add_argument("--out", required=True, help="output root (shared storage on a cluster)")
+    ap.add_argument("--maintain", action="store_true", help="merge the input into the lake at --out")
     ap.add_argument("--marts", nargs="*", choices=MARTS, help="only these marts")
     ap.add_argument("--power", type=int, default=SEGMENT_POWER_MIN)
     ap.add_argument("--engaged", type=int, default=SEGMENT_ENGAGED_MIN)
     args = ap.parse_args(argv)
     spark = get_spark()
     checkpoint_dir(spark)
+    if args.maintain:
+        maintain(spark, args.out, read_batch(spark, args.csv, args.tables), args.power, args.engaged, args.marts)
+        return
     bronze = build_bronze(spark, args.out, args.csv, args.tables)
     silver = build_silver(spark, args.out, bronze, args.power, args.engaged)
     build_gold(spark, args.out, silver, args.marts)

@@ -36,7 +36,8 @@ def fact_time_features(fact: DataFrame) -> DataFrame:
     """Fact rows with hour, ISO weekday, weekend / business-hour flags,
     time of day, the event's position in its session and a first-event
     flag. The position is a row number per session computed per
-    (session, hour) plus the count of the session's earlier hours."""
+    (session, minute) plus the count of the session's earlier minutes;
+    events without a session or a time are kept without a position."""
     hour = F.hour("event_time")
     dow = F.weekday("event_time") + 1
     lo, hi = BUSINESS_HOURS
@@ -46,19 +47,21 @@ def fact_time_features(fact: DataFrame) -> DataFrame:
                     ((hour >= lo) & (hour < hi) & ~dow.isin(6, 7)).alias("is_business_hours"),
                     time_of_day(hour).alias("time_of_day"))
     n = row_number_by_time(f, "user_session", "event_time", "event_id", "event_number_in_session")
-    return n.withColumn("is_first_event_in_session", F.col("event_number_in_session") == 1)
+    return n.withColumn("is_first_event_in_session", F.coalesce(F.col("event_number_in_session") == 1, F.lit(False)))
 
 
 def fact_sessions(fact: DataFrame) -> DataFrame:
     """One row per session id (``user_session``): timing, counts, breadth,
     mean gap between events ((last - first) / (events - 1), no lag needed),
-    outcome, funnel stage, bounce flag, weekend flag, time of day."""
+    outcome, funnel stage, bounce flag, weekend flag, time of day. Events
+    without a session id belong to no session and are left out here
+    (``sessionless_events`` counts them per day)."""
     sec = F.unix_timestamp("event_time")
 
     def n(t):
         return F.sum(F.when(F.col("event_type") == t, 1).otherwise(0)).cast("long")
 
-    agg = fact.groupBy(F.col("user_session").alias("session_id")).agg(
+    agg = fact.filter(F.col("user_session").isNotNull()).groupBy(F.col("user_session").alias("session_id")).agg(
         F.min("user_sk").alias("user_sk"),
         F.min("event_date").alias("session_date"),
         F.min("event_time").alias("session_start_time"),
@@ -85,6 +88,12 @@ def fact_sessions(fact: DataFrame) -> DataFrame:
         time_of_day(start_hour).alias("session_time_of_day"))
 
 
+def sessionless_events(fact: DataFrame) -> DataFrame:
+    """Per day: events that carry no session id."""
+    return (fact.filter(F.col("user_session").isNull()).groupBy("event_date")
+            .agg(F.count(F.lit(1)).alias("events"), F.count_distinct("user_sk").alias("users")))
+
+
 def category_parents(categories: DataFrame) -> DataFrame:
     """Categories with ``parent_category_sk`` (the path one level up)."""
     parent_path = (F.when(F.col("category_depth") == 3, F.concat_ws(".", "category_l1", "category_l2"))
@@ -243,26 +252,26 @@ def product_features(fact: DataFrame, as_of=None) -> DataFrame:
 
 def incremental_sessions(history: DataFrame, new_events: DataFrame, user: str = "user_sk",
                          gap_s: int = 1800) -> DataFrame:
-    """Session numbers for ``new_events`` continuing the numbering of the
-    already sessionized ``history`` (which carries ``session_number``).
-
-    Only users present in the new batch are touched: each one's last
-    historical event (a ``max_by`` aggregate, pruned to those users by a
-    semi join) seeds the sessionization of its new events; a new event
-    continues the seed's session unless the gap exceeds ``gap_s``."""
-    affected = new_events.select(user).distinct()
-    last = (history.join(affected, user, "left_semi").groupBy(user)
-            .agg(F.max_by(F.struct("event_time", "session_number"), F.struct("event_time", "event_id")).alias("_s"))
-            .select(user, F.col("_s.event_time").alias("event_time"),
-                    F.col("_s.session_number").alias("_seed_session"),
-                    F.lit(None).cast(new_events.schema["event_id"].dataType).alias("event_id")))
-    seeds = last.select(user, "event_time", "event_id", F.lit(True).alias("_seed"))
-    rows = new_events.select(user, "event_time", "event_id", F.lit(False).alias("_seed")).unionByName(seeds)
-    s = sessionize(rows, user, "event_time", gap_s)
-    offset = last.select(user, (F.col("_seed_session") - 1).alias("_off"))
-    return (s.filter(~F.col("_seed")).join(offset, user, "left")
-             .select(user, "event_id", "event_time",
-                     (F.col("session_number") + F.coalesce(F.col("_off"), F.lit(0))).alias("session_number")))
+    """Session numbers for ``new_events`` and for those rows of the already
+    sessionized ``history`` (which carries ``session_number``) whose number
+    they change: late events may extend, join or precede known sessions.
+
+    Only users present in the new batch are touched. Each is numbered anew
+    from the session of the last historical event at or before the user's
+    earliest new event (the first session if there is none); sessions before
+    that keep their numbers. Events without user or time have no session."""
+    early = new_events.groupBy(user).agg(F.min("event_time").alias("_new_from"))
+    mine = history.select(user, "event_id", "event_time", "session_number").join(early, user)
+    base = mine.groupBy(user).agg(
+        F.coalesce(F.max(F.when(F.col("event_time") <= F.col("_new_from"), F.col("session_number"))), F.lit(1)).alias("_base"))
+    redo = (mine.join(base, user).filter(F.col("session_number") >= F.col("_base"))
+            .select(user, "event_id", "event_time", F.col("session_number").alias("_old")))
+    rows = redo.unionByName(new_events.select(user, "event_id", "event_time", F.lit(None).cast("long").alias("_old")))
+    s = sessionize(rows, user, "event_time", gap_s).join(base, user, "left")
+    number = (F.col("session_number") + F.coalesce(F.col("_base"), F.lit(1)) - 1).cast("long")
+    return (s.withColumn("session_number", number)
+             .filter(F.col("_old").isNull() | (F.col("_old") != F.col("session_number")))
+             .select(user, "event_id", "event_time", "session_number"))
 
 
 def dim_date_fiscal(dates: DataFrame, fiscal_start_month: int = 7) -> DataFrame:

@@ -5,12 +5,15 @@ DataFrame (full refresh). Every mart ends with ``created_at``; pass
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.columns import (MONEY_TYPE, money, money_avg, money_sum, round_half_up, count_of, distinct_of, purchase_revenue, quantity_of,
-                                 revenue_of, safe_rate, users_of)
+from ..functions.columns import (MONEY_TYPE, TOTAL_TYPE, count_of, distinct_of, money, money_avg, money_sum, purchase_revenue,
+                                 quantity_of, revenue_of, round_half_up, safe_rate, total_avg, total_sum)
 from ..operators.joins import UNKNOWN_SK
-from ..operators.windows import number_session_buckets
+from ..operators.windows import dense_rank_in, number_session_buckets
+from ..session import checkpoint_dir
 
 DATE_ATTRS = ["date_key", "full_date", "year", "quarter", "month", "month_name",
               "day_of_month", "day_name", "day_of_week", "is_weekend"]
@@ -35,17 +38,41 @@ def _rates() -> list:
             safe_rate("total_revenue", "total_views", scale=1.0).alias("revenue_per_view")]
 
 
-def _user_distincts() -> list:
-    return [F.count_distinct("user_sk").alias("unique_users_interacted"),
-            users_of("view").alias("unique_viewers"),
-            users_of("cart").alias("unique_carts"),
-            users_of("purchase").alias("unique_purchasers")]
+TYPES = ("view", "cart", "purchase")
+
+
+def _distincts(rows: DataFrame, keys: list[str], col: str, **names: str) -> DataFrame:
+    """Distinct non-null values of ``col`` per ``keys``: over all rows
+    (``any=`` column name) and over the rows of an event type. Rows are
+    reduced to (keys, col) before the shuffle, so counts are row counts and
+    no event is expanded per measure."""
+    flags = [F.max(F.col("event_type") == t).alias(f"_{t}") for t in TYPES if t in names]
+    per = rows.groupBy(*keys, col).agg(*(flags or [F.count(F.lit(1)).alias("_n")]))
+    have = F.col(col).isNotNull()
+    out = [F.count_if(have if k == "any" else have & F.coalesce(F.col(f"_{k}"), F.lit(False))).alias(n) for k, n in names.items()]
+    return per.groupBy(*keys).agg(*out)
+
+
+def _beside(base: DataFrame, keys: list[str], *sides: DataFrame) -> DataFrame:
+    """``base`` with the columns of ``sides``, joined on ``keys`` (NULL
+    equals NULL; all have the same keys)."""
+    for i, side in enumerate(sides):
+        s = side.select(*[F.col(k).alias(f"_{i}_{k}") for k in keys], *[c for c in side.columns if c not in keys])
+        base = base.join(s, reduce(lambda x, y: x & y, [base[k].eqNullSafe(s[f"_{i}_{k}"]) for k in keys])).drop(*[f"_{i}_{k}" for k in keys])
+    return base
+
+
+def _users(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return _distincts(rows, keys, "user_sk", any="unique_users_interacted", view="unique_viewers", cart="unique_carts",
+                      purchase="unique_purchasers")
+
+
+def _days(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return _distincts(rows, keys, "date_sk", any="days_active")
 
 
-def _timing() -> list:
-    return [F.min("event_time").alias("first_event_date"),
-            F.max("event_time").alias("last_event_date"),
-            F.count_distinct("date_sk").alias("days_active")]
+def _seen() -> list:
+    return [F.min("event_time").alias("first_event_date"), F.max("event_time").alias("last_event_date")]
 
 
 def gold_daily(fact: DataFrame, dates: DataFrame, users: DataFrame, load_ts=None) -> DataFrame:
@@ -60,25 +87,21 @@ def gold_daily(fact: DataFrame, dates: DataFrame, users: DataFrame, load_ts=None
     attributes are joined to the ~one-row-per-day results."""
     f = fact.filter(F.col("user_sk") != UNKNOWN_SK)
     agg = f.groupBy("date_sk").agg(
-        F.count_distinct("user_sk").alias("daily_active_users"),
-        F.count(F.lit(1)).alias("total_events"),
-        count_of("view").alias("total_views"),
-        count_of("cart").alias("total_carts"),
-        count_of("remove_from_cart").alias("total_removes"),
-        count_of("purchase").alias("total_purchases"),
+        *_type_counts(),
         money_sum("revenue").alias("total_revenue"),
         purchase_revenue().alias("avg_order_value"),
         quantity_of().alias("total_quantity_sold"),
-        F.count_distinct("product_sk").alias("unique_products_viewed"),
-        distinct_of("purchase", "product_sk").alias("unique_products_sold"),
-        F.count_distinct("category_sk").alias("unique_categories_active"),
     )
+    agg = _beside(agg, ["date_sk"],
+                  _distincts(f, ["date_sk"], "product_sk", any="unique_products_viewed", purchase="unique_products_sold"),
+                  _distincts(f, ["date_sk"], "category_sk", any="unique_categories_active"))
     day_users = f.select("date_sk", "user_sk").distinct().join(users.select("user_sk", "user_segment"), "user_sk")
 
     def seg_users(s):
         return F.count_if(F.col("user_segment") == s)
 
     segs = day_users.groupBy("date_sk").agg(
+        F.count(F.lit(1)).alias("daily_active_users"),
         seg_users("power_user").alias("dau_power_users"),
         seg_users("engaged").alias("dau_engaged"),
         seg_users("casual").alias("dau_casual"),
@@ -111,14 +134,13 @@ def gold_user(fact: DataFrame, users: DataFrame, as_of=None, load_ts=None) -> Da
         money_sum("revenue").alias("lifetime_revenue"),
         purchase_revenue().alias("avg_order_value"),
         quantity_of().alias("total_quantity_purchased"),
-        F.min("event_time").alias("first_event_date"),
-        F.max("event_time").alias("last_event_date"),
-        F.count_distinct("date_sk").alias("days_active"),
+        *_seen(),
         F.max(F.to_date("event_time")).alias("_last_day"),
-        F.count_distinct("product_sk").alias("unique_products_viewed"),
-        distinct_of("purchase", "product_sk").alias("unique_products_purchased"),
-        F.count_distinct("category_sk").alias("unique_categories_browsed"),
-    ).join(cur, "user_sk")
+    )
+    k = ["user_sk"]
+    agg = _beside(agg, k, _days(fact, k),
+                  _distincts(fact, k, "product_sk", any="unique_products_viewed", purchase="unique_products_purchased"),
+                  _distincts(fact, k, "category_sk", any="unique_categories_browsed")).join(cur, "user_sk")
     return agg.select(
         "user_sk", "user_id", "user_segment", "total_events", "total_views", "total_carts",
         "total_removes", "total_purchases", "lifetime_revenue", "avg_order_value",
@@ -140,14 +162,15 @@ def gold_product(fact: DataFrame, products: DataFrame, categories: DataFrame, lo
                           "category_l1", "category_l2")
     # aggregate on the fact's keys (category_sk follows from the product
     # version), then attach the product / category attributes
-    per = fact.groupBy("product_sk", "category_sk").agg(
+    k = ["product_sk", "category_sk"]
+    per = fact.groupBy(*k).agg(
         *_type_counts(),
         revenue_of().alias("total_revenue"),
         purchase_revenue().alias("avg_revenue_per_purchase"),
         quantity_of().alias("total_quantity_sold"),
-        *_user_distincts(),
-        *_timing(),
+        *_seen(),
     )
+    per = _beside(per, k, _users(fact, k), _days(fact, k))
     agg = per.join(p, "product_sk").join(c, "category_sk").select(
         "product_sk", "product_id", "brand", "category_code", "category_l1", "category_l2",
         "total_events", "total_views", "total_carts", "total_removes", "total_purchases",
@@ -156,12 +179,13 @@ def gold_product(fact: DataFrame, products: DataFrame, categories: DataFrame, lo
         "first_event_date", "last_event_date", "days_active",
         F.col("price").alias("current_price"), F.col("price").alias("min_price_seen"),
         F.col("price").alias("max_price_seen"))
-    w = Window.partitionBy("category_l1")
-    return agg.select(
-        "*", *_rates(),
-        F.dense_rank().over(w.orderBy(F.desc("total_revenue"))).alias("rank_in_category_by_revenue"),
-        F.dense_rank().over(w.orderBy(F.desc("total_purchases"))).alias("rank_in_category_by_purchases"),
-        _ts(load_ts))
+    # one row per product: aggregated once, then ranked without sorting a
+    # whole top-level category in one task
+    checkpoint_dir(fact.sparkSession)
+    agg = agg.checkpoint(eager=True)
+    ranked = dense_rank_in(agg, "category_l1", "total_revenue", "rank_in_category_by_revenue")
+    ranked = dense_rank_in(ranked, "category_l1", "total_purchases", "rank_in_category_by_purchases")
+    return ranked.select(*agg.columns, *_rates(), "rank_in_category_by_revenue", "rank_in_category_by_purchases", _ts(load_ts))
 
 
 def gold_category(fact: DataFrame, categories: DataFrame, load_ts=None) -> DataFrame:
@@ -174,11 +198,11 @@ def gold_category(fact: DataFrame, categories: DataFrame, load_ts=None) -> DataF
         revenue_of().alias("total_revenue"),
         purchase_revenue().alias("avg_revenue_per_purchase"),
         quantity_of().alias("total_quantity_sold"),
-        F.count_distinct("product_sk").alias("unique_products"),
-        distinct_of("purchase", "product_sk").alias("products_purchased"),
-        *_user_distincts(),
-        *_timing(),
+        *_seen(),
     )
+    k = ["category_sk"]
+    per = _beside(per, k, _distincts(fact, k, "product_sk", any="unique_products", purchase="products_purchased"),
+                  _users(fact, k), _days(fact, k))
     agg = per.join(categories.select(*keys), "category_sk").select(*keys, *[c for c in per.columns
                                                                              if c != "category_sk"])
     l1 = Window.partitionBy("category_l1")
@@ -203,16 +227,15 @@ def gold_brand(fact: DataFrame, products: DataFrame, categories: DataFrame, load
         revenue_of().alias("total_revenue"),
         purchase_revenue().alias("avg_revenue_per_purchase"),
         quantity_of().alias("total_quantity_sold"),
-        F.count_distinct("product_sk").alias("unique_products"),
-        distinct_of("purchase", "product_sk").alias("products_purchased"),
-        F.count_distinct("category_l1").alias("categories_l1_count"),
-        F.count_distinct("category_sk").alias("total_categories"),
-        *_user_distincts(),
-        *_timing(),
+        *_seen(),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
         money_avg("price").alias("avg_price"),
     )
+    k = ["brand"]
+    agg = _beside(agg, k, _distincts(f, k, "product_sk", any="unique_products", purchase="products_purchased"),
+                  _distincts(f, k, "category_l1", any="categories_l1_count"), _distincts(f, k, "category_sk", any="total_categories"),
+                  _users(f, k), _days(f, k))
     everything = Window.partitionBy()
     share = round_half_up(F.col("total_revenue") * 100.0
                     / F.nullif(F.sum("total_revenue").over(everything), F.lit(0.0)), 2)
@@ -232,17 +255,16 @@ def gold_funnel(fact: DataFrame, products: DataFrame, categories: DataFrame, dat
     c = categories.select("category_sk", "category_l1", "category_l2")
     d = F.broadcast(dates.select("date_key", "full_date"))
     f = fact.join(p, "product_sk").join(c, "category_sk")
-    agg = f.groupBy("date_sk", "category_l1", "category_l2").agg(
-        users_of("view").alias("users_viewed"),
-        users_of("cart").alias("users_carted"),
-        users_of("purchase").alias("users_purchased"),
+    k = ["date_sk", "category_l1", "category_l2"]
+    agg = f.groupBy(*k).agg(
         count_of("view").alias("total_views"),
         count_of("cart").alias("total_carts"),
         count_of("remove_from_cart").alias("total_removes"),
         count_of("purchase").alias("total_purchases"),
         revenue_of().alias("total_revenue"),
-        F.count_distinct("product_sk").alias("unique_products_in_funnel"),
     )
+    agg = _beside(agg, k, _distincts(f, k, "user_sk", view="users_viewed", cart="users_carted", purchase="users_purchased"),
+                  _distincts(f, k, "product_sk", any="unique_products_in_funnel"))
     agg = agg.join(d, agg.date_sk == d.date_key).select("date_sk", "full_date", *[
         x for x in agg.columns if x != "date_sk"])
     uv, uc, up = F.col("users_viewed"), F.col("users_carted"), F.col("users_purchased")
@@ -325,8 +347,8 @@ def gold_session(fact: DataFrame, dates: DataFrame, gap_s: int = 1800, load_ts=N
         round_half_up(F.avg("unique_products_in_session"), 2).alias("avg_products_per_session"),
         F.sum("had_cart_action").cast("long").alias("sessions_with_cart"),
         F.sum("had_purchase").cast("long").alias("sessions_with_purchase"),
-        money_sum("session_revenue").alias("total_session_revenue"),
-        money_avg(F.when(F.col("had_purchase") == 1, F.col("session_revenue")))
+        total_sum("session_revenue").alias("total_session_revenue"),
+        total_avg(F.when(F.col("had_purchase") == 1, F.col("session_revenue")))
          .alias("avg_revenue_per_converting_session"),
         F.sum(F.when(n == 1, 1).otherwise(0)).cast("long").alias("single_event_sessions"),
         F.sum(F.when(n.between(2, 5), 1).otherwise(0)).cast("long").alias("low_engagement_sessions"),
@@ -368,15 +390,15 @@ def gold_cohort(fact: DataFrame, user: str = "user_sk", load_ts=None) -> DataFra
         F.sum("views").cast("long").alias("total_views"),
         F.sum("carts").cast("long").alias("total_carts"),
         F.sum("purchases").cast("long").alias("total_purchases"),
-        money_sum("revenue").alias("period_revenue"),
+        total_sum("revenue").alias("period_revenue"),
         round_half_up(F.avg("views"), 2).alias("avg_views_per_user"),
-        money_avg("revenue").alias("avg_revenue_per_user"),
+        total_avg("revenue").alias("avg_revenue_per_user"),
     )
     size = (ua.filter(F.col("activity_month") == F.col("cohort_month"))
               .groupBy("cohort_month").agg(F.count(F.lit(1)).alias("total_cohort_users")))
     w = (Window.partitionBy("cohort_month").orderBy("periods_since_cohort")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cum = F.sum(money("period_revenue")).over(w)
+    cum = F.sum(F.col("period_revenue").cast(TOTAL_TYPE)).over(w)
     return cm.join(size, "cohort_month").select(
         "cohort_month", "periods_since_cohort", "activity_month", "cohort_size", "active_users",
         "total_views", "total_carts", "total_purchases", "period_revenue", "avg_views_per_user",

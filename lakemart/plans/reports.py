@@ -8,11 +8,13 @@ the mart definitions)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.columns import (count_of, ltv_tier, money_avg, money_sum, round_half_up as rhu,
+from ..functions.columns import (count_of, ltv_tier, money, money_avg, money_sum, ratio_avg, round_half_up as rhu, total_avg, total_sum,
                                  safe_rate)
-from ..operators.windows import ntile_global, top_n
+from ..operators.windows import ntile_global, running_total, top_n
 
 RAW_COLUMNS = ["event_time", "event_type", "product_id", "category_id", "category_code", "brand",
                "price", "user_id", "user_session"]
@@ -55,16 +57,13 @@ def session_duplicate_ratio(bronze: DataFrame) -> DataFrame:
                                                  / F.col("total_rows")))
 
 
-def _distinct_with_null(c: str) -> Column:
-    """Distinct values counting NULL as one value (``select(c).distinct().count()``)."""
-    return F.count_distinct(c) + F.max(F.when(F.col(c).isNull(), 1).otherwise(0))
-
-
 def cardinalities(bronze: DataFrame) -> DataFrame:
-    return bronze.agg(*[_distinct_with_null(c).cast("long").alias(f"unique_{n}")
-                        for c, n in [("product_id", "products"), ("category_id", "categories"),
-                                     ("brand", "brands"), ("user_id", "users"),
-                                     ("user_session", "sessions")]])
+    """Distinct values (NULL is one) of five columns: each column is reduced
+    to its values first, then counted; no row is expanded per column."""
+    counts = [bronze.select(c).distinct().select(F.count(F.lit(1))).scalar().alias(f"unique_{n}")
+              for c, n in [("product_id", "products"), ("category_id", "categories"), ("brand", "brands"),
+                           ("user_id", "users"), ("user_session", "sessions")]]
+    return bronze.sparkSession.range(1).select(*counts)
 
 
 def top_values(bronze: DataFrame, col: str, n: int = 10) -> DataFrame:
@@ -90,11 +89,27 @@ def user_level_funnel(bronze: DataFrame) -> DataFrame:
 
 
 def price_statistics(bronze: DataFrame, exact: bool = True) -> DataFrame:
-    pct = F.percentile if exact else F.percentile_approx
-    return bronze.agg(F.min("price").alias("min_price"), F.max("price").alias("max_price"),
-                      money_avg("price", 6).alias("avg_price"),
-                      rhu(pct("price", F.lit(0.5)), 6).alias("median_price"),
-                      rhu(pct("price", F.lit(0.95)), 6).alias("p95_price"))
+    """Bounds, mean, median and 95th percentile of the price. Exact
+    percentiles come from running counts over the distinct prices (range-
+    partitioned, see ``running_total``), not from one task's buffer;
+    ``exact=False`` takes ``percentile_approx``."""
+    base = [F.min("price").alias("min_price"), F.max("price").alias("max_price"), money_avg("price", 6).alias("avg_price")]
+    if not exact:
+        return bronze.agg(*base, rhu(F.percentile_approx("price", F.lit(0.5)), 6).alias("median_price"),
+                          rhu(F.percentile_approx("price", F.lit(0.95)), 6).alias("p95_price"))
+    counts = bronze.filter(F.col("price").isNotNull()).groupBy("price").agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_total(counts, "price", "n", "upto")
+    total = ranked.select(F.max("upto")).scalar()
+
+    def at(rank):  # the price at a 0-based rank
+        return ranked.filter(F.col("upto") > rank).select(F.min("price")).scalar()
+
+    def pct(p):
+        place = p * (total - 1)
+        low = F.floor(place)
+        lo, hi = at(low), at(F.ceil(place))
+        return rhu(lo + (hi - lo) * (place - low), 6)
+    return bronze.agg(*base).select("*", pct(0.5).alias("median_price"), pct(0.95).alias("p95_price"))
 
 
 def purchase_revenue_summary(bronze: DataFrame) -> DataFrame:
@@ -119,6 +134,42 @@ def monthly_revenue_by_brand(fact, dates, products, year: int) -> DataFrame:
             .drop("month"))
 
 
+def monthly_buyers_by_brand(fact, dates, products, year: int) -> DataFrame:
+    """``monthly_revenue_by_brand`` with distinct buyers: (month, brand,
+    user) first, then buyers are a row count."""
+    f = (fact.filter(F.col("event_type") == "purchase")
+         .join(F.broadcast(dates.select("full_date", "year", "month", "month_name")),
+               fact.event_date == F.col("full_date"))
+         .filter(F.col("year") == year)
+         .join(products.select("product_sk", "brand"), "product_sk"))
+    per = (f.groupBy("year", "month_name", "month", "brand", "user_sk")
+           .agg(F.sum(money("revenue")).alias("r"), F.count(F.lit(1)).alias("n")))
+    return (per.groupBy("year", "month_name", "month", "brand")
+            .agg(F.count("user_sk").alias("unique_buyers"), F.round(F.sum("r"), 2).cast("double").alias("total_revenue"),
+                 F.sum("n").cast("long").alias("total_purchases")).drop("month"))
+
+
+def segment_behavior(fact, users) -> DataFrame:
+    """Per segment: users, events, average price, purchases, revenue; one
+    row per user first, so users are a row count."""
+    per = fact.groupBy("user_sk").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(money("price_at_event")).alias("p"), F.count("price_at_event").alias("pn"),
+        count_of("purchase").alias("b"), F.sum(money("revenue")).alias("r"))
+    f = per.join(users.select("user_sk", "user_segment"), "user_sk")
+    return f.groupBy("user_segment").agg(
+        F.count("user_sk").alias("users_count"), F.sum("n").cast("long").alias("total_events"),
+        ratio_avg(F.sum("p"), F.sum("pn")).alias("avg_product_price"), F.sum("b").cast("long").alias("purchases"),
+        F.round(F.sum("r"), 2).cast("double").alias("total_revenue"))
+
+
+def category_by_weekday_all(fact, dates, categories) -> DataFrame:
+    """All events per ISO weekday and top-level category."""
+    f = (fact.join(F.broadcast(dates.select("date_key", "day_of_week", "is_weekend")), fact.date_sk == F.col("date_key"))
+         .join(categories.select("category_sk", "category_l1").filter(F.col("category_l1").isNotNull()), "category_sk"))
+    return f.groupBy("day_of_week", "is_weekend", "category_l1").agg(
+        F.count(F.lit(1)).alias("events"), count_of("purchase").alias("purchases"), money_sum("revenue").alias("revenue"))
+
+
 def user_segment_performance(fact, users) -> DataFrame:
     f = fact.join(users.select("user_sk", "user_segment"), "user_sk")
     return f.groupBy("user_segment").agg(F.count_distinct("user_sk").alias("unique_users"),
@@ -155,8 +206,8 @@ def product_history_purchases(fact, products) -> DataFrame:
 def revenue_trend(daily: DataFrame) -> DataFrame:
     return (daily.groupBy("year", "month", "month_name")
             .agg(F.sum("total_purchases").cast("long").alias("purchases"),
-                 money_sum("total_revenue").alias("revenue"),
-                 money_avg("avg_order_value").alias("avg_aov"),
+                 total_sum("total_revenue").alias("revenue"),
+                 total_avg("avg_order_value").alias("avg_aov"),
                  rhu(F.avg("overall_conversion_rate")).alias("avg_conversion"))
             .drop("month"))
 
@@ -172,7 +223,7 @@ def weekend_vs_weekday(daily: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("days"),
         rhu(F.avg("daily_active_users"), 0).alias("avg_dau"),
         rhu(F.avg("total_purchases"), 0).alias("avg_purchases"),
-        money_avg("total_revenue").alias("avg_revenue"),
+        total_avg("total_revenue").alias("avg_revenue"),
         rhu(F.avg("overall_conversion_rate")).alias("avg_conversion_rate"))
         .select(F.when(F.col("is_weekend"), "Weekend").otherwise("Weekday").alias("day_type"),
                 "days", "avg_dau", "avg_purchases", "avg_revenue", "avg_conversion_rate"))
@@ -188,7 +239,7 @@ def user_segment_distribution(user_mart: DataFrame) -> DataFrame:
     per = user_mart.groupBy("user_segment").agg(
         F.count(F.lit(1)).alias("user_count"),
         rhu(F.avg("total_purchases")).alias("avg_purchases"),
-        money_avg("lifetime_revenue").alias("avg_ltv"),
+        total_avg("lifetime_revenue").alias("avg_ltv"),
         rhu(F.avg("days_active")).alias("avg_days_active"))
     pct = rhu(F.col("user_count") * 100.0 / F.sum("user_count").over(Window.partitionBy()))
     return per.withColumn("pct_of_users", pct)
@@ -214,7 +265,7 @@ def rfm_segments(user_mart: DataFrame, min_score: int = 4, n: int = 10) -> DataF
         F.count(F.lit(1)).alias("user_count"),
         rhu(F.avg("recency_days"), 1).alias("avg_recency"),
         rhu(F.avg("frequency_purchases"), 1).alias("avg_frequency"),
-        money_avg("lifetime_revenue").alias("avg_monetary"))
+        total_avg("lifetime_revenue").alias("avg_monetary"))
         .orderBy(F.desc("user_count"), F.asc("rfm_segment")).limit(n))
 
 
@@ -222,7 +273,7 @@ def ltv_tiers(user_mart: DataFrame) -> DataFrame:
     return user_mart.groupBy(ltv_tier("lifetime_revenue").alias("ltv_tier")).agg(
         F.count(F.lit(1)).alias("users"),
         rhu(F.avg("total_purchases"), 1).alias("avg_purchases"),
-        money_avg("lifetime_revenue").alias("avg_ltv"),
+        total_avg("lifetime_revenue").alias("avg_ltv"),
         rhu(F.avg("days_active"), 1).alias("avg_days_active"),
         rhu(F.avg("personal_conversion_rate")).alias("avg_conversion_rate"))
 
@@ -238,7 +289,7 @@ def category_distribution(product_mart: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("product_count"),
         F.sum("total_views").cast("long").alias("total_views"),
         F.sum("total_purchases").cast("long").alias("total_purchases"),
-        money_sum("total_revenue").alias("total_revenue"),
+        total_sum("total_revenue").alias("total_revenue"),
         rhu(F.avg("view_to_purchase_rate")).alias("avg_conversion"))
 
 
@@ -271,21 +322,29 @@ def category_l1_rollup(category_mart: DataFrame) -> DataFrame:
         F.sum("unique_products").cast("long").alias("total_products"),
         F.sum("total_views").cast("long").alias("total_views"),
         F.sum("total_purchases").cast("long").alias("total_purchases"),
-        money_sum("total_revenue").alias("total_revenue"),
+        total_sum("total_revenue").alias("total_revenue"),
         rhu(F.avg("view_to_purchase_rate")).alias("avg_conversion"))
 
 
 def category_rollup_levels(fact: DataFrame, categories: DataFrame) -> DataFrame:
     """ROLLUP(l1, l2, l3) with distinct users re-counted at every level
     (summing per-subcategory distinct counts would double count)."""
-    f = fact.join(categories.select("category_sk", "category_l1", "category_l2", "category_l3"),
-                  "category_sk")
-    return f.rollup("category_l1", "category_l2", "category_l3").agg(
-        F.grouping_id().alias("level"),
-        F.count(F.lit(1)).alias("total_events"),
-        count_of("purchase").alias("total_purchases"),
-        money_sum("revenue").alias("total_revenue"),
-        F.count_distinct("user_sk").alias("unique_users"))
+    levels = ["category_l1", "category_l2", "category_l3"]
+    per = fact.groupBy("category_sk", "user_sk").agg(
+        F.count(F.lit(1)).alias("n"), count_of("purchase").alias("b"), F.sum(money("revenue")).alias("r"))
+    f = per.join(categories.select("category_sk", *levels), "category_sk")
+    # per level one row per (path, user), so users are a row count per path
+    parts = []
+    for depth in range(len(levels), -1, -1):
+        keys = levels[:depth]
+        g = (1 << (len(levels) - depth)) - 1
+        reduced = f.groupBy(*keys, "user_sk").agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.sum("r").alias("r"))
+        parts.append(reduced.groupBy(*keys).agg(
+            F.sum("n").cast("long").alias("total_events"), F.sum("b").cast("long").alias("total_purchases"),
+            F.round(F.sum("r"), 2).cast("double").alias("total_revenue"), F.count("user_sk").alias("unique_users"))
+            .select(*[F.col(c) if c in keys else F.lit(None).cast("string").alias(c) for c in levels],
+                    F.lit(g).cast("long").alias("level"), "total_events", "total_purchases", "total_revenue", "unique_users"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def top_subcategories_by_l1(category_mart: DataFrame, n: int = 3) -> DataFrame:
@@ -344,7 +403,7 @@ def funnel_by_l1(funnel: DataFrame) -> DataFrame:
         F.sum("users_viewed").cast("long").alias("total_users_viewed"),
         F.sum("users_carted").cast("long").alias("total_users_carted"),
         F.sum("users_purchased").cast("long").alias("total_users_purchased"),
-        money_sum("total_revenue").alias("total_revenue"))
+        total_sum("total_revenue").alias("total_revenue"))
     return agg.select(
         "category_l1", "total_users_viewed", "total_users_carted", "total_users_purchased",
         safe_rate("total_users_carted", "total_users_viewed").alias("avg_view_to_cart_rate"),
@@ -428,9 +487,9 @@ def dash_category_performance(category_mart: DataFrame) -> DataFrame:
 
 
 def dash_summary_kpis(daily: DataFrame) -> DataFrame:
-    return daily.agg(money_sum("total_revenue").alias("total_revenue"),
+    return daily.agg(total_sum("total_revenue").alias("total_revenue"),
                      F.sum("total_purchases").cast("long").alias("total_purchases"),
-                     money_avg("avg_order_value", 6).alias("avg_order_value"),
+                     total_avg("avg_order_value", 6).alias("avg_order_value"),
                      F.max("daily_active_users").cast("long").alias("peak_dau"))
 
 

@@ -24,6 +24,7 @@ from ..functions.columns import (SEGMENT_ENGAGED_MIN, SEGMENT_POWER_MIN, clean_b
                                  round_half_up, segment)
 from ..operators.joins import OPEN_END, lookup
 from ..operators.keys import continue_keys, dense_key
+from ..session import checkpoint_dir
 
 PRODUCT_TRACKED = ["price", "brand", "category_sk"]
 
@@ -61,14 +62,24 @@ def _changed(tracked: list[str]) -> Column:
                   [~F.col(f"new_{c}").eqNullSafe(F.col(f"old_{c}")) for c in tracked])
 
 
+def snapshot_rows(snapshot: DataFrame, key: str, values: list[str]) -> DataFrame:
+    """One row per non-null key: of several rows of a key the one with the
+    greatest values (compared in order, NULL smallest)."""
+    return (snapshot.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(*values)).alias("_s"))
+            .select(key, *[F.col(f"_s.{c}").alias(c) for c in values]))
+
+
 def scd2_detect(dim: DataFrame, snapshot: DataFrame, key: str, tracked: list[str],
-                sk: str = "product_sk") -> DataFrame:
+                sk: str = "product_sk", carry: list[str] | None = None) -> DataFrame:
     """One row per snapshot key: ``change_type`` new / changed / unchanged,
-    new and old tracked values, the current version's key and number."""
+    new and old tracked values, the current version's key, number and start,
+    and the ``carry`` columns of the snapshot."""
+    carry = carry or []
     cur = dim.filter(F.col("is_current_version")).select(
-        key, *[F.col(c).alias(f"old_{c}") for c in tracked],
-        F.col(sk).alias("old_sk"), F.col("version_number").alias("old_version"))
-    new = snapshot.select(key, *[F.col(c).alias(f"new_{c}") for c in tracked])
+        key, *[F.col(c).alias(f"old_{c}") for c in tracked], F.col(sk).alias("old_sk"),
+        F.col("version_number").alias("old_version"), F.col("effective_from").alias("old_from"))
+    new = snapshot_rows(snapshot, key, [*tracked, *carry]).select(
+        key, *[F.col(c).alias(f"new_{c}") for c in tracked], *carry)
     j = new.join(cur, key, "left")
     kind = (F.when(F.col("old_sk").isNull(), F.lit("new"))
             .when(_changed(tracked), F.lit("changed"))
@@ -82,31 +93,47 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, key: str, tracked: list[str]
 
     ``carry`` lists non-tracked snapshot columns copied to new versions
     (e.g. a denormalized category code). New surrogate keys continue after
-    the current maximum (scalar subquery, no driver collect)."""
+    the current maximum (scalar subquery, no driver collect).
+
+    A version that began on ``as_of`` itself is replaced in place (same key
+    and number, no empty interval), so a corrected snapshot may be applied
+    on the same day. An ``as_of`` before the start of a version that it
+    would close is an error when the result is computed. The changes are
+    found once and checkpointed (one row per changed or new key)."""
     carry = carry or []
     as_of = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("date")
     ts = load_ts if load_ts is not None else F.current_timestamp()
     cols = dim.columns
-    det = scd2_detect(dim, snapshot, key, tracked, sk)
-    kinds = det.select(key, "change_type")
+    checkpoint_dir(dim.sparkSession)
+    late = F.raise_error(F.concat(F.lit("as_of is before the current version of key "), F.col(key).cast("string")))
+    det = (scd2_detect(dim, snapshot, key, tracked, sk, carry).filter(F.col("change_type") != "unchanged")
+           .withColumn("change_type", F.when(F.col("change_type") == "new", F.lit("new"))
+                       .when(F.col("old_from") < as_of, F.lit("changed"))
+                       .when(F.col("old_from") == as_of, F.lit("same_day"))
+                       .otherwise(late.cast("string")))
+           .checkpoint(eager=True))
     hist = dim.filter(~F.col("is_current_version"))
-    cur = dim.filter(F.col("is_current_version")).join(kinds, key, "left")
-    kept = cur.filter(F.col("change_type").isNull() | (F.col("change_type") != "changed")).select(*cols)
+    cur = dim.filter(F.col("is_current_version")).join(
+        det.filter(F.col("change_type") != "new").select(key, "change_type"), key, "left")
+    kept = cur.filter(F.col("change_type").isNull()).select(*cols)
     closed = (cur.filter(F.col("change_type") == "changed")
               .withColumn("effective_to", as_of)
               .withColumn("is_current_version", F.lit(False))
               .withColumn("updated_at", ts)
               .select(*cols))
-    fresh = (det.filter(F.col("change_type").isin("changed", "new"))
-             .join(snapshot.select(key, *carry), key)
-             .select(key, *[F.col(f"new_{c}").alias(c) for c in tracked], *carry,
+    values = det.select(key, *[F.col(f"new_{c}").alias(c) for c in tracked], *carry, "change_type", "old_version")
+    replaced = (dim.filter(F.col("is_current_version")).drop(*tracked, *carry)
+                .join(values.filter(F.col("change_type") == "same_day").drop("change_type", "old_version"), key)
+                .withColumn("updated_at", ts).select(*cols))
+    fresh = (values.filter(F.col("change_type").isin("changed", "new"))
+             .select(key, *tracked, *carry,
                      as_of.alias("effective_from"),
                      F.lit(OPEN_END).cast("date").alias("effective_to"),
                      F.lit(True).alias("is_current_version"),
                      (F.coalesce(F.col("old_version"), F.lit(0)) + 1).alias("version_number"),
                      ts.alias("created_at"), ts.alias("updated_at")))
     keyed = continue_keys(dim, fresh, [key], sk)
-    return reduce(DataFrame.unionByName, [hist.select(*cols), kept, closed, keyed.select(*cols)])
+    return reduce(DataFrame.unionByName, [hist.select(*cols), kept, closed, replaced, keyed.select(*cols)])
 
 
 def scd2_history(dim: DataFrame, key: str) -> DataFrame:

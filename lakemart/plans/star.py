@@ -3,8 +3,7 @@ dimensions and the event-grain fact table."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -145,34 +144,62 @@ def fact_events(bronze: DataFrame, dates: DataFrame, users: DataFrame, products:
         (load_ts if load_ts is not None else F.current_timestamp()).alias("created_at"))
 
 
-@dataclass
 class Star:
-    bronze: DataFrame
-    dates: DataFrame
-    categories: DataFrame
-    products: DataFrame
-    users: DataFrame
-    fact: DataFrame
+    """Bronze and the tables built from it, each built when first asked for
+    (a bronze reader starts no dimension job)."""
+
+    def __init__(self, spark: SparkSession, bronze: DataFrame, power: int = SEGMENT_POWER_MIN,
+                 engaged: int = SEGMENT_ENGAGED_MIN):
+        self.spark, self.bronze, self._power, self._engaged = spark, bronze, power, engaged
+
+    @cached_property
+    def dates(self) -> DataFrame:
+        return dim_date(self.spark, self.bronze)
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        return dim_categories(self.bronze)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return dim_products(self.bronze, self.categories)
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return dim_users(self.bronze, self._power, self._engaged)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return fact_events(self.bronze, self.dates, self.users, self.products)
 
 
 def build_star(spark: SparkSession, bronze: DataFrame, power: int = SEGMENT_POWER_MIN,
                engaged: int = SEGMENT_ENGAGED_MIN) -> Star:
-    dates = dim_date(spark, bronze)
-    cats = dim_categories(bronze)
-    products = dim_products(bronze, cats)
-    users = dim_users(bronze, power, engaged)
-    fact = fact_events(bronze, dates, users, products)
-    return Star(bronze, dates, cats, products, users, fact)
+    return Star(spark, bronze, power, engaged)
+
+
+_STARS: dict[tuple, Star] = {}
 
 
-@lru_cache(maxsize=16)
-def _star_cached(app_id: str, sf_dir: str, power: int, engaged: int) -> Star:
-    spark = SparkSession.getActiveSession()
-    return build_star(spark, bronze_from_tables(spark, sf_dir), power, engaged)
+def _file_states(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> tuple:
+    """Path, size and modification time of the tables' files, as the input's
+    own file system lists them."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for t in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
+        out += [(str(f.getPath()), f.getLen(), f.getModificationTime()) for f in path.getFileSystem(conf).listStatus(path)]
+    return tuple(out)
 
 
 def star_from_tables(spark: SparkSession, sf_dir: str, power: int = SEGMENT_POWER_MIN,
                      engaged: int = SEGMENT_ENGAGED_MIN) -> Star:
     """Star schema over the given tables; the dimension key steps checkpoint
-    once per session and folder, later calls reuse the same frames."""
-    return _star_cached(spark.sparkContext.applicationId, sf_dir, power, engaged)
+    once per session and state of the input files, later calls reuse the
+    same frames."""
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf_dir, power, engaged, _file_states(spark, sf_dir, ("events", "part")))
+    if key not in _STARS:
+        while len(_STARS) >= 16:
+            _STARS.pop(next(iter(_STARS)))
+        _STARS[key] = build_star(spark, bronze_from_tables(spark, sf_dir), power, engaged)
+    return _STARS[key]

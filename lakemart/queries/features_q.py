@@ -183,6 +183,66 @@ def q_incremental_sessions(spark, sf):
     return X.incremental_sessions(history, new)
 
 
+LATE_CTES = """
+lf AS (SELECT user_sk, event_id, event_time, event_type = 'purchase' AS late FROM fact),
+ln0 AS (SELECT *, CASE WHEN lag(event_time) OVER w IS NULL
+               OR date_diff('second', date_trunc('second', lag(event_time) OVER w), date_trunc('second', event_time)) > 1800 THEN 1 ELSE 0 END AS st
+        FROM lf WHERE NOT late WINDOW w AS (PARTITION BY user_sk ORDER BY event_time, event_id)),
+lold AS (SELECT event_id, SUM(st) OVER (PARTITION BY user_sk ORDER BY event_time, event_id) AS sn FROM ln0),
+la0 AS (SELECT *, CASE WHEN lag(event_time) OVER w IS NULL
+               OR date_diff('second', date_trunc('second', lag(event_time) OVER w), date_trunc('second', event_time)) > 1800 THEN 1 ELSE 0 END AS st
+        FROM lf WINDOW w AS (PARTITION BY user_sk ORDER BY event_time, event_id)),
+lall AS (SELECT user_sk, event_id, event_time, late, SUM(st) OVER (PARTITION BY user_sk ORDER BY event_time, event_id) AS sn FROM la0)"""
+
+
+@register("incremental_sessions_late", oracle.with_star("""
+SELECT user_sk, event_id, event_time, CAST(a.sn AS BIGINT) AS session_number
+FROM lall a LEFT JOIN lold o USING (event_id) WHERE late OR a.sn <> o.sn""", LATE_CTES))
+def q_incremental_sessions_late(spark, sf):
+    """All purchases arrive after everything else was sessionized: their
+    numbers, and the earlier rows whose numbers they change, equal those of
+    a full sessionization."""
+    f = star(spark, sf).fact.select("user_sk", "event_id", "event_time", "event_type")
+    late = F.col("event_type") == "purchase"
+    return X.incremental_sessions(sessionize(f.filter(~late), "user_sk", "event_time", 1800), f.filter(late))
+
+
+@register("sessionize_null_keys", oracle.with_star("""
+SELECT user_sk, event_id, event_time, CASE WHEN user_sk IS NOT NULL AND event_time IS NOT NULL THEN CAST(SUM(st) OVER (
+         PARTITION BY user_sk, event_time IS NULL ORDER BY event_time, event_id) AS BIGINT) END AS session_number
+FROM (SELECT *, CASE WHEN lag(event_time) OVER w IS NULL
+             OR date_diff('second', date_trunc('second', lag(event_time) OVER w), date_trunc('second', event_time)) > 1800 THEN 1 ELSE 0 END AS st
+      FROM nullf WINDOW w AS (PARTITION BY user_sk, event_time IS NULL ORDER BY event_time, event_id))""", """
+nullf AS (SELECT CASE WHEN event_type <> 'remove_from_cart' THEN user_sk END AS user_sk, event_id,
+                 CASE WHEN event_type <> 'cart' THEN event_time END AS event_time FROM fact)"""))
+def q_sessionize_null_keys(spark, sf):
+    """Events without a user or a time are kept, with a NULL session."""
+    f = star(spark, sf).fact
+    n = f.select(F.when(F.col("event_type") != "remove_from_cart", F.col("user_sk")).alias("user_sk"), "event_id",
+                 F.when(F.col("event_type") != "cart", F.col("event_time")).alias("event_time"))
+    return sessionize(n, "user_sk", "event_time", 1800)
+
+
+@register("fact_time_features_null_session", oracle.with_star("""
+SELECT event_id, user_session, CASE WHEN user_session IS NOT NULL THEN
+         row_number() OVER (PARTITION BY user_session ORDER BY event_time, event_id) END AS event_number_in_session,
+       user_session IS NOT NULL AND row_number() OVER (PARTITION BY user_session ORDER BY event_time, event_id) = 1 AS is_first_event_in_session
+FROM (SELECT * REPLACE (CASE WHEN event_type <> 'cart' THEN user_session END AS user_session) FROM fact)"""))
+def q_fact_time_features_null_session(spark, sf):
+    """Events without a session are kept, without a position."""
+    f = star(spark, sf).fact
+    n = f.withColumn("user_session", F.when(F.col("event_type") != "cart", F.col("user_session")))
+    return X.fact_time_features(n).select("event_id", "user_session", "event_number_in_session", "is_first_event_in_session")
+
+
+@register("sessionless_events", oracle.with_star("""
+SELECT event_date, COUNT(*) AS events, COUNT(DISTINCT user_sk) AS users FROM fact WHERE event_type = 'cart' GROUP BY event_date"""))
+def q_sessionless_events(spark, sf):
+    """With the carts' session ids missing: what ``fact_sessions`` leaves out."""
+    f = star(spark, sf).fact
+    return X.sessionless_events(f.withColumn("user_session", F.when(F.col("event_type") != "cart", F.col("user_session"))))
+
+
 @register("dim_date_fiscal", oracle.with_star("""
 SELECT *, CAST(year + CASE WHEN month >= 7 THEN 1 ELSE 0 END AS INTEGER) AS fiscal_year,
        CAST(floor(((month - 7 + 12) % 12) / 3) + 1 AS INTEGER) AS fiscal_quarter,

@@ -154,6 +154,36 @@ def q_monthly_revenue_by_brand(spark, sf):
     return R.monthly_revenue_by_brand(s.fact, s.dates, s.products, YEAR)
 
 
+@register("monthly_buyers_by_brand", bronze_sql(f"""
+SELECT d.year, d.month_name, p.brand, COUNT(DISTINCT f.user_sk) AS unique_buyers, {msum('f.revenue')} AS total_revenue,
+       COUNT(*) AS total_purchases
+FROM fact f JOIN dim_date d ON f.date_sk = d.date_key JOIN dim_products p ON f.product_sk = p.product_sk
+WHERE f.event_type = 'purchase' AND d.year = {YEAR}
+GROUP BY d.year, d.month_name, d.month, p.brand"""))
+def q_monthly_buyers_by_brand(spark, sf):
+    s = star(spark, sf)
+    return R.monthly_buyers_by_brand(s.fact, s.dates, s.products, YEAR)
+
+
+@register("segment_behavior", bronze_sql(f"""
+SELECT u.user_segment, COUNT(DISTINCT f.user_sk) AS users_count, COUNT(*) AS total_events,
+       {mavg('f.price_at_event')} AS avg_product_price, {cnt('purchase', alias='f')} AS purchases, {msum('f.revenue')} AS total_revenue
+FROM fact f JOIN dim_users u ON f.user_sk = u.user_sk GROUP BY u.user_segment"""))
+def q_segment_behavior(spark, sf):
+    s = star(spark, sf)
+    return R.segment_behavior(s.fact, s.users)
+
+
+@register("category_by_weekday_all", bronze_sql(f"""
+SELECT d.day_of_week, d.is_weekend, c.category_l1, COUNT(*) AS events, {cnt('purchase', alias='f')} AS purchases,
+       {msum('f.revenue')} AS revenue
+FROM fact f JOIN dim_date d ON f.date_sk = d.date_key JOIN dim_categories c ON f.category_sk = c.category_sk
+WHERE c.category_l1 IS NOT NULL GROUP BY d.day_of_week, d.is_weekend, c.category_l1"""))
+def q_category_by_weekday_all(spark, sf):
+    s = star(spark, sf)
+    return R.category_by_weekday_all(s.fact, s.dates, s.categories)
+
+
 @register("user_segment_performance", bronze_sql(f"""
 SELECT u.user_segment, COUNT(DISTINCT f.user_sk) AS unique_users, {cnt('purchase', alias='f')} AS purchases,
        {msum('f.revenue')} AS total_revenue

@@ -146,7 +146,7 @@ def _hist_products(spark, sf) -> DataFrame:
 def q_scd2_detect(spark, sf):
     s = star(spark, sf)
     return scd2.scd2_detect(s.products, scd2.snapshot_from_dim(s.products), "product_id",
-                            scd2.PRODUCT_TRACKED)
+                            scd2.PRODUCT_TRACKED).drop("old_from")
 
 
 @register("scd2_apply", scd2_sql("SELECT * FROM applied"))
@@ -154,6 +154,31 @@ def q_scd2_apply(spark, sf):
     return no_audit(_applied(spark, sf)[2])
 
 
+@register("scd2_apply_duplicate_snapshot", scd2_sql("SELECT * FROM applied"))
+def q_scd2_apply_duplicate_snapshot(spark, sf):
+    """Every key twice in the snapshot, the second time at a lower price:
+    the greater values of a key count, so the result is that of the clean
+    snapshot."""
+    s = star(spark, sf)
+    as_of = s.bronze.select(F.max("event_date")).scalar()
+    snap = scd2.snapshot_from_dim(s.products)
+    twice = snap.unionByName(snap.withColumn("price", F.col("price") - 1.0))
+    return no_audit(scd2.scd2_apply(s.products, twice, "product_id", scd2.PRODUCT_TRACKED, as_of, carry=["category_code"]))
+
+
+@register("scd2_apply_same_day", scd2_sql("""
+SELECT * REPLACE (CASE WHEN is_current_version AND effective_from = (SELECT MAX(event_date) FROM bronze)
+                       THEN price + 1 ELSE price END AS price) FROM applied"""))
+def q_scd2_apply_same_day(spark, sf):
+    """A corrected snapshot on the same day replaces the versions that began
+    that day in place."""
+    s, _, applied = _applied(spark, sf)
+    as_of = s.bronze.select(F.max("event_date")).scalar()
+    again = (applied.filter(F.col("is_current_version") & (F.col("effective_from") == as_of))
+             .select("product_id", (F.col("price") + 1).alias("price"), "brand", "category_sk", "category_code"))
+    return no_audit(scd2.scd2_apply(applied, again, "product_id", scd2.PRODUCT_TRACKED, as_of, carry=["category_code"]))
+
+
 @register("scd2_history", scd2_sql("""
 SELECT * FROM applied WHERE product_id IN (SELECT product_id FROM applied GROUP BY product_id HAVING COUNT(*) > 1)"""))
 def q_scd2_history(spark, sf):

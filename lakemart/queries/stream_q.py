@@ -14,8 +14,8 @@ from ..streaming import parse_events, tag_events, windows as W
 from .common import mavg, msum, rate, star
 
 STREAM_EVENTS_CTE = """sev AS (
-  SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(user_id AS INTEGER) AS user_id,
-         CAST(product_id AS INTEGER) AS product_id, CAST(category_id AS INTEGER) AS category_id,
+  SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(user_id AS BIGINT) AS user_id,
+         CAST(product_id AS BIGINT) AS product_id, CAST(category_id AS BIGINT) AS category_id,
          event_time, price,
          CAST(CASE WHEN event_type IN ('cart', 'purchase') THEN 1 ELSE 0 END AS INTEGER) AS quantity,
          CASE WHEN event_type = 'purchase' THEN price * 1 ELSE 0.0 END AS revenue
@@ -37,6 +37,17 @@ def q_json_parse_events(spark, sf):
     return parsed_events(spark, sf)
 
 
+@register("json_parse_wide_ids", stream_sql("""
+SELECT * REPLACE (user_id + 5000000000 AS user_id, product_id + 5000000000 AS product_id, category_id + 5000000000 AS category_id) FROM sev"""))
+def q_json_parse_wide_ids(spark, sf):
+    """Ids beyond 32 bits are valid."""
+    b = star(spark, sf).bronze
+    for c in ("user_id", "product_id", "category_id"):
+        b = b.withColumn(c, F.col(c) + 5_000_000_000)
+    good, _ = parse_events(stream_events_from_bronze(b))
+    return good
+
+
 @register("tumbling_metrics", stream_sql(f"""
 SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start,
        time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE AS window_end, event_type,

@@ -20,13 +20,13 @@ RAW_EVENT = T.StructType([
 # Format of ``event_time`` in the raw CSV files.
 RAW_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss z"
 
-# JSON payload of one stream event.
+# JSON payload of one stream event (ids as wide as in the bronze table).
 STREAM_EVENT = T.StructType([
     T.StructField("event_id", T.StringType(), False),
     T.StructField("event_type", T.StringType(), False),
-    T.StructField("user_id", T.IntegerType(), False),
-    T.StructField("product_id", T.IntegerType(), False),
-    T.StructField("category_id", T.IntegerType(), False),
+    T.StructField("user_id", T.LongType(), False),
+    T.StructField("product_id", T.LongType(), False),
+    T.StructField("category_id", T.LongType(), False),
     T.StructField("event_time", T.StringType(), False),
     T.StructField("price", T.DoubleType(), True),
     T.StructField("quantity", T.IntegerType(), True),
@@ -37,9 +37,9 @@ STREAM_EVENT = T.StructType([
 STREAM_BRONZE = T.StructType([
     T.StructField("event_id", T.StringType(), False),
     T.StructField("event_type", T.StringType(), False),
-    T.StructField("user_id", T.IntegerType(), False),
-    T.StructField("product_id", T.IntegerType(), False),
-    T.StructField("category_id", T.IntegerType(), False),
+    T.StructField("user_id", T.LongType(), False),
+    T.StructField("product_id", T.LongType(), False),
+    T.StructField("category_id", T.LongType(), False),
     T.StructField("event_time", T.TimestampType(), False),
     T.StructField("price", T.DoubleType(), True),
     T.StructField("quantity", T.IntegerType(), True),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -72,7 +73,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):  # local-cluster has executors of its own
         raise RuntimeError("spark.checkpoint.dir is not set; configure a shared "
                            "folder for this cluster")
     path = tempfile.mkdtemp(prefix="lakemart-ckpt-")

@@ -38,9 +38,9 @@ def stream_events_from_bronze(bronze: DataFrame, corrupt_mod: int | None = None)
     payload = F.struct(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("event_type"),
-        F.col("user_id").cast("int").alias("user_id"),
-        F.col("product_id").cast("int").alias("product_id"),
-        F.col("category_id").cast("int").alias("category_id"),
+        F.col("user_id").cast("long").alias("user_id"),
+        F.col("product_id").cast("long").alias("product_id"),
+        F.col("category_id").cast("long").alias("category_id"),
         F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_time"),
         F.col("price"),
         qty.cast("int").alias("quantity"),

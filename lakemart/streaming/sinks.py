@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.io import write_table
+
 
 def _trigger(writer, processing_time: str | None, available_now: bool):
     if available_now:
@@ -53,9 +55,10 @@ def start_mart_stream(df: DataFrame, path: str, checkpoint: str, mode: str = "co
     append-only, so each micro-batch's result (the whole table in complete
     mode) replaces the table through ``foreachBatch``. The write depends
     only on the batch content, so replaying a batch after a failure
-    rewrites the same table (idempotent)."""
+    rewrites the same table (idempotent). Each result is written beside the
+    table and swapped in, so a failed write leaves the last one."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        write_table(batch, path)
 
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
     return _trigger(w, processing_time, available_now).start()

@@ -1,19 +1,21 @@
 """Event-time window metrics. The same functions run on a streaming frame
-(watermark + stateful aggregation) and on a batch frame (the batch twin);
-``df.isStreaming`` picks the distinct-count flavour:
-
-* batch: exact ``count(DISTINCT)``;
-* stream: distinct aggregates are not supported by streaming aggregation,
-  so an HLL++ sketch (``approx_count_distinct``, relative error ``rsd``,
-  default 5% = 512 registers, ~0.4 KB per group) keeps per-window state
-  small and bounded however many users a window has.
+(watermark + stateful aggregation) and on a batch frame (the batch twin),
+with the same results:
+
+* by default distinct counts are exact through two levels of aggregation
+  ((window, value) first, then the window, where values are rows). On a
+  stream such chained aggregations run in append mode: a window comes out
+  once the watermark passes it; state is one row per value per open window;
+* ``sketch=True`` counts with HLL++ (relative error ``rsd``, default 5%,
+  ~0.4 KB per group) on streams and batches alike, in any output mode and
+  with state that does not grow with a window's users.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import money, money_avg, money_sum, safe_rate
+from ..functions.columns import money, money_avg, money_sum, ratio_avg, safe_rate
 from ..operators.windows import sessionize
 
 WATERMARK = "10 minutes"
@@ -22,24 +24,33 @@ SLIDE_SIZE = "10 minutes"
 SESSION_GAP_S = 1800
 
 
-def _distinct(df: DataFrame, col: str, rsd: float) -> Column:
-    return F.approx_count_distinct(col, rsd) if df.isStreaming else F.count_distinct(col)
-
-
 def _watermarked(df: DataFrame, delay: str | None) -> DataFrame:
     return df.withWatermark("event_time", delay) if delay else df
 
 
-def tumbling(df: DataFrame, size: str = TUMBLE, delay: str | None = WATERMARK, rsd: float = 0.05) -> DataFrame:
+def tumbling(df: DataFrame, size: str = TUMBLE, delay: str | None = WATERMARK, rsd: float = 0.05,
+             sketch: bool = False) -> DataFrame:
     """Per tumbling window x event type: events, distinct users and
-    products, revenue, average price."""
+    products, revenue, average price. Exact: one chained aggregation per
+    distinct measure, joined on window and type."""
     d = _watermarked(df, delay)
-    agg = d.groupBy(F.window("event_time", size).alias("w"), "event_type").agg(
-        F.count(F.lit(1)).alias("event_count"),
-        _distinct(d, "user_id", rsd).alias("unique_users"),
-        _distinct(d, "product_id", rsd).alias("unique_products"),
-        money_sum("revenue").alias("total_revenue"),
-        money_avg("price").alias("avg_price"))
+    w, keys = F.window("event_time", size).alias("w"), ["w", "event_type"]
+    if sketch:
+        agg = d.groupBy(w, "event_type").agg(
+            F.count(F.lit(1)).alias("event_count"),
+            F.approx_count_distinct("user_id", rsd).alias("unique_users"),
+            F.approx_count_distinct("product_id", rsd).alias("unique_products"),
+            money_sum("revenue").alias("total_revenue"),
+            money_avg("price").alias("avg_price"))
+    else:
+        per_user = d.groupBy(w, "event_type", "user_id").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(money("revenue")).alias("r"), F.sum(money("price")).alias("p"), F.count("price").alias("pn"))
+        users = per_user.groupBy(*keys).agg(
+            F.sum("n").cast("long").alias("event_count"), F.count("user_id").alias("unique_users"),
+            F.round(F.sum("r"), 2).cast("double").alias("total_revenue"), ratio_avg(F.sum("p"), F.sum("pn")).alias("avg_price"))
+        per_product = d.groupBy(w, "event_type", "product_id").agg(F.count(F.lit(1)).alias("n"))
+        products = per_product.groupBy(*keys).agg(F.count("product_id").alias("unique_products"))
+        agg = users.join(products, keys)
     return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       "event_type", "event_count", "unique_users", "unique_products", "total_revenue",
                       "avg_price")
@@ -57,34 +68,28 @@ def sliding(df: DataFrame, size: str = SLIDE_SIZE, slide: str = TUMBLE,
 
 
 def funnel(df: DataFrame, size: str = TUMBLE, delay: str | None = WATERMARK, rsd: float = 0.05,
-           exact_users: bool = False) -> DataFrame:
+           sketch: bool = False) -> DataFrame:
     """Per tumbling window: views, carts, purchases, active users, revenue
-    and the two step rates (NULL when the denominator is 0).
-
-    ``exact_users`` counts active users exactly on a stream too, with a
-    two-level aggregation: (window, user) first, then window, where the
-    user count is a row count. Streaming accepts the chained stateful
-    aggregation in append mode (each window is emitted once the watermark
-    passes it); state is one row per active user per open window."""
+    and the two step rates (NULL when the denominator is 0)."""
     d = _watermarked(df, delay)
 
     def n(t):
         return F.sum(F.when(F.col("event_type") == t, 1).otherwise(0)).cast("long")
 
     w = F.window("event_time", size).alias("w")
-    if exact_users:
+    if not sketch:
         per_user = d.groupBy(w, "user_id").agg(
             n("view").alias("views"), n("cart").alias("carts"), n("purchase").alias("purchases"),
             F.sum(money("revenue")).alias("_rev"))
         agg = per_user.groupBy("w").agg(
             F.sum("views").cast("long").alias("views"), F.sum("carts").cast("long").alias("carts"),
             F.sum("purchases").cast("long").alias("purchases"),
-            F.count(F.lit(1)).alias("active_users"),
+            F.count("user_id").alias("active_users"),
             F.round(F.sum("_rev"), 2).cast("double").alias("revenue"))
     else:
         agg = d.groupBy(w).agg(
             n("view").alias("views"), n("cart").alias("carts"), n("purchase").alias("purchases"),
-            _distinct(d, "user_id", rsd).alias("active_users"),
+            F.approx_count_distinct("user_id", rsd).alias("active_users"),
             money_sum("revenue").alias("revenue"))
     return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       "views", "carts", "purchases", "active_users", "revenue",
