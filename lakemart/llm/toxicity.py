@@ -36,6 +36,9 @@ SEED = "toxic-1"
 L2 = 1e-4
 PENALTY = 0.5
 ROUNDS = 150
+#: Least G statistic of a feature that the model uses (chance gives 10 to
+#: about one feature in 600).
+MIN_CONTRAST = 10.0
 #: Words whose contribution a task remembers.
 _CACHE = 400_000
 #: Identity terms by group; a swap takes the next term of the same group.
@@ -95,6 +98,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, text: str =
     return out.select(F.col("__toxic").alias("toxic"), F.col("__on").alias("on"), F.col("__swapped").alias("swapped"))
 
 
+def contrast(a: np.ndarray, b: np.ndarray, n1: float, n0: float) -> np.ndarray:
+    """G statistics of features that occur in ``a`` of ``n1`` toxic and ``b``
+    of ``n0`` other texts."""
+    def part(seen, expected):
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-12) / np.maximum(expected, 1e-12)), 0.0)
+    n, have = n1 + n0, a + b
+    return 2 * (part(a, have * n1 / n) + part(b, have * n0 / n) + part(n1 - a, (n - have) * n1 / n) + part(n0 - b, (n - have) * n0 / n))
+
+
 def fit(rows: list[tuple[int, list[int], list[int] | None]], bits: int = FEATURE_BITS, l2: float = L2,
         penalty: float = PENALTY, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
     """Weights and intercept: mean log loss of both labels alike + ``l2``
@@ -106,9 +118,9 @@ def fit(rows: list[tuple[int, list[int], list[int] | None]], bits: int = FEATURE
         return np.zeros(1 << bits), float(np.log((share + 1e-6) / (1 - share + 1e-6)))
     col = np.concatenate([np.asarray(r[1], np.int64) for r in rows])
     row = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
-    # features of one labelled text tell nothing of others
-    used, col, count = np.unique(col, return_inverse=True, return_counts=True)
-    often = count > 1
+    # of the features, those whose frequency differs between the labels
+    used, col = np.unique(col, return_inverse=True)
+    often = contrast(np.bincount(col, y[row], used.size), np.bincount(col, 1 - y[row], used.size), y.sum(), (1 - y).sum()) >= MIN_CONTRAST
     keep = often[col]
     place = np.cumsum(often) - 1
     used, col, row = used[often], place[col[keep]], row[keep]

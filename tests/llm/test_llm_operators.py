@@ -7,8 +7,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMOKE  # noqa: F401
 from lakemart.llm import decontaminate, licenses, lines, mixing, quality, sharding, simhash, substrings, toxicity, warc
+from llm_fixtures import edge, edge_rows  # noqa: F401
+
+SMOKE = "/root/testdata/sf0.001"
 
 
 def naive_find(words, phrase):
@@ -149,12 +151,13 @@ def test_counterfactual_penalty_spares_neutral_mentions():
 
 def test_toxicity_held_out_accuracy(spark):
     import __spark_entry__ as se
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     got = se.queries()["op4_toxicity"](spark, sf)
     both = got.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("held_out").select("score", "toxic").collect()
     pos, neg = [r.score for r in both if r.toxic == 1], [r.score for r in both if r.toxic == 0]
     auc = np.mean([(p > n) + 0.5 * (p == n) for p in pos for n in neg])
-    assert auc > 0.9
+    assert len(pos) > 30 and auc > 0.95
+    assert np.mean([p >= 0.5 for p in pos]) > 0.9 and np.mean([n >= 0.5 for n in neg]) < 0.02
 
 
 @pytest.mark.parametrize("seed", range(4))

@@ -10,6 +10,7 @@ import xxhash
 
 import __spark_entry__ as se
 from check_oracle import _rows, type_mismatches
+from llm_fixtures import edge, edge_rows, empty, tables  # noqa: F401
 
 SMOKE = "/root/testdata/sf0.001"
 QUERIES, ORACLES = se.queries(), se.oracle_sql()
