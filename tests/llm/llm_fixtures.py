@@ -22,7 +22,7 @@ def edge_rows():
         (1, base, "en", "a"), (2, near, "en", "b"), (3, None, "en", "a"), (4, "", "de", "b"), (5, " \t\n\x0b\x0c\r ", None, "a"),
         (6, base, "en", None), (6, base, "en", None), (7, "Ein Wort", "de", "c"), (None, prose(3, 40), "en", "a"), (None, None, None, None),
         (None, prose(3, 40), "en", "b"), (8, prose(4, 30) + " " + shared + " " + prose(5, 30), "fr", "c"), (9, prose(6, 10) + "\n" + shared, "fr", "a"),
-        (10, prose(7, 60_000), "en", "a"), (11, "la " * 5000, "en", "c"), (12, "ÉKÄ \U0001f600 l'été x y İ ſ $$$ ### <b>|x|&", "fr", "é"),
+        (10, prose(7, 6000), "en", "a"), (11, "la " * 3000, "en", "c"), (12, "ÉKÄ \U0001f600 l'été x y İ ſ $$$ ### <b>|x|&", "fr", "é"),
         (13, "Licensed under CC\nBY-NC 4.0. All rights reserved. GNU General Public License, version 3", "en", "\U0001f600"),
         (14, "line one here\nline one here\n\n  line two \nline one here", "en", "a"),
     ]
