@@ -291,16 +291,16 @@ def session_rows(fact: DataFrame, gap_s: int = 1800) -> DataFrame:
     revenue, distinct products / categories. Sessions crossing midnight
     give one row per date, as the daily mart expects.
 
-    Events are first reduced per (user, gap-wide bucket, date) — partial
-    aggregation before the shuffle — and per distinct (user, bucket, date,
-    product, category); sessions are numbered from the bucket rows
-    (``number_session_buckets``) and only those reduced rows are rolled up
-    to sessions, so no event-level join or second event shuffle is needed."""
+    The fact is reduced once, to cells (user, gap-wide bucket, date,
+    product, category) — partial aggregation before the shuffle — and
+    everything else comes from the cells: sessions are numbered from their
+    (user, bucket) bounds (``number_session_buckets``), then rolled up, and
+    products and categories are counted as reduced rows."""
     sec = F.unix_timestamp("event_time")
     f = fact.select("user_sk", "event_time", "event_type", "date_sk", "revenue", "product_sk",
                     "category_sk", sec.alias("_sec"), F.floor(sec / gap_s).alias("_bkt"))
     purchase = F.col("event_type") == "purchase"
-    per_bucket = f.groupBy("user_sk", "_bkt", "date_sk").agg(
+    cells = f.groupBy("user_sk", "_bkt", "date_sk", "product_sk", "category_sk").agg(
         F.min("event_time").alias("_start"), F.max("event_time").alias("_end"),
         F.min("_sec").alias("_smin"), F.max("_sec").alias("_smax"),
         F.count(F.lit(1)).alias("_n"),
@@ -308,10 +308,11 @@ def session_rows(fact: DataFrame, gap_s: int = 1800) -> DataFrame:
         count_of("purchase").alias("_purchases"),
         F.sum(F.when(purchase, money("revenue")).otherwise(F.lit(0).cast(MONEY_TYPE))).alias("_rev"))
     numbers = number_session_buckets(
-        per_bucket.groupBy("user_sk", "_bkt").agg(F.min("_smin").alias("_first"), F.max("_smax").alias("_last")),
+        cells.groupBy("user_sk", "_bkt").agg(F.min("_smin").alias("_first"), F.max("_smax").alias("_last")),
         "user_sk", gap_s, first="_first", last="_last", bkt="_bkt")
     keys = ["user_sk", "session_number", "date_sk"]
-    sessions = per_bucket.join(numbers, ["user_sk", "_bkt"]).groupBy(*keys).agg(
+    rows = cells.join(numbers, ["user_sk", "_bkt"])
+    sessions = rows.groupBy(*keys).agg(
         F.min("_start").alias("session_start"),
         F.max("_end").alias("session_end"),
         ((F.max("_smax") - F.min("_smin")) / 60.0).alias("session_duration_minutes"),
@@ -322,11 +323,8 @@ def session_rows(fact: DataFrame, gap_s: int = 1800) -> DataFrame:
         F.max(F.when(F.col("_carts") > 0, 1).otherwise(0)).alias("had_cart_action"),
         F.max(F.when(F.col("_purchases") > 0, 1).otherwise(0)).alias("had_purchase"),
         F.round(F.sum("_rev"), 2).cast("double").alias("session_revenue"))
-    breadth = (f.select("user_sk", "_bkt", "date_sk", "product_sk", "category_sk").distinct()
-                .join(numbers, ["user_sk", "_bkt"]).groupBy(*keys).agg(
-                    F.count_distinct("product_sk").alias("unique_products_in_session"),
-                    F.count_distinct("category_sk").alias("unique_categories_in_session")))
-    return sessions.join(breadth, keys)
+    return _beside(sessions, keys, _distincts(rows, keys, "product_sk", any="unique_products_in_session"),
+                   _distincts(rows, keys, "category_sk", any="unique_categories_in_session"))
 
 
 def gold_session(fact: DataFrame, dates: DataFrame, gap_s: int = 1800, load_ts=None) -> DataFrame:
