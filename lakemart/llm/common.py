@@ -52,6 +52,14 @@ def sized(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def apart(key: Column) -> Column:
+    """A long key in another form, for joining rows with an aggregate of
+    theirs by that key. Joined by the key itself, the aggregate's side is not
+    shuffled again, and adaptive execution cannot split a hot key; with both
+    sides keyed ``apart`` it can."""
+    return F.bitwise_not(key)
+
+
 def row_key(df: DataFrame, text: str = "text") -> Column:
     """64-bit digest of (doc_id, text): with doc_id, the key under which
     per-document results return to their rows. Rows equal in both get equal

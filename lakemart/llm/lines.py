@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import SPACES, let, row_key, without
+from .common import SPACES, apart, let, row_key, without
 
 MIN_SITES = 10
 LG_K = 12
@@ -52,7 +52,8 @@ def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source"
     where: Column = F.coalesce(F.concat(F.lit("s:"), F.col(site).cast("string")), F.lit("null"))
     keyed = docs.select("doc_id", row_key(docs, text).alias("key"), where.alias("site"), F.col(text).alias("__t"))
     lines = _lines(keyed, "__t")
-    hit = (lines.join(boilerplate(lines, min_sites, lg_k), ["h1", "h2"], "left_semi")
+    bad = boilerplate(lines, min_sites, lg_k).select(apart(F.col("h1")).alias("__1"), F.col("h2").alias("__2"))
+    hit = (lines.join(bad, (apart(F.col("h1")) == F.col("__1")) & (F.col("h2") == F.col("__2")), "left_semi")
            .groupBy("doc_id", "key").agg(F.collect_set("pos").alias("__gone"))
            .select(F.col("doc_id").alias("__i"), F.col("key").alias("__k"), "__gone"))
     d = docs.select("*", row_key(docs, text).alias("__key"))
