@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import annotate, persisted, row_key
+from .common import annotate, apart, persisted, row_key
 
 WINDOW = 35
 K = 12
@@ -64,70 +64,142 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Tokens:
-    """Digests of token ranges of one text in constant time each."""
-
-    _powers = tuple(_Powers(b) for b in _BASES)
-
-    def __init__(self, words: list[bytes]):
-        import xxhash
-
-        self.n = len(words)
-        h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, self.n)
+_POWERS = tuple(_Powers(b) for b in _BASES)
+_BYTE_POWERS = _Powers(np.uint64(0xD6E8FEB86659FD93))
+_BYTES = _mix(np.arange(1, 257, dtype=np.uint64))
+_SPACE = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
+#: Bytes of text worked on together (a longer text alone).
+_CHUNK = 1 << 20
+
+
+def _ranges(lo: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """lo[0], lo[0] + 1, ... (size[0] numbers), lo[1], ..."""
+    before = np.cumsum(size) - size
+    return np.repeat(lo - before, size) + np.arange(int(size.sum()))
+
+
+class Texts:
+    """Some texts as one sequence of words with digests of word ranges in
+    constant time. ``start`` and ``end`` are the words' bytes in ``data``;
+    text i has the words first[i] to first[i + 1] - 1."""
+
+    def __init__(self, texts: pa.Array):
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        self.data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+        offsets -= offsets[0]
+        # with a null's bytes, if any, out of the way
+        if texts.null_count:
+            null = texts.is_null().to_numpy(zero_copy_only=False)
+            self.data = self.data.copy()
+            self.data[_ranges(offsets[:-1][null], np.diff(offsets)[null])] = 32
+        space = np.concatenate((_SPACE[self.data], [True]))
+        edge = np.zeros(space.size, bool)  # a text begins here
+        edge[offsets] = True
+        before = np.concatenate(([True], space[:-1])) | edge
+        after = np.concatenate((space[1:], [True])) | np.concatenate((edge[1:], [True]))
+        self.start = np.flatnonzero(~space & before)
+        self.end = np.flatnonzero(~space & after) + 1
+        self.first = np.searchsorted(self.start, offsets)
+        self.n = self.start.size
+
+    def _hashed(self) -> None:
+        if hasattr(self, "_sums"):
+            return
+        h = np.empty(self.n, np.uint64)
+        at = 0
+        while at < self.n:  # some words whose bytes lie in one chunk
+            to = max(at + 1, int(np.searchsorted(self.end, self.start[at] + _CHUNK, "right")))
+            s, e = self.start[at:to] - self.start[at], self.end[at:to] - self.start[at]
+            value = _BYTES[self.data[self.start[at]:self.end[to - 1]]]
+            up, down = _BYTE_POWERS.to(value.size + 1)
+            total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value * up[:-1], dtype=np.uint64)))
+            h[at:to] = _mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+            at = to
         self._sums, self._down = [], []
-        for p in self._powers:
+        for p in _POWERS:
             up, down = p.to(self.n + 1)
             self._sums.append(np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * up[:-1], dtype=np.uint64))))
             self._down.append(down)
 
     def digest(self, start: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
+        self._hashed()
         s = self._sums[which]
         return _mix((s[end] - s[start]) * self._down[which][start])
 
-    def edges(self, window: int, k: int) -> tuple[np.ndarray, ...]:
-        """lo, hi, hash, digest 1, digest 2 of the edges: each stands for the
-        windows that start in [lo, hi]."""
+    def edges(self, window: int, k: int) -> tuple[np.ndarray, ...] | None:
+        """text, lo, hi, hash, digest 1, digest 2 of the edges: each stands
+        for the windows that start at the words lo to hi of its text."""
+        windows = np.maximum(np.diff(self.first) - window + 1, 0)
+        if not windows.any():
+            return None
         at = np.arange(self.n - k + 1)
         kmer = self.digest(at, at + k, 0)
-        width = window - k + 1
-        chosen = np.arange(self.n - window + 1) + np.lib.stride_tricks.sliding_window_view(kmer, width).argmin(axis=1)
-        first = np.flatnonzero(np.concatenate(([True], chosen[1:] != chosen[:-1])))
-        lo, hi, edge = first, np.concatenate((first[1:], [chosen.size])) - 1, chosen[first]
+        # least hash of each window's k-mers, the first of equals: the upper
+        # bits of the hash above the position
+        bits = np.uint64(int(kmer.size).bit_length())
+        least = (kmer >> bits << bits) | np.arange(kmer.size, dtype=np.uint64)
+        width, have = window - k + 1, 1
+        while have < width:
+            step = min(have, width - have)
+            least = np.minimum(least[:-step], least[step:])
+            have += step
+        start = _ranges(self.first[:-1], windows)
+        chosen = (least[start] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        text = np.repeat(np.arange(windows.size), windows)
+        new = np.flatnonzero(np.concatenate(([True], (chosen[1:] != chosen[:-1]) | (text[1:] != text[:-1]))))
+        last = np.concatenate((new[1:], [start.size])) - 1
+        lo, hi, edge, text = start[new], start[last], chosen[new], text[new]
         place = _mix(((edge - lo).astype(np.uint64) << np.uint64(32)) + (hi - lo).astype(np.uint64))
-        return lo, hi, kmer[edge], *(_mix(self.digest(lo, hi + window, i) + place) for i in (0, 1))
+        begin = self.first[text]
+        return (text, lo - begin, hi - begin, kmer[edge], *(_mix(self.digest(lo, hi + window, i) + place) for i in (0, 1)))
+
+    def without(self, spans: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Kept words per text, the kept words of all texts each with one
+        blank behind, and where each text's bytes begin in them."""
+        gone = np.zeros(self.n + 1, np.int64)
+        if spans.null_count < len(spans):
+            sizes = np.diff(np.frombuffer(spans.buffers()[1], np.int32)[spans.offset:spans.offset + len(spans) + 1])
+            sizes = np.where(spans.is_null().to_numpy(zero_copy_only=False), 0, sizes)
+            begin = np.repeat(self.first[:-1], sizes)
+            flat = spans.flatten()
+            np.add.at(gone, begin + flat.field("start").to_numpy(zero_copy_only=False), 1)
+            np.add.at(gone, begin + flat.field("end").to_numpy(zero_copy_only=False), -1)
+        keep = np.cumsum(gone[:-1]) == 0
+        kept = np.concatenate(([0], np.cumsum(keep)))
+        start, size = self.start[keep], (self.end - self.start)[keep] + 1
+        out = np.concatenate((self.data, [32]))[_ranges(start, size)].astype(np.uint8)
+        ends = np.cumsum(size)
+        out[ends - 1] = 32
+        return np.diff(kept[self.first]), out, np.concatenate(([0], ends))[kept[self.first]]
+
+
+def _chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``_CHUNK`` bytes of text."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _CHUNK, "right")) - 1)
+        yield at, to
+        at = to
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
 
-_ROWS = 200_000
-
-
 def _edge_rows(docs: DataFrame, window: int, k: int) -> DataFrame:
     """(doc_id, key, lo, hi, edge, e1, e2) of all texts in ``__utf8``."""
     names = ["doc_id", "key", "lo", "hi", "edge", "e1", "e2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, parts, size = [], [], 0
-            for i, t in enumerate(b.column(2).to_pylist()):
-                words = (t or b"").split()
-                if len(words) >= window:
-                    parts.append(Tokens(words).edges(window, k))
-                    rows.append((i, parts[-1][0].size))
-                    size += rows[-1][1]
-                if size >= _ROWS:
-                    yield pack(b, rows, parts)
-                    rows, parts, size = [], [], 0
-            if rows:
-                yield pack(b, rows, parts)
-
-    def pack(b, rows, parts):
-        take = pa.array(np.repeat([r[0] for r in rows], [r[1] for r in rows]))
-        lo, hi, *rest = (np.concatenate(c) for c in zip(*parts))
-        return pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)),
-                                           *map(_signed, rest)], names=names)
+            for at, to in _chunks(b.column(2)):
+                found = Texts(b.column(2)[at:to]).edges(window, k)
+                if found:
+                    text, lo, hi, *rest = found
+                    take = pa.array(text + at)
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(lo.astype(np.int32)),
+                                                      pa.array(hi.astype(np.int32)), *map(_signed, rest)], names=names)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "key", "__utf8").mapInArrow(run, f"doc_id {kind}, key long, lo int, hi int, edge long, e1 long, e2 long")
 
@@ -138,12 +210,17 @@ def _window_rows(docs: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, (t, ranges) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
-                tokens = Tokens((t or b"").split())
-                at = np.concatenate([np.arange(r["lo"], r["hi"] + 1) for r in ranges])
-                take = pa.array(np.full(at.size, i))
-                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(at.astype(np.int32)),
-                                                  *(_signed(tokens.digest(at, at + window, w)) for w in (0, 1))], names=names)
+            for at, to in _chunks(b.column(2)):
+                texts, ranges = Texts(b.column(2)[at:to]), b.column(3)[at:to]
+                flat = ranges.flatten()
+                lo, hi = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("lo", "hi"))
+                sizes = np.diff(np.frombuffer(ranges.buffers()[1], np.int32)[ranges.offset:ranges.offset + len(ranges) + 1])
+                row = np.repeat(np.repeat(np.arange(len(ranges)), sizes), hi - lo + 1)
+                word = _ranges(lo, hi - lo + 1)
+                start = word + texts.first[row]
+                take = pa.array(row + at)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(word.astype(np.int32)),
+                                                  *(_signed(texts.digest(start, start + window, w)) for w in (0, 1))], names=names)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "key", "__utf8", "open").mapInArrow(run, f"doc_id {kind}, key long, at int, w1 long, w2 long")
 
@@ -161,13 +238,15 @@ def repeated_spans(docs: DataFrame, text: str = "text", window: int = WINDOW, k:
     status = (edges.groupBy("edge").agg(F.count(F.lit(1)).alias("n"), F.min("e1").alias("a1"), F.max("e1").alias("b1"),
                                         F.min("e2").alias("a2"), F.max("e2").alias("b2")).filter("n > 1")
               .select("edge", ((F.col("a1") == F.col("b1")) & (F.col("a2") == F.col("b2"))).alias("whole")))
-    found = edges.join(status, "edge").select("doc_id", "key", "lo", "hi", "whole")
+    status = status.select(apart(F.col("edge")).alias("__e"), "whole")
+    found = edges.join(status, apart(F.col("edge")) == F.col("__e")).select("doc_id", "key", "lo", "hi", "whole")
     marks = persisted(found.groupBy("doc_id", "key").agg(F.collect_set(F.struct("lo", "hi", "whole")).alias("marks")))
     branching = marks.select(F.col("doc_id").alias("__i"), F.col("key").alias("__k"),
                              F.filter("marks", lambda m: ~m["whole"]).alias("open")).filter(F.size("open") > 0)
     windows = _window_rows(texts.join(branching, _same_row()), window)
-    again = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w1", "w2")
-    verified = windows.join(again, ["w1", "w2"]).select("doc_id", "key", F.col("at").alias("start"), (F.col("at") + window).alias("end"))
+    again = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    again = again.select(apart(F.col("w1")).alias("__1"), F.col("w2").alias("__2"))
+    verified = windows.join(again, (apart(F.col("w1")) == F.col("__1")) & (F.col("w2") == F.col("__2"))).select("doc_id", "key", F.col("at").alias("start"), (F.col("at") + window).alias("end"))
     paths = (marks.select("doc_id", "key", F.explode(F.filter("marks", lambda m: m["whole"])).alias("m"))
              .select("doc_id", "key", F.col("m.lo").alias("start"), (F.col("m.hi") + window).alias("end")))
     return paths.unionAll(verified).groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
@@ -181,22 +260,21 @@ def dedup_substrings(docs: DataFrame, text: str = "text", window: int = WINDOW,
     joined = texts.join(spans, _same_row(), "left").select("doc_id", "spans", F.col("__utf8").alias("__text"))
 
     def make():
-        def run(batch, found):
-            n, removed, kept, digest = [], [], [], []
-            for t, spans in zip(found, batch.column(1).to_pylist()):
-                words = (t or b"").split()
-                n.append(len(words))
-                if spans:
-                    gone = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(gone, [s["start"] for s in spans], 1)
-                    np.add.at(gone, [s["end"] for s in spans], -1)
-                    keep = np.flatnonzero(np.cumsum(gone[:-1]) == 0)
-                    words = [words[i] for i in keep.tolist()]
-                removed.append(n[-1] - len(words))
-                whole = b" ".join(words)
-                kept.append(None if t is None else whole)
-                digest.append(hashlib.sha256(whole).hexdigest())
-            return [pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()), pa.array(digest, pa.string())]
+        def run(batch, _):
+            column, spans = batch.column(2), batch.column(1)
+            n, kept, texts, digest = [], [], [], []
+            for at, to in _chunks(column):
+                t = Texts(column[at:to])
+                count, out, begin = t.without(spans[at:to])
+                n.append(np.diff(t.first))
+                kept.append(count)
+                out, begin = out.tobytes(), begin.tolist()
+                for i, (a, b) in enumerate(zip(begin, begin[1:])):
+                    whole = out[a:b - 1] if b > a else b""
+                    digest.append(hashlib.sha256(whole).hexdigest())
+                    texts.append(whole if column[at + i].is_valid else None)
+            n, kept = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (n, kept))
+            return [pa.array(n, pa.int64()), pa.array(n - kept, pa.int64()), pa.array(texts, pa.binary()), pa.array(digest, pa.string())]
         return run
     out = annotate(joined, "__text", "n bigint, removed bigint, kept binary, digest string", make)
     return out.select("doc_id", F.col("n").alias("sub_n_words"), F.col("removed").alias("sub_n_removed"),
