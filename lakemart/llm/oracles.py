@@ -43,13 +43,15 @@ FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 QUALITY = f"""
 WITH d AS (SELECT rid, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {SPACED}) AS w,
                   doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS trusted FROM ({ROWS})),
-g AS (SELECT rid, trusted, unnest(w) AS gram FROM d
-      UNION ALL SELECT rid, trusted, w[i] || ' ' || w[i + 1] FROM d, unnest(range(1, len(w))) t(i)),
-h AS (SELECT gram, {crc32('gram')} % {quality.BUCKETS} AS bucket FROM (SELECT DISTINCT gram FROM g)),
-c AS (SELECT bucket, count(*) AS r, count(*) FILTER (trusted) AS t FROM g JOIN h USING (gram) GROUP BY bucket),
+tok AS (SELECT rid, trusted, generate_subscripts(w, 1) AS i, unnest(w) AS word FROM d),
+h AS (SELECT word, {crc32('word')} AS h FROM (SELECT DISTINCT word FROM tok)),
+hw AS (SELECT rid, trusted, i, h FROM tok JOIN h USING (word)),
+g AS (SELECT rid, trusted, h % {quality.BUCKETS} AS bucket FROM hw
+      UNION ALL SELECT a.rid, a.trusted, (a.h * {quality.PAIR} + b.h) % {quality.BUCKETS} FROM hw a JOIN hw b ON a.rid = b.rid AND b.i = a.i + 1),
+c AS (SELECT bucket, count(*) AS r, count(*) FILTER (trusted) AS t FROM g GROUP BY bucket),
 s AS (SELECT sum(r)::DOUBLE AS rs, sum(t)::DOUBLE AS ts FROM c),
 lr AS (SELECT bucket, round((ln(t + {quality.SMOOTHING}::DOUBLE) - ln(r::DOUBLE * ts / rs + {quality.SMOOTHING}::DOUBLE)) * 1e6)::BIGINT AS weight FROM c, s),
-score AS (SELECT rid, sum(weight)::BIGINT AS total FROM g JOIN h USING (gram) JOIN lr USING (bucket) GROUP BY rid),
+score AS (SELECT rid, sum(weight)::BIGINT AS total FROM g JOIN lr USING (bucket) GROUP BY rid),
 win AS (SELECT rid, i, array_to_string(list_slice(w, i, i + 7), ' ') AS k FROM d, unnest(range(1, len(w) - 6)) t(i)),
 twice AS (SELECT rid, k FROM win GROUP BY rid, k HAVING count(*) > 1),
 rep AS (SELECT rid, count(DISTINCT p) AS n FROM win JOIN twice USING (rid, k), unnest(range(i, i + 8)) t(p) GROUP BY rid),
