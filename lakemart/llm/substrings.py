@@ -7,8 +7,9 @@ same edge at the same place and only about one k-mer in (window-k+2)/2 is
 shuffled.
 
 1. Each document lists its edges with source coordinates: the range of
-   windows the edge stands for, and two 64-bit digests of the tokens of that
-   range (the edge with its extensions).
+   windows the edge stands for, the edge's 64-bit hash, and a 64-bit digest
+   (to another base) of the tokens of that range: the edge with its
+   extensions.
 2. Edges are counted. An edge that occurs once holds no repeated window. A
    repeated edge that always has the same extensions is non-branching: a join
    hands that back to its occurrences, whose windows all repeat, and adjacent
@@ -19,7 +20,8 @@ shuffled.
 
 Counts aggregate before the shuffle, joins back are splittable equi-joins; a
 text is shuffled at most once, by its row's key. Windows are equal if 128
-bits of polynomial hashes over 64-bit word hashes are.
+bits of polynomial hashes over 64-bit word hashes are (edge and extensions,
+or the window's two digests).
 
 Defined cases: null texts and texts shorter than the window lose nothing
 (null: kept text null, digest of the empty string); rows equal in id and text
@@ -70,6 +72,8 @@ _BYTES = _mix(np.arange(1, 257, dtype=np.uint64))
 _SPACE = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
 #: Bytes of text worked on together (a longer text alone).
 _CHUNK = 1 << 20
+#: Bits of a packed range's size; its start has the rest.
+_BITS = 17
 
 
 def _ranges(lo: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -127,7 +131,7 @@ class Texts:
         return _mix((s[end] - s[start]) * self._down[which][start])
 
     def edges(self, window: int, k: int) -> tuple[np.ndarray, ...] | None:
-        """text, lo, hi, hash, digest 1, digest 2 of the edges: each stands
+        """text, lo, hi, hash and extension digest of the edges: each stands
         for the windows that start at the words lo to hi of its text."""
         windows = np.maximum(np.diff(self.first) - window + 1, 0)
         if not windows.any():
@@ -151,19 +155,16 @@ class Texts:
         lo, hi, edge, text = start[new], start[last], chosen[new], text[new]
         place = _mix(((edge - lo).astype(np.uint64) << np.uint64(32)) + (hi - lo).astype(np.uint64))
         begin = self.first[text]
-        return (text, lo - begin, hi - begin, kmer[edge], *(_mix(self.digest(lo, hi + window, i) + place) for i in (0, 1)))
+        return (text, lo - begin, hi - begin, kmer[edge], _mix(self.digest(lo, hi + window, 1) + place))
 
     def without(self, spans: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Kept words per text, the kept words of all texts each with one
         blank behind, and where each text's bytes begin in them."""
         gone = np.zeros(self.n + 1, np.int64)
         if spans.null_count < len(spans):
-            sizes = np.diff(np.frombuffer(spans.buffers()[1], np.int32)[spans.offset:spans.offset + len(spans) + 1])
-            sizes = np.where(spans.is_null().to_numpy(zero_copy_only=False), 0, sizes)
-            begin = np.repeat(self.first[:-1], sizes)
-            flat = spans.flatten()
-            np.add.at(gone, begin + flat.field("start").to_numpy(zero_copy_only=False), 1)
-            np.add.at(gone, begin + flat.field("end").to_numpy(zero_copy_only=False), -1)
+            row, start, size = _unpacked(spans)
+            np.add.at(gone, self.first[row] + start, 1)
+            np.add.at(gone, self.first[row] + start + size, -1)
         keep = np.cumsum(gone[:-1]) == 0
         kept = np.concatenate(([0], np.cumsum(keep)))
         start, size = self.start[keep], (self.end - self.start)[keep] + 1
@@ -183,13 +184,26 @@ def _chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
         at = to
 
 
+def _unpacked(ranges: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and size of each packed range of a list column."""
+    sizes = np.diff(np.frombuffer(ranges.buffers()[1], np.int32)[ranges.offset:ranges.offset + len(ranges) + 1])
+    sizes = np.where(ranges.is_null().to_numpy(zero_copy_only=False), 0, sizes)
+    flat = ranges.flatten().to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(ranges)), sizes), flat >> _BITS, flat & ((1 << _BITS) - 1)
+
+
+def _packed(start: Column, size: Column) -> Column:
+    """A range of words as one long."""
+    return F.shiftleft(start.cast("long"), _BITS).bitwiseOR(size.cast("long"))
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
 
 def _edge_rows(docs: DataFrame, window: int, k: int) -> DataFrame:
-    """(doc_id, key, lo, hi, edge, e1, e2) of all texts in ``__utf8``."""
-    names = ["doc_id", "key", "lo", "hi", "edge", "e1", "e2"]
+    """(doc_id, key, lo, hi, edge, ext) of all texts in ``__utf8``."""
+    names = ["doc_id", "key", "lo", "hi", "edge", "ext"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -201,7 +215,7 @@ def _edge_rows(docs: DataFrame, window: int, k: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(lo.astype(np.int32)),
                                                       pa.array(hi.astype(np.int32)), *map(_signed, rest)], names=names)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "key", "__utf8").mapInArrow(run, f"doc_id {kind}, key long, lo int, hi int, edge long, e1 long, e2 long")
+    return docs.select("doc_id", "key", "__utf8").mapInArrow(run, f"doc_id {kind}, key long, lo int, hi int, edge long, ext long")
 
 
 def _window_rows(docs: DataFrame, window: int) -> DataFrame:
@@ -211,12 +225,9 @@ def _window_rows(docs: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at, to in _chunks(b.column(2)):
-                texts, ranges = Texts(b.column(2)[at:to]), b.column(3)[at:to]
-                flat = ranges.flatten()
-                lo, hi = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("lo", "hi"))
-                sizes = np.diff(np.frombuffer(ranges.buffers()[1], np.int32)[ranges.offset:ranges.offset + len(ranges) + 1])
-                row = np.repeat(np.repeat(np.arange(len(ranges)), sizes), hi - lo + 1)
-                word = _ranges(lo, hi - lo + 1)
+                texts = Texts(b.column(2)[at:to])
+                row, lo, size = _unpacked(b.column(3)[at:to])
+                row, word = np.repeat(row, size), _ranges(lo, size)
                 start = word + texts.first[row]
                 take = pa.array(row + at)
                 yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(word.astype(np.int32)),
@@ -232,30 +243,41 @@ def _same_row(key: str = "__k", doc: str = "__i") -> Column:
 def repeated_spans(docs: DataFrame, text: str = "text", window: int = WINDOW, k: int = K) -> DataFrame:
     """(doc_id, key, spans): for each row key with repeated windows, the
     ranges of words (start, end exclusive; may overlap) they cover."""
+    size = F.lit((1 << _BITS) - 1).cast("long")
+    return _packed_spans(docs, text, window, k).withColumn("spans", F.transform("spans", lambda s: F.struct(
+        F.shiftright(s, _BITS).alias("start"), (F.shiftright(s, _BITS) + s.bitwiseAND(size)).alias("end"))))
+
+
+def _packed_spans(docs: DataFrame, text: str, window: int, k: int) -> DataFrame:
+    if not 0 < k < window < 1 << (_BITS - 1):
+        raise ValueError("0 < k < window < 65536")
     texts = docs.select("doc_id", row_key(docs, text).alias("key"), F.col(text).cast("binary").alias("__utf8"))
     edges = _edge_rows(texts, window, k)
     # an edge is non-branching if its extensions are always the same
-    status = (edges.groupBy("edge").agg(F.count(F.lit(1)).alias("n"), F.min("e1").alias("a1"), F.max("e1").alias("b1"),
-                                        F.min("e2").alias("a2"), F.max("e2").alias("b2")).filter("n > 1")
-              .select("edge", ((F.col("a1") == F.col("b1")) & (F.col("a2") == F.col("b2"))).alias("whole")))
-    status = status.select(apart(F.col("edge")).alias("__e"), "whole")
-    found = edges.join(status, apart(F.col("edge")) == F.col("__e")).select("doc_id", "key", "lo", "hi", "whole")
-    marks = persisted(found.groupBy("doc_id", "key").agg(F.collect_set(F.struct("lo", "hi", "whole")).alias("marks")))
-    branching = marks.select(F.col("doc_id").alias("__i"), F.col("key").alias("__k"),
-                             F.filter("marks", lambda m: ~m["whole"]).alias("open")).filter(F.size("open") > 0)
+    status = (edges.groupBy("edge").agg(F.count(F.lit(1)).alias("n"), F.min("ext").alias("a"), F.max("ext").alias("b")).filter("n > 1")
+              .select(apart(F.col("edge")).alias("__e"), (F.col("a") == F.col("b")).alias("whole")))
+    # a mark: the packed range of windows, then whether the edge is whole
+    mark = F.shiftleft(_packed(F.col("lo"), F.col("hi") - F.col("lo") + 1), 1).bitwiseOR(F.col("whole").cast("long"))
+    found = edges.join(status, apart(F.col("edge")) == F.col("__e")).select("doc_id", "key", mark.alias("m"))
+    marks = persisted(found.groupBy("doc_id", "key").agg(F.collect_set("m").alias("marks")))
+
+    def ranges(whole: int) -> Column:
+        return F.transform(F.filter("marks", lambda m: m.bitwiseAND(F.lit(1).cast("long")) == whole), lambda m: F.shiftright(m, 1))
+    branching = marks.select(F.col("doc_id").alias("__i"), F.col("key").alias("__k"), ranges(0).alias("open")).filter(F.size("open") > 0)
     windows = _window_rows(texts.join(branching, _same_row()), window)
     again = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     again = again.select(apart(F.col("w1")).alias("__1"), F.col("w2").alias("__2"))
-    verified = windows.join(again, (apart(F.col("w1")) == F.col("__1")) & (F.col("w2") == F.col("__2"))).select("doc_id", "key", F.col("at").alias("start"), (F.col("at") + window).alias("end"))
-    paths = (marks.select("doc_id", "key", F.explode(F.filter("marks", lambda m: m["whole"])).alias("m"))
-             .select("doc_id", "key", F.col("m.lo").alias("start"), (F.col("m.hi") + window).alias("end")))
-    return paths.unionAll(verified).groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    verified = windows.join(again, (apart(F.col("w1")) == F.col("__1")) & (F.col("w2") == F.col("__2"))).select(
+        "doc_id", "key", _packed(F.col("at"), F.lit(window)).alias("span"))
+    # n windows from a word on cover window - 1 words more than n
+    paths = marks.select("doc_id", "key", F.explode(ranges(1)).alias("m")).select("doc_id", "key", (F.col("m") + (window - 1)).alias("span"))
+    return paths.unionAll(verified).groupBy("doc_id", "key").agg(F.collect_set("span").alias("spans"))
 
 
 def dedup_substrings(docs: DataFrame, text: str = "text", window: int = WINDOW, k: int = K) -> DataFrame:
     """One row per row of ``docs``: doc_id, sub_n_words, sub_n_removed,
     sub_text (kept words joined by one space) and its sha256."""
-    spans = repeated_spans(docs, text, window, k).select(F.col("doc_id").alias("__i"), F.col("key").alias("__k"), "spans")
+    spans = _packed_spans(docs, text, window, k).select(F.col("doc_id").alias("__i"), F.col("key").alias("__k"), "spans")
     texts = docs.select("doc_id", row_key(docs, text).alias("key"), F.col(text).cast("binary").alias("__utf8"))
     joined = texts.join(spans, _same_row(), "left").select("doc_id", "spans", F.col("__utf8").alias("__text"))
 
