@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import annotate, persisted, row_key
+from .common import annotate, apart, persisted, row_key
 
 SHINGLE = 4
 BITS = 4
@@ -153,9 +153,11 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = least.select(apart(F.col("u")).alias("__u"), "m")
+        large = both.join(least, apart(F.col("u")) == F.col("__u")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        other = least.select(apart(F.col("u")).alias("__u"), "m")
+        small = (large.join(other, apart(F.col("u")) == F.col("__u")).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionAll(least.select("u", F.col("m").alias("v"))).distinct())
         e = persisted(small)
         now = tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
@@ -170,8 +172,8 @@ def cluster(prints: DataFrame, bits: int = BITS, blocks: int = BLOCKS, group: in
     per = persisted(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(links(per.select("fp"), bits, blocks, group))
     rooted = per.join(roots, per["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rooted.join(ids, "root").select("fp", "root", "component_id")
+    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id")).select(apart(F.col("root")).alias("__r"), "component_id")
+    return rooted.join(ids, apart(F.col("root")) == F.col("__r")).select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, bits: int = BITS,
@@ -187,9 +189,9 @@ def keep_one(docs: DataFrame, text: str = "text", **kw) -> DataFrame:
     id and text, any one)."""
     found = persisted(near_duplicates(docs, text, **kw))
     best = (found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key")).alias("b"))
-            .select(F.col("root").alias("__r"), F.col("b.doc_id").alias("__i"), F.col("b.key").alias("__k")))
+            .select(apart(F.col("root")).alias("__r"), F.col("b.doc_id").alias("__i"), F.col("b.key").alias("__k")))
     same = F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("key") == F.col("__k"))
-    kept = (found.join(best, (F.col("root") == F.col("__r")) & same, "left_semi")
+    kept = (found.join(best, (apart(F.col("root")) == F.col("__r")) & same, "left_semi")
             .groupBy(F.col("doc_id").alias("__i"), F.col("key").alias("__k")).agg(F.count(F.lit(1)).alias("n")))
     keyed = docs.select("*", row_key(docs, text).alias("__key"))
     on = F.col("doc_id").eqNullSafe(F.col("__i")) & (F.col("__key") == F.col("__k"))
