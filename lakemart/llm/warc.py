@@ -39,8 +39,8 @@ SPLIT_BYTES = 8 << 20
 WARC_DATE = "2024-01-01T00:00:00Z"
 MAGIC = b"\x1f\x8b\x08"
 _CHUNK = 1 << 16
-#: The most bytes of a member that are decoded to find its header.
-_HEADER = 1 << 20
+#: The most bytes of a member that are decoded at a time to find its header.
+_STEP = 1 << 20
 _BATCH_BYTES = 8 << 20
 
 
@@ -128,19 +128,21 @@ def _open(path: str):
 
 
 def _is_record(f, at: int) -> bool:
-    """Whether a member at ``at`` decodes to a WARC header."""
+    """Whether a member at ``at`` decodes to a WARC header, however long."""
     f.seek(at)
-    z, out = zlib.decompressobj(31), b""
+    z, out, rest = zlib.decompressobj(31), bytearray(), b""
     try:
-        while len(out) < _HEADER and not z.eof:
-            chunk = f.read(_CHUNK)
+        while not z.eof:
+            chunk = rest or f.read(_CHUNK)
             if not chunk:
                 return False
-            out += z.decompress(chunk, _HEADER)
+            seen = max(0, len(out) - 3)
+            out += z.decompress(chunk, _STEP)
+            rest = z.unconsumed_tail
             if not b"WARC/".startswith(out[:5]):
                 return False
-            if b"\r\n\r\n" in out:
-                return parse_header(out) is not None
+            if out.find(b"\r\n\r\n", seen) >= 0:
+                return parse_header(bytes(out)) is not None
     except zlib.error:
         pass
     return False

@@ -126,6 +126,16 @@ def test_warc_candidates_are_validated():
     assert len(list(warc.read_range(io.BytesIO(bytes(broken)), 0, len(data), "skip"))) == 2
 
 
+@pytest.mark.parametrize("url", ["u" * (2 << 20), "\x01\n" * (1 << 20), "".join(random.Random(1).choices("abcdefghij/%é", k=2 << 20))],
+                         ids=["repetitive", "control characters", "random"])
+def test_warc_record_with_a_long_header_comes_first(url):
+    long = warc._member(warc.build_record(1, url, b"long", "response", None))
+    data = long + warc._EMPTY + warc._member(warc.build_record(2, "http://b", b"short", "response", None))
+    got = list(warc.read_range(io.BytesIO(data), 0, len(data)))
+    assert [(at, head["warc-record-id"]) for at, head, _ in got] == [(0, "<urn:page:1>"), (len(long) + len(warc._EMPTY), "<urn:page:2>")]
+    assert got[0][1]["warc-target-uri"] == warc._header_text(url) and got[0][2].endswith(b"long")
+
+
 def test_counterfactual_penalty_spares_neutral_mentions():
     r = random.Random(3)
     neutral = [f"word{i}" for i in range(40)]
