@@ -9,7 +9,8 @@ toxic texts name often are no longer false positives.
 
 The model is fitted on the driver from at most ``MAX_ROWS`` labelled rows per
 label, chosen by a hash of the id (a documented bound; each row is a list of
-feature numbers, cut by nothing). Scoring is one narrow pass over all whole
+feature numbers, cut by nothing); of several rows with one id, the text with
+the smallest digest is learnt. Scoring is one narrow pass over all whole
 texts; a word's contribution is looked up once per task and word.
 
 Defined cases: null, empty and wordless texts score the intercept; unlabelled
@@ -83,6 +84,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn: Column, text: str =
     usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("__toxic"))
     pick = [usable.filter(F.col("__toxic") == k).orderBy(order, "doc_id").limit(max_rows) for k in (0, 1)]
     rows = docs.select("doc_id", F.col(text).alias("__text")).join(sized(pick[0].unionAll(pick[1])), "doc_id")
+    # one text an id: partial aggregates leave at most one row an id and task
+    one = F.min(F.struct(F.xxhash64("__text"), "__text"))["__text"]
+    rows = rows.groupBy("doc_id", "__toxic").agg(one.alias("__text"))
     swaps = swap_table(groups)
 
     def make():

@@ -159,6 +159,18 @@ def test_counterfactual_penalty_spares_neutral_mentions():
     assert gap[1] < gap[0] / 2
 
 
+def test_toxicity_learns_a_repeated_id_once(spark):
+    texts = [(1, f"often word{i}") for i in range(300)] + [(1, None)] + [(1, "often word0")] * 50 + [(2, "calm"), (3, "mild"), (4, "rude"), (4, "rude")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 0), (4, 1)], "doc_id long, toxic int")
+    seen = []
+    for parts in (1, 7):
+        rows = toxicity.training_rows(docs.repartition(parts), labels, F.lit(True), max_rows=2).collect()
+        assert collections.Counter(r.toxic for r in rows) == {0: 2, 1: 2}
+        seen.append(sorted(tuple(r.on) for r in rows))
+    assert seen[0] == seen[1]
+
+
 def test_toxicity_held_out_accuracy(spark):
     import __spark_entry__ as se
     sf = "/root/testdata/sf0.1"
