@@ -14,7 +14,9 @@ many parts, and only fingerprints that meet under a key are compared
 * A key shared by more takes the linear way: fingerprints within ``bits`` of
   each other have a common point at half that distance that keeps the key's
   bits. Each fingerprint is sent to all such points (some hundred) and linked
-  to the smallest one there. Nothing is dropped and no group is gathered.
+  to the smallest one there. Nothing is dropped and no group is gathered:
+  such keys are found by counting, and their fingerprints expand to points
+  where they were read.
 * Classes: alternating large-star / small-star rounds over the edges,
   checkpointed to the shared folder.
 
@@ -31,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import annotate, apart, persisted, row_key
+from .common import annotate, apart, persisted, row_key, sized
 
 SHINGLE = 4
 BITS = 4
@@ -112,15 +114,20 @@ def links(fps: DataFrame, bits: int = BITS, blocks: int = BLOCKS, group: int = G
     masks = _masks(bits, blocks)
     keys = F.array(*[F.struct(F.lit(i).alias("c"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("k")) for i, m in enumerate(masks)])
     keyed = fps.select("fp", F.explode(keys).alias("x")).select("x.c", "x.k", "fp")
-    met = (keyed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("c", "k"))).filter("n > 1"))
+    # the keys shared by more than ``group`` are found by partial counts, and
+    # joined so that a hot one can be split
+    hot = sized(keyed.groupBy("c", "k").count().filter(F.col("count") > group).select(F.col("c").alias("__c"), apart(F.col("k")).alias("__k")))
+    on = (F.col("c") == F.col("__c")) & (apart(F.col("k")) == F.col("__k"))
+    rest = keyed.join(hot, on, "left_anti")
+    met = rest.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("c", "k"))).filter("n > 1")
 
     def verify(batches):
         for b in batches:
             pairs = [e for fps in b.column(0).to_pylist() for e in _forest(fps, bits)]
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
-    few = met.filter(F.col("n") <= group).groupBy("c", "k").agg(F.collect_list("fp").alias("fps"))
+    few = met.groupBy("c", "k").agg(F.collect_list("fp").alias("fps"))
     small = few.select("fps").mapInArrow(verify, "a long, b long")
-    big = met.filter(F.col("n") > group)
+    big = keyed.join(hot, on, "left_semi")
     # inner points: within bits // 2 of a fingerprint; outer: the rest of the way
     inner, outer = bits // 2, bits - bits // 2
     free = F.element_at(F.array(*[F.array(*[F.lit(signed(1 << b)) for b in range(64) if not m >> b & 1]) for m in masks]), F.col("c") + 1)

@@ -76,6 +76,21 @@ def test_simhash_classes_match_all_pairs(spark, bits, blocks, group):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def test_simhash_hot_key_expands_in_many_tasks(spark, monkeypatch):
+    # distinct fingerprints that share their lower parts
+    df = spark.createDataFrame([(i << 40,) for i in range(400)], "fp long").repartition(8)
+    seen, points = [], simhash._points
+
+    def spy(rows, radius):
+        placed = rows.select("c", "k", F.spark_partition_id().alias("task"))
+        seen.append(placed.groupBy("c", "k").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("task").alias("tasks")).collect())
+        return points(rows, radius)
+    monkeypatch.setattr(simhash, "_points", spy)
+    simhash.links(df, group=50)
+    assert max(r.n for r in seen[0]) == 400 and all(r.n > 50 for r in seen[0])
+    assert min(r.tasks for r in seen[0] if r.n == 400) == 8
+
+
 def test_components_of_long_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 5001), (5001, 5000)]
     random.Random(1).shuffle(edges)
