@@ -249,8 +249,10 @@ def find_phrases(docs: DataFrame, benchmark: DataFrame, text: str = "text", wind
                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` plus ``decon``: struct of n_words, merged removal ``spans``
     (word numbers, end exclusive) and the ``items`` found."""
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")), F.col("text").cast("binary"))
-    size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
+    # results are sets: repeated rows are sent once
+    items = persisted(benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"),
+                                       F.col("text").cast("binary").alias("text")).distinct())
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     passes = 1 + int(size) // block_bytes
     which = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
     out = docs

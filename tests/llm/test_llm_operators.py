@@ -40,6 +40,21 @@ def test_decontamination_passes_agree(spark):
     assert sorted(map(tuple, one)) == sorted(map(tuple, many)) and any(r.decon["items"] for r in one)
 
 
+def test_decontamination_sends_repeated_rows_once(spark, monkeypatch):
+    phrase = " ".join(f"w{i}" for i in range(13))
+    docs = spark.createDataFrame([(1, f"before {phrase} after"), (2, "clean")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, phrase)] * 300 + [(None, "other words")] * 2 + [(2, phrase)], "item_id long, text string")
+    sent, one_pass = [], decontaminate._one_pass
+
+    def spy(frame, text, items, *rest):
+        sent.append(items)
+        return one_pass(frame, text, items, *rest)
+    monkeypatch.setattr(decontaminate, "_one_pass", spy)
+    got = {r.doc_id: r.decon["items"] for r in decontaminate.find_phrases(docs, bench, block_bytes=4000).collect()}
+    assert got == {1: ["1", "2"], 2: []}
+    assert sorted(x for block in sent for x in block) == [("1", phrase.encode()), ("2", phrase.encode()), ("null", b"other words")]
+
+
 def test_spans_are_cut_from_the_text(spark):
     phrase = " ".join(f"w{i}" for i in range(13))
     docs = spark.createDataFrame([(1, f"Before, it. {phrase.upper()}! after"), (2, None), (3, "clean")], "doc_id long, text string")
