@@ -98,3 +98,16 @@ def annotate(df: DataFrame, text: str, added: str, make: Callable[[], Callable[[
 
     src = df.select("*", F.col(text).cast("binary").alias("__utf8"))
     return src.mapInArrow(run, StructType([*df.schema.fields, *extra]))
+
+
+def exact_share(part: Column, total: Column, thousands: int) -> Column:
+    """``floor(1000^thousands * part / total)`` of longs (0 <= part, 0 < total
+    < 9e15) by long division, three digits a step: no product passes 64 bits
+    as long as the result does not."""
+    def div(a: Column, b: Column) -> Column:
+        return F.call_function("div", a, b)
+    part, total = part.cast("long"), total.cast("long")
+    out, rest = div(part, total), part % total
+    for _ in range(thousands):
+        out, rest = out * 1000 + div(rest * 1000, total), (rest * 1000) % total
+    return out

@@ -153,3 +153,41 @@ FROM d LEFT JOIN b USING (rid) LEFT JOIN al2 USING (rid) LEFT JOIN sc USING (rid
 
 
 LICENSES = _licenses()
+
+DIVERGENCE = rf"""
+WITH d AS (SELECT rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM ({ROWS})),
+tok AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM tok GROUP BY lang, term HAVING count(DISTINCT rid) >= 30),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM tok JOIN kept USING (lang, term) GROUP BY ALL),
+gn AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS size FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+m AS (SELECT lang, source, term, coalesce(c.n, 0) AS n, (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (size + 5 * v))::BIGINT AS p
+      FROM gn JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+q AS (SELECT lang, term, (1 + (1000000000::HUGEINT * (sum(n) + 5)) // (max(total) + 5 * max(v)))::BIGINT AS q
+      FROM m JOIN v USING (lang) JOIN (SELECT lang, sum(size) AS total FROM gn GROUP BY lang) USING (lang) GROUP BY lang, term),
+pv AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM m a JOIN m b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pv ON pv.lang = a.lang AND pv.source = a.source AND pv.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM m JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+r AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank FROM (FROM pairs UNION ALL FROM terms))
+SELECT * FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
+PHRASES = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all({LOWER}, '[^.,;:!?\x0A-\x0D]+')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+f AS (SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, count(*) AS f
+      FROM w, unnest(range(1, 5)) t(m), unnest(range(1, len(w) - m + 2)) u(i) GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+cuts AS (SELECT c.lang, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.f) // (x.f + y.f))::BIGINT AS score
+         FROM (SELECT *, array_to_string(list_slice(w, 1, k), ' ') AS x, array_to_string(list_slice(w, k + 1, m), ' ') AS y FROM cand, unnest(range(1, m)) t(k)) c
+         JOIN f x ON x.lang = c.lang AND x.phrase = c.x JOIN f y ON y.lang = c.lang AND y.phrase = c.y),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (SELECT lang, f, array_to_string(list_slice(w, i, i + z - 1), ' ') AS phrase FROM cand, unnest(range(2, m)) t(z), unnest(range(1, m - z + 2)) u(i)),
+gone AS (SELECT DISTINCT b.lang, b.phrase FROM best b JOIN inner_ i ON b.lang = i.lang AND b.phrase = i.phrase WHERE 100 * i.f >= 80 * b.a)
+SELECT lang, (row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase))::BIGINT AS rank, phrase, a, l, r, n, score
+FROM (FROM best ANTI JOIN gone USING (lang, phrase)) JOIN total USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""

@@ -1,4 +1,4 @@
-"""The ten operators as registered queries, with oracle SQL for DuckDB where
+"""The thirteen operators as registered queries, with oracle SQL for DuckDB where
 SQL can express the result. Each applies its operator, with production
 parameters, to its whole table and derives the digest columns."""
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..registry import register
 from ..sources.tables import load
-from . import decontaminate, licenses, lines, mixing, oracles, quality, sharding, simhash, substrings, toxicity, warc
+from . import decontaminate, divergence, licenses, lines, mixing, oracles, phrases, quality, sharding, simhash, substrings, toxicity, warc
 
 
 @register("op1_warc")
@@ -86,3 +86,13 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("lic_first_word").alias("first_word"), F.col("lic_last_word").alias("last_word"),
                         F.array_join("lic_base_labels", ",").alias("base_labels"), F.array_join("lic_labels", ",").alias("labels"),
                         F.col("lic_score").alias("score"))
+
+
+@register("op11_divergence", oracles.DIVERGENCE)
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(load(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+@register("op12_phrases", oracles.PHRASES)
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(load(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
