@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..registry import register
 from ..sources.tables import load
-from . import decontaminate, divergence, licenses, lines, mixing, oracles, phrases, quality, sharding, simhash, substrings, toxicity, warc
+from . import decontaminate, divergence, licenses, lines, mixing, oracles, phrases, pii, quality, sharding, simhash, substrings, toxicity, warc
 
 
 @register("op1_warc")
@@ -96,3 +96,12 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op12_phrases", oracles.PHRASES)
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(load(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+@register("op13_pii")
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs, pii.train(docs))
+    base = F.filter("pii_spans", lambda s: s["base"])
+    counts = [F.size(F.filter("pii_spans", lambda s: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("pii_spans")).alias("spans"))
