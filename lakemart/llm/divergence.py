@@ -45,6 +45,8 @@ SCALE = 3
 TOP_TERMS = 50
 #: (lang, source, term) counts that a task holds before it hands them on.
 HELD = 200_000
+#: Ranges of the vocabulary; Spark samples some 100 short keys for each.
+MAX_RANGES = 2000
 #: Bytes of text split at once.
 _CHUNK = 1 << 20
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -158,8 +160,9 @@ def run_columns(kept: DataFrame) -> DataFrame:
                 block += 1
                 at = to
 
-    n = int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = kept.filter("term is not null").select("lang", "profile", "term").repartitionByRange(n, "lang", "profile", "term")
+    # bounds come from a sample of the leading counts, not of whole profiles
+    n = min(int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
+    ordered = kept.filter("term is not null").select("lang", "profile", "term").repartitionByRange(n, "lang", F.slice("profile", 1, 2), "term")
     return ordered.sortWithinPartitions("lang", "profile", "term").select("lang", "profile").mapInArrow(
         run, "lang string, block long, length int, source string, starts array<int>, counts array<long>")
 
