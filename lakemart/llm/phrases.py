@@ -50,7 +50,7 @@ FILTER_BITS = 26
 COVERED = 80
 TOP = 2000
 #: Bytes of text counted together.
-_CHUNK = 1 << 23
+_CHUNK = 3 << 20
 _PIECES = bytes(10 if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
