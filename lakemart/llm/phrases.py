@@ -50,7 +50,7 @@ FILTER_BITS = 26
 COVERED = 80
 TOP = 2000
 #: Bytes of text counted together.
-_CHUNK = 3 << 20
+_CHUNK = 1 << 21
 _PIECES = bytes(10 if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -61,6 +61,22 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+_BYTES = _mix(np.arange(1, 257, dtype=np.uint64))
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _digests(words: pa.Array) -> np.ndarray:
+    """A 64-bit polynomial hash of each word of a large_binary array."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    start, size = offsets[:-1] - offsets[0], np.diff(offsets)
+    place = np.arange(data.size) - np.repeat(start, size)
+    powers = np.cumprod(np.full(int(size.max()), _BASE))
+    return _mix(np.add.reduceat(_BYTES[data] * powers[place], start) + size.astype(np.uint64))
+
+
 def _buffers(langs: list[str], texts: list[bytes]) -> Iterator[tuple[str, bytes]]:
     """Folded texts of one language joined by line feeds (which end pieces),
     about ``_CHUNK`` bytes each."""
@@ -95,16 +111,15 @@ class Sequences:
     def __init__(self, lang: str, buffer: bytes):
         data = np.frombuffer(buffer, np.uint8)
         gap = (data == 32) | (data == 10)
-        edge = np.flatnonzero(np.diff(np.concatenate(([True], gap, [True])).astype(np.int8)))
+        edge = np.flatnonzero(np.concatenate(([True], gap)) != np.concatenate((gap, [True])))
         start, end = edge[::2], edge[1::2]
         self.n = start.size
-        self.piece = np.cumsum(data == 10)[start] if self.n else np.zeros(0, np.int64)
+        self.piece = np.cumsum(data == 10, dtype=np.int32)[start] if self.n else np.zeros(0, np.int32)
         offsets = np.concatenate(([0], np.cumsum(end - start)))
         words = pa.Array.from_buffers(pa.large_binary(), self.n, [None, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(data[~gap].tobytes())])
         coded = words.dictionary_encode()
         self.ids, self.words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
-        own = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in self.words.to_pylist()), np.uint64, len(self.words))
-        self._own = own[self.ids]
+        self._own = _digests(self.words)[self.ids]
         self._hash = [_mix(self._own + np.uint64(xxhash.xxh3_64_intdigest(lang.encode())))]
 
     def inside(self, m: int) -> np.ndarray:
@@ -115,7 +130,7 @@ class Sequences:
         while len(self._hash) < m:
             k = len(self._hash)
             before = self._hash[-1][:max(self.n - k, 0)]
-            self._hash.append(_mix(before * np.uint64(0x9E3779B97F4A7C15) + self._own[k:]))
+            self._hash.append(_mix(before * _BASE + self._own[k:]))
         return self._hash[m - 1]
 
     def text(self, at: np.ndarray, m: int) -> pa.Array:
@@ -124,6 +139,18 @@ class Sequences:
         joined = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary())) if m > 1 else parts[0]
         return joined.cast(pa.binary()).cast(pa.string())
 
+    def counts(self, chosen: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(length, one start of each distinct sequence, occurrences) of the
+        sequences of two words or more that start where ``chosen`` says."""
+        for m, flags in enumerate(chosen[1:], 2):
+            at = np.flatnonzero(flags)
+            if not at.size:
+                continue
+            number = self.ids[at]
+            for k in range(1, m):  # numbered by (number of the first part, next word)
+                _, first, number, n = np.unique(number * len(self.words) + self.ids[at + k], return_index=True, return_inverse=True, return_counts=True)
+            yield m, at[first], n
+
     def countable(self, bits: np.ndarray, max_words: int) -> list[np.ndarray]:
         """For each length, whether the sequence at each start is counted
         when ``bits`` are the proposals."""
@@ -208,23 +235,17 @@ def _count(docs: DataFrame, new: np.ndarray, old: np.ndarray | None, max_words:
                 s = Sequences(g, buffer)
                 if not s.n:
                     continue
-                now = s.countable(new, max_words)
-                before = s.countable(old, max_words) if old is not None else None
-                number = s.ids
-                if before is None:
+                if old is None:
                     yield rows(g, 0, pa.array([""], pa.string()), np.array([s.n]))
-                    yield rows(g, 1, s.words.cast(pa.binary()).cast(pa.string()), np.bincount(number, minlength=len(s.words)))
-                for m in range(2, max_words + 1):
-                    at = np.flatnonzero(now[m - 1])
-                    if not at.size:
-                        break
-                    _, first, inverse, n = np.unique(number[at] * len(s.words) + s.ids[at + m - 1], return_index=True, return_inverse=True, return_counts=True)
-                    where = at[first]
-                    fresh = np.ones(n.size, bool) if before is None else ~before[m - 1][where]
-                    if fresh.any():
-                        yield rows(g, m, s.text(where[fresh], m), n[fresh])
-                    number = np.full(s.n, -1, np.int64)
-                    number[at] = inverse
+                    yield rows(g, 1, s.words.cast(pa.binary()).cast(pa.string()), np.bincount(s.ids, minlength=len(s.words)))
+                    found = s.counts(s.countable(new, max_words))
+                elif any(_has(new & ~old, s.hashes(m)).any() for m in range(1, max_words)):
+                    now, before = s.countable(new, max_words), s.countable(old, max_words)
+                    found = s.counts([n & ~b for n, b in zip(now, before)])
+                else:
+                    continue
+                for m, at, n in found:
+                    yield rows(g, m, s.text(at, m), n)
 
     counted = docs.mapInArrow(run, "lang string, words int, phrase string, n long")
     sums = counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
