@@ -1,16 +1,15 @@
 """Gold marts: daily, user, product, category, brand, funnel, session,
-cohort. Each builder takes the fact and dimension frames and returns one
-DataFrame (full refresh). Every mart ends with ``created_at``; pass
+cohort. Each builder takes the fact (or its stored cells, see
+``reduce_cells``) and dimension frames and returns one DataFrame. Every mart ends with ``created_at``; pass
 ``load_ts`` for a repeatable value."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.columns import (MONEY_TYPE, TOTAL_TYPE, count_of, distinct_of, money, money_avg, money_sum, purchase_revenue,
-                                 quantity_of, revenue_of, round_half_up, safe_rate, total_avg, total_sum)
+from ..functions.columns import MONEY_TYPE, TOTAL_TYPE, money, ratio_avg, round_half_up, safe_rate, total_avg, total_sum
 from ..operators.joins import UNKNOWN_SK
 from ..operators.windows import dense_rank_in, number_session_buckets
 from ..session import checkpoint_dir
@@ -23,12 +22,59 @@ def _ts(load_ts):
     return (load_ts if load_ts is not None else F.current_timestamp()).alias("created_at")
 
 
+SESSION_GAP_S = 1800
+#: What a cell is counted by, and the marts' measures that cells add up to.
+CELL_KEYS = ["event_date", "date_sk", "user_sk", "product_sk", "category_sk", "bucket"]
+
+
+def as_cells(fact: DataFrame, gap_s: int = SESSION_GAP_S) -> DataFrame:
+    """Every event as a cell of its own (a projection, no shuffle), so that
+    the marts are written once for events and for reduced cells. Cells are
+    returned as they are."""
+    if "n" in fact.columns:
+        return fact
+
+    def one(t: str) -> Column:
+        return (F.col("event_type") == t).cast("long")
+    sec = F.unix_timestamp("event_time")
+    purchase = F.col("event_type") == "purchase"
+    return fact.select(
+        "event_date", "date_sk", "user_sk", "product_sk", "category_sk", F.floor(sec / gap_s).alias("bucket"),
+        F.lit(1).cast("long").alias("n"),
+        *[F.coalesce(one(t), F.lit(0).cast("long")).alias(c) for t, c in (("view", "views"), ("cart", "carts"), ("remove_from_cart", "removes"), ("purchase", "purchases"))],
+        money("revenue").alias("all_revenue"),
+        F.when(purchase, money("revenue")).otherwise(F.lit(0).cast(MONEY_TYPE)).alias("revenue"),
+        (purchase & F.col("revenue").isNotNull()).cast("long").alias("paid"),
+        F.when(purchase, F.col("quantity")).otherwise(F.lit(0)).cast("long").alias("sold"),
+        F.col("event_time").alias("first_time"), F.col("event_time").alias("last_time"))
+
+
+def reduce_cells(fact: DataFrame, gap_s: int = SESSION_GAP_S) -> DataFrame:
+    """Events added up per day, user, product, category and session-gap
+    bucket (partial aggregation before the shuffle). Cells of a day depend on
+    that day's events alone, so they can be stored and replaced by the day;
+    distinct users, products and days stay exact, since they are keys."""
+    return as_cells(fact, gap_s).groupBy(*CELL_KEYS).agg(
+        *[F.sum(c).alias(c) for c in ("n", "views", "carts", "removes", "purchases")],
+        F.sum("all_revenue").alias("all_revenue"), F.sum("revenue").alias("revenue"), F.sum("paid").alias("paid"), F.sum("sold").alias("sold"),
+        F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time"))
+
+
+def _total(col: str) -> Column:
+    return F.sum(col).cast("long")
+
+
 def _type_counts() -> list:
-    return [F.count(F.lit(1)).alias("total_events"),
-            count_of("view").alias("total_views"),
-            count_of("cart").alias("total_carts"),
-            count_of("remove_from_cart").alias("total_removes"),
-            count_of("purchase").alias("total_purchases")]
+    return [_total(c).alias(a) for c, a in (("n", "total_events"), ("views", "total_views"), ("carts", "total_carts"),
+                                            ("removes", "total_removes"), ("purchases", "total_purchases"))]
+
+
+def _revenue(col: str = "revenue") -> Column:
+    return F.round(F.sum(col), 2).cast("double")
+
+
+def _order_value() -> Column:
+    return ratio_avg(F.sum("revenue"), F.sum("paid"))
 
 
 def _rates() -> list:
@@ -38,7 +84,7 @@ def _rates() -> list:
             safe_rate("total_revenue", "total_views", scale=1.0).alias("revenue_per_view")]
 
 
-TYPES = ("view", "cart", "purchase")
+TYPES = {"view": "views", "cart": "carts", "purchase": "purchases"}
 
 
 def _distincts(rows: DataFrame, keys: list[str], col: str, **names: str) -> DataFrame:
@@ -46,7 +92,7 @@ def _distincts(rows: DataFrame, keys: list[str], col: str, **names: str) -> Data
     (``any=`` column name) and over the rows of an event type. Rows are
     reduced to (keys, col) before the shuffle, so counts are row counts and
     no event is expanded per measure."""
-    flags = [F.max(F.col("event_type") == t).alias(f"_{t}") for t in TYPES if t in names]
+    flags = [F.max(F.col(c) > 0).alias(f"_{t}") for t, c in TYPES.items() if t in names]
     per = rows.groupBy(*keys, col).agg(*(flags or [F.count(F.lit(1)).alias("_n")]))
     have = F.col(col).isNotNull()
     out = [F.count_if(have if k == "any" else have & F.coalesce(F.col(f"_{k}"), F.lit(False))).alias(n) for k, n in names.items()]
@@ -72,7 +118,7 @@ def _days(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _seen() -> list:
-    return [F.min("event_time").alias("first_event_date"), F.max("event_time").alias("last_event_date")]
+    return [F.min("first_time").alias("first_event_date"), F.max("last_time").alias("last_event_date")]
 
 
 def gold_daily(fact: DataFrame, dates: DataFrame, users: DataFrame, load_ts=None) -> DataFrame:
@@ -85,12 +131,12 @@ def gold_daily(fact: DataFrame, dates: DataFrame, users: DataFrame, load_ts=None
     the distinct (day, user) pairs meet the user dimension for the segment
     counts, instead of shuffling every event against it. Calendar
     attributes are joined to the ~one-row-per-day results."""
-    f = fact.filter(F.col("user_sk") != UNKNOWN_SK)
+    f = as_cells(fact).filter(F.col("user_sk") != UNKNOWN_SK)
     agg = f.groupBy("date_sk").agg(
         *_type_counts(),
-        money_sum("revenue").alias("total_revenue"),
-        purchase_revenue().alias("avg_order_value"),
-        quantity_of().alias("total_quantity_sold"),
+        _revenue("all_revenue").alias("total_revenue"),
+        _order_value().alias("avg_order_value"),
+        _total("sold").alias("total_quantity_sold"),
     )
     agg = _beside(agg, ["date_sk"],
                   _distincts(f, ["date_sk"], "product_sk", any="unique_products_viewed", purchase="unique_products_sold"),
@@ -129,13 +175,14 @@ def gold_user(fact: DataFrame, users: DataFrame, as_of=None, load_ts=None) -> Da
     cur = users.filter(F.col("is_current_version")).select("user_sk", "user_id", "user_segment")
     # aggregate on user_sk, then keep current versions (join after: the
     # user dimension meets one row per user instead of every event)
+    fact = as_cells(fact)
     agg = fact.groupBy("user_sk").agg(
         *_type_counts(),
-        money_sum("revenue").alias("lifetime_revenue"),
-        purchase_revenue().alias("avg_order_value"),
-        quantity_of().alias("total_quantity_purchased"),
+        _revenue("all_revenue").alias("lifetime_revenue"),
+        _order_value().alias("avg_order_value"),
+        _total("sold").alias("total_quantity_purchased"),
         *_seen(),
-        F.max(F.to_date("event_time")).alias("_last_day"),
+        F.max(F.to_date("last_time")).alias("_last_day"),
     )
     k = ["user_sk"]
     agg = _beside(agg, k, _days(fact, k),
@@ -162,12 +209,12 @@ def gold_product(fact: DataFrame, products: DataFrame, categories: DataFrame, lo
                           "category_l1", "category_l2")
     # aggregate on the fact's keys (category_sk follows from the product
     # version), then attach the product / category attributes
-    k = ["product_sk", "category_sk"]
+    fact, k = as_cells(fact), ["product_sk", "category_sk"]
     per = fact.groupBy(*k).agg(
         *_type_counts(),
-        revenue_of().alias("total_revenue"),
-        purchase_revenue().alias("avg_revenue_per_purchase"),
-        quantity_of().alias("total_quantity_sold"),
+        _revenue().alias("total_revenue"),
+        _order_value().alias("avg_revenue_per_purchase"),
+        _total("sold").alias("total_quantity_sold"),
         *_seen(),
     )
     per = _beside(per, k, _users(fact, k), _days(fact, k))
@@ -193,11 +240,12 @@ def gold_category(fact: DataFrame, categories: DataFrame, load_ts=None) -> DataF
     inside the top-level category and dense ranks."""
     keys = ["category_sk", "category_l1", "category_l2", "category_l3", "category_full_path",
             "category_depth"]
+    fact = as_cells(fact)
     per = fact.groupBy("category_sk").agg(
         *_type_counts(),
-        revenue_of().alias("total_revenue"),
-        purchase_revenue().alias("avg_revenue_per_purchase"),
-        quantity_of().alias("total_quantity_sold"),
+        _revenue().alias("total_revenue"),
+        _order_value().alias("avg_revenue_per_purchase"),
+        _total("sold").alias("total_quantity_sold"),
         *_seen(),
     )
     k = ["category_sk"]
@@ -221,16 +269,16 @@ def gold_brand(fact: DataFrame, products: DataFrame, categories: DataFrame, load
     breadth, users, price range (event weighted), market share, ranks."""
     p = products.filter(F.col("is_current_version")).select("product_sk", "brand", "price")
     c = categories.select("category_sk", "category_l1")
-    f = fact.join(p, "product_sk").join(c, "category_sk")
+    f = as_cells(fact).join(p, "product_sk").join(c, "category_sk")
     agg = f.groupBy("brand").agg(
         *_type_counts(),
-        revenue_of().alias("total_revenue"),
-        purchase_revenue().alias("avg_revenue_per_purchase"),
-        quantity_of().alias("total_quantity_sold"),
+        _revenue().alias("total_revenue"),
+        _order_value().alias("avg_revenue_per_purchase"),
+        _total("sold").alias("total_quantity_sold"),
         *_seen(),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
-        money_avg("price").alias("avg_price"),
+        ratio_avg(F.sum(money("price") * F.col("n")), F.sum(F.when(F.col("price").isNotNull(), F.col("n")))).alias("avg_price"),
     )
     k = ["brand"]
     agg = _beside(agg, k, _distincts(f, k, "product_sk", any="unique_products", purchase="products_purchased"),
@@ -254,15 +302,9 @@ def gold_funnel(fact: DataFrame, products: DataFrame, categories: DataFrame, dat
     p = products.filter(F.col("is_current_version")).select("product_sk")
     c = categories.select("category_sk", "category_l1", "category_l2")
     d = F.broadcast(dates.select("date_key", "full_date"))
-    f = fact.join(p, "product_sk").join(c, "category_sk")
+    f = as_cells(fact).join(p, "product_sk").join(c, "category_sk")
     k = ["date_sk", "category_l1", "category_l2"]
-    agg = f.groupBy(*k).agg(
-        count_of("view").alias("total_views"),
-        count_of("cart").alias("total_carts"),
-        count_of("remove_from_cart").alias("total_removes"),
-        count_of("purchase").alias("total_purchases"),
-        revenue_of().alias("total_revenue"),
-    )
+    agg = f.groupBy(*k).agg(*_type_counts()[1:], _revenue().alias("total_revenue"))
     agg = _beside(agg, k, _distincts(f, k, "user_sk", view="users_viewed", cart="users_carted", purchase="users_purchased"),
                   _distincts(f, k, "product_sk", any="unique_products_in_funnel"))
     agg = agg.join(d, agg.date_sk == d.date_key).select("date_sk", "full_date", *[
@@ -286,43 +328,33 @@ def gold_funnel(fact: DataFrame, products: DataFrame, categories: DataFrame, dat
         _ts(load_ts))
 
 
-def session_rows(fact: DataFrame, gap_s: int = 1800) -> DataFrame:
+def session_rows(fact: DataFrame, gap_s: int = SESSION_GAP_S) -> DataFrame:
     """One row per (user, session, date): timing, counts, outcome flags,
     revenue, distinct products / categories. Sessions crossing midnight
     give one row per date, as the daily mart expects.
 
-    The fact is reduced once, to cells (user, gap-wide bucket, date,
-    product, category) — partial aggregation before the shuffle — and
-    everything else comes from the cells: sessions are numbered from their
-    (user, bucket) bounds (``number_session_buckets``), then rolled up, and
-    products and categories are counted as reduced rows."""
-    sec = F.unix_timestamp("event_time")
-    f = fact.select("user_sk", "event_time", "event_type", "date_sk", "revenue", "product_sk",
-                    "category_sk", sec.alias("_sec"), F.floor(sec / gap_s).alias("_bkt"))
-    purchase = F.col("event_type") == "purchase"
-    cells = f.groupBy("user_sk", "_bkt", "date_sk", "product_sk", "category_sk").agg(
-        F.min("event_time").alias("_start"), F.max("event_time").alias("_end"),
-        F.min("_sec").alias("_smin"), F.max("_sec").alias("_smax"),
-        F.count(F.lit(1)).alias("_n"),
-        count_of("view").alias("_views"), count_of("cart").alias("_carts"),
-        count_of("purchase").alias("_purchases"),
-        F.sum(F.when(purchase, money("revenue")).otherwise(F.lit(0).cast(MONEY_TYPE))).alias("_rev"))
+    Everything comes from the cells (``reduce_cells`` with buckets as wide as
+    the gap; given cells must have been reduced so): sessions are numbered
+    from their (user, bucket) bounds (``number_session_buckets``), then rolled
+    up, and products and categories are counted as reduced rows."""
+    cells = fact if "n" in fact.columns else reduce_cells(fact, gap_s)
+    cells = cells.withColumns({"_smin": F.unix_timestamp("first_time"), "_smax": F.unix_timestamp("last_time")})
     numbers = number_session_buckets(
-        cells.groupBy("user_sk", "_bkt").agg(F.min("_smin").alias("_first"), F.max("_smax").alias("_last")),
-        "user_sk", gap_s, first="_first", last="_last", bkt="_bkt")
+        cells.groupBy("user_sk", "bucket").agg(F.min("_smin").alias("_first"), F.max("_smax").alias("_last")),
+        "user_sk", gap_s, first="_first", last="_last", bkt="bucket")
     keys = ["user_sk", "session_number", "date_sk"]
-    rows = cells.join(numbers, ["user_sk", "_bkt"])
+    rows = cells.join(numbers, ["user_sk", "bucket"])
     sessions = rows.groupBy(*keys).agg(
-        F.min("_start").alias("session_start"),
-        F.max("_end").alias("session_end"),
+        F.min("first_time").alias("session_start"),
+        F.max("last_time").alias("session_end"),
         ((F.max("_smax") - F.min("_smin")) / 60.0).alias("session_duration_minutes"),
-        F.sum("_n").cast("long").alias("total_events_in_session"),
-        F.sum("_views").cast("long").alias("views_in_session"),
-        F.sum("_carts").cast("long").alias("carts_in_session"),
-        F.sum("_purchases").cast("long").alias("purchases_in_session"),
-        F.max(F.when(F.col("_carts") > 0, 1).otherwise(0)).alias("had_cart_action"),
-        F.max(F.when(F.col("_purchases") > 0, 1).otherwise(0)).alias("had_purchase"),
-        F.round(F.sum("_rev"), 2).cast("double").alias("session_revenue"))
+        _total("n").alias("total_events_in_session"),
+        _total("views").alias("views_in_session"),
+        _total("carts").alias("carts_in_session"),
+        _total("purchases").alias("purchases_in_session"),
+        F.max(F.when(F.col("carts") > 0, 1).otherwise(0)).alias("had_cart_action"),
+        F.max(F.when(F.col("purchases") > 0, 1).otherwise(0)).alias("had_purchase"),
+        _revenue().alias("session_revenue"))
     return _beside(sessions, keys, _distincts(rows, keys, "product_sk", any="unique_products_in_session"),
                    _distincts(rows, keys, "category_sk", any="unique_categories_in_session"))
 
@@ -365,20 +397,33 @@ def gold_session(fact: DataFrame, dates: DataFrame, gap_s: int = 1800, load_ts=N
         "high_engagement_sessions", _ts(load_ts))
 
 
+def user_months(fact: DataFrame, user: str = "user_sk", by: tuple = ()) -> DataFrame:
+    """Per user and month of activity (and ``by``): distinct event times of
+    views, carts and purchases, and revenue. Events are reduced to (user,
+    type, time) first, so no event is expanded per measure; a time lies in
+    one day, so counts by day add up to counts by month. Rows that are such
+    counts already are added up."""
+    if "activity_month" in fact.columns:
+        rows = fact
+    else:
+        money_of = F.when(F.col("event_type") == "purchase", money("revenue")).otherwise(F.lit(0).cast(MONEY_TYPE))
+        times = fact.groupBy(user, *by, "event_type", "event_time").agg(F.sum(money_of).alias("revenue"))
+        known = F.col("event_time").isNotNull()
+        rows = times.select(user, *by, F.date_trunc("MONTH", F.col("event_time")).alias("activity_month"), "revenue",
+                            *[F.coalesce((known & (F.col("event_type") == t)).cast("long"), F.lit(0).cast("long")).alias(c) for t, c in TYPES.items()])
+    return rows.groupBy(user, *by, "activity_month").agg(*[_total(c).alias(c) for c in TYPES.values()], F.sum("revenue").alias("revenue"))
+
+
 def gold_cohort(fact: DataFrame, user: str = "user_sk", load_ts=None) -> DataFrame:
     """Monthly acquisition cohorts (month of first event): active users,
     activity, revenue, retention, cumulative revenue and LTV per period.
 
     View / cart / purchase counts are distinct event times per user-month,
-    as the mart defines them. Events are aggregated per (user, month)
-    first; the cohort month is the smallest month of each user, taken by a
-    window over the user's months (one row per active month, so a hot user
-    stays small) — no join of events to a per-user table."""
-    ua = (fact.groupBy(user, F.date_trunc("MONTH", F.col("event_time")).alias("activity_month")).agg(
-              distinct_of("view", "event_time").alias("views"),
-              distinct_of("cart", "event_time").alias("carts"),
-              distinct_of("purchase", "event_time").alias("purchases"),
-              revenue_of().alias("revenue"))
+    as the mart defines them (``user_months``, also from stored rows of it);
+    the cohort month is the smallest month of each user, taken by a window
+    over the user's months (one row per active month, so a hot user stays
+    small) — no join of events to a per-user table."""
+    ua = (user_months(fact, user).withColumn("revenue", F.round("revenue", 2).cast("double"))
           .withColumn("cohort_month", F.min("activity_month").over(Window.partitionBy(user))))
     periods = F.months_between("activity_month", "cohort_month").cast("int")
     # one row per (user, month): row counts are distinct user counts
