@@ -63,16 +63,25 @@ def write_bronze(df: DataFrame, path: str, partition_col: str = "event_date",
        .parquet(path))
 
 
+def rows_of_days(df: DataFrame, days: DataFrame, col: str = "event_date") -> DataFrame:
+    """Rows of ``df`` whose ``col`` is among the values of ``days`` (NULL is
+    a value). The values, one a day partition as the file listing itself has,
+    become a partition filter, so other partitions are not read."""
+    values = [r[0] for r in days.select(col).distinct().collect()]
+    some = F.col(col).isin([v for v in values if v is not None])
+    return df.filter(some | F.col(col).isNull() if None in values else some)
+
+
 def merge_bronze(spark: SparkSession, batch: DataFrame, path: str, key: str = "event_id", partition_col: str = "event_date",
                  order_col: str | None = "event_time", num_files: int | None = None) -> None:
     """Load a batch that may hold only part of a day: rows already loaded
-    for the batch's days stay unless the batch has their ``key``. Only those
-    days' partitions are read and rewritten, and the same batch again
-    changes nothing."""
+    for the batch's days stay unless the batch has their ``key`` (rows without
+    a day are a day of their own). Only those days' partitions are read and
+    rewritten, and the same batch again changes nothing."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     if hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
         days = batch.select(partition_col).distinct()
-        loaded = spark.read.parquet(path).join(F.broadcast(days), partition_col, "left_semi")
+        loaded = rows_of_days(spark.read.parquet(path), days, partition_col)
         batch = loaded.join(batch.select(key), key, "left_anti").unionByName(batch, allowMissingColumns=True)
     write_bronze(batch, path, partition_col, order_col, num_files)
 
@@ -88,6 +97,12 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     swap_in(df.sparkSession, new, path)
 
 
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete a table that this library wrote for its own use."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     w = df.write.mode("append")
     if partition_by:

@@ -18,18 +18,17 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .functions.columns import SEGMENT_ENGAGED_MIN, SEGMENT_POWER_MIN, clean_brand, clean_price
+from .functions.columns import SEGMENT_ENGAGED_MIN, SEGMENT_POWER_MIN
 from .operators import quality as Q
-from .operators.io import merge_bronze, partitioned_layout, write_bronze, write_table
-from .operators.joins import lookup
-from .operators.keys import continue_keys
-from .operators.windows import latest_per_key
-from .plans import marts, scd2, star as S
+from .operators.io import (append_table, merge_bronze, partitioned_layout, remove_table, rows_of_days, swap_in, write_bronze,
+                           write_table)
+from .plans import increment as I, marts, scd2, star as S
 from .session import checkpoint_dir, get_spark
 from .sources.events import bronze_from_tables, read_events_csv, with_lineage
 
 MARTS = ("gold_daily", "gold_user", "gold_product", "gold_category", "gold_brand", "gold_funnel",
          "gold_session", "gold_cohort")
+DIMENSIONS = ("dim_date", "dim_categories", "dim_products", "dim_users", "dim_user_versions")
 
 
 def _p(root: str, name: str) -> str:
@@ -63,22 +62,39 @@ def build_bronze(spark: SparkSession, out: str, csv: str | None = None, tables:
 
 def build_silver(spark: SparkSession, out: str, bronze: DataFrame, power: int = SEGMENT_POWER_MIN,
                  engaged: int = SEGMENT_ENGAGED_MIN, load_ts: Column | None = None) -> dict[str, DataFrame]:
-    """Calendar, categories, products, users, then the fact (partitioned by
-    event date, time-clustered)."""
+    """The state per day, calendar, categories, product versions from the
+    state, users and their segment versions, the fact (partitioned by event
+    date, time-clustered), then the cells that the marts add up."""
     write_table(S.dim_date(spark, bronze), _p(out, "dim_date"))
     write_table(S.dim_categories(bronze, load_ts), _p(out, "dim_categories"))
-    cats = spark.read.parquet(_p(out, "dim_categories"))
-    write_table(S.dim_products(bronze, cats, load_ts), _p(out, "dim_products"))
+    write_bronze(I.product_days(bronze), _p(out, "product_days"), order_col="product_id")
+    write_bronze(I.user_days(bronze), _p(out, "user_days"), order_col="user_id")
+    write_table(scd2.products_from_history(bronze, _read(spark, out, "dim_categories"), load_ts), _p(out, "dim_products"))
     write_table(S.dim_users(bronze, power, engaged, load_ts), _p(out, "dim_users"))
-    dims = {n: spark.read.parquet(_p(out, n)) for n in ("dim_date", "dim_categories", "dim_products", "dim_users")}
+    write_table(scd2.users_from_history(bronze, power, engaged, load_ts), _p(out, "dim_user_versions"))
+    dims = {n: _read(spark, out, n) for n in DIMENSIONS}
     fact = S.fact_events(bronze, dims["dim_date"], dims["dim_users"], dims["dim_products"], load_ts)
     write_table(partitioned_layout(fact, "event_date", "event_time"), _p(out, "fact_events"), ["event_date"])
-    dims["fact_events"] = spark.read.parquet(_p(out, "fact_events"))
-    return dims
+    dims["fact_events"] = _read(spark, out, "fact_events")
+    return dims | write_cells(spark, out, dims["fact_events"])
+
+
+def _read(spark: SparkSession, out: str, name: str) -> DataFrame:
+    return spark.read.parquet(_p(out, name))
+
+
+def write_cells(spark: SparkSession, out: str, fact: DataFrame) -> dict[str, DataFrame]:
+    """The marts' partials of the days in ``fact``, in place of those stored
+    for these days: cells, and the users' counts of distinct event times."""
+    write_bronze(marts.reduce_cells(fact), _p(out, "cells"), order_col="user_sk")
+    write_bronze(marts.user_months(fact, by=("event_date",)), _p(out, "user_activity"), order_col="user_sk")
+    return {n: _read(spark, out, n) for n in ("cells", "user_activity")}
 
 
 def gold_builders(silver: dict[str, DataFrame], load_ts: Column | None = None) -> dict:
-    fact, dates, users = silver["fact_events"], silver["dim_date"], silver["dim_users"]
+    """Builders of the marts, from the stored cells where ``silver`` has
+    them, else from the fact."""
+    fact, dates, users = silver.get("cells", silver["fact_events"]), silver["dim_date"], silver["dim_users"]
     products, cats = silver["dim_products"], silver["dim_categories"]
     return {
         "gold_daily": lambda: marts.gold_daily(fact, dates, users, load_ts),
@@ -88,7 +104,7 @@ def gold_builders(silver: dict[str, DataFrame], load_ts: Column | None = None) -
         "gold_brand": lambda: marts.gold_brand(fact, products, cats, load_ts),
         "gold_funnel": lambda: marts.gold_funnel(fact, products, cats, dates, load_ts),
         "gold_session": lambda: marts.gold_session(fact, dates, load_ts=load_ts),
-        "gold_cohort": lambda: marts.gold_cohort(fact, load_ts=load_ts),
+        "gold_cohort": lambda: marts.gold_cohort(silver.get("user_activity", silver["fact_events"]), load_ts=load_ts),
     }
 
 
@@ -105,38 +121,58 @@ def build_gold(spark: SparkSession, out: str, silver: dict[str, DataFrame], only
 
 def maintain(spark: SparkSession, out: str, batch: DataFrame, power: int = SEGMENT_POWER_MIN, engaged: int = SEGMENT_ENGAGED_MIN,
              only: list[str] | None = None, load_ts: Column | None = None) -> dict[str, DataFrame]:
-    """A later load over an existing lake: the batch (which may hold parts of
-    days) is merged into bronze; calendar and categories are refreshed;
-    products take the batch's latest values as a type 2 snapshot that starts
-    on the batch's last day; new users are keyed after the known ones; the
-    fact of the touched days is rewritten; marts and quality tables follow.
-    Each table is written beside the old one and swapped in."""
-    batch.write.parquet(staged := f"{_p(out, 'batch')}-{uuid.uuid4().hex}")
+    """A later load over a lake of ``build_silver``. The batch may hold any
+    days, whole or in part, late or new, and undated rows; after any order of
+    loads the lake equals a full build but for surrogate keys.
+
+    1. The batch is merged into bronze; the state of its days is recomputed.
+    2. New category paths are keyed after the known ones; versions of the
+       batch's products and users are spliced, its users' totals renewed.
+    3. Facts and cells are rewritten for the batch's days and for those days
+       on which a product of the batch now resolves to another version.
+    4. The marts are added up from the cells.
+
+    The days of step 3 are noted in ``pending_days`` before a dimension is
+    replaced, and the note goes when all is written: a load that broke off
+    is made good by the next one. Tables are written beside the old ones and
+    swapped in, day partitions replaced by dynamic overwrite."""
+    missing = [c for c in ("event_id", "event_time", "event_date", "event_type", "product_id", "category_code", "brand", "price", "user_id", "user_session")
+               if c not in batch.columns]
+    if missing:
+        raise ValueError(f"the batch lacks {missing}")
+    staged, pending = f"{_p(out, 'batch')}-{uuid.uuid4().hex}", _p(out, "pending_days")
+    batch.write.parquet(staged)
     batch = spark.read.parquet(staged)
     merge_bronze(spark, batch, _p(out, "bronze"))
-    bronze = spark.read.parquet(_p(out, "bronze"))
-    write_table(S.dim_date(spark, bronze), _p(out, "dim_date"))
-    write_table(S.dim_categories(bronze, load_ts), _p(out, "dim_categories"))
-    dates, cats = (spark.read.parquet(_p(out, n)) for n in ("dim_date", "dim_categories"))
-    products, users = (spark.read.parquet(_p(out, n)) for n in ("dim_products", "dim_users"))
-    latest = latest_per_key(batch.filter(F.col("product_id").isNotNull()), "product_id", ["event_time", "event_id"],
-                            ["price", "brand", "category_code"])
-    snap = lookup(latest, cats, "category_code", "category_full_path", "category_sk").select(
-        "product_id", clean_price("price").alias("price"), clean_brand("brand").alias("brand"), "category_sk", "category_code")
-    as_of = batch.select(F.max("event_date")).scalar()
-    write_table(scd2.scd2_apply(products, snap, "product_id", scd2.PRODUCT_TRACKED, as_of, carry=["category_code"], load_ts=load_ts),
-                _p(out, "dim_products"))
-    fresh = S.dim_users(bronze, power, engaged, load_ts).drop("user_sk").join(users.select("user_id"), "user_id", "left_anti")
-    keyed = continue_keys(users, fresh, ["user_id"], "user_sk").select(*users.columns)
-    write_table(users.unionByName(keyed), _p(out, "dim_users"))
-    products, users = (spark.read.parquet(_p(out, n)) for n in ("dim_products", "dim_users"))
+    bronze = _read(spark, out, "bronze")
     days = batch.select("event_date").distinct()
-    touched = bronze.join(F.broadcast(days), "event_date", "left_semi")
-    write_bronze(S.fact_events(touched, dates, users, products, load_ts), _p(out, "fact_events"))
-    silver = {"dim_date": dates, "dim_categories": cats, "dim_products": products, "dim_users": users,
-              "fact_events": spark.read.parquet(_p(out, "fact_events"))}
+    touched = rows_of_days(bronze, days)
+    write_bronze(I.product_days(touched), _p(out, "product_days"), order_col="product_id")
+    write_bronze(I.user_days(touched), _p(out, "user_days"), order_col="user_id")
+    old = {n: _read(spark, out, n) for n in DIMENSIONS}
+    by_product, by_user = _read(spark, out, "product_days"), _read(spark, out, "user_days")
+
+    write_table(S.dim_date(spark, bronze), _p(out, "dim_date"))
+    write_table(I.add_categories(old["dim_categories"], batch, load_ts), _p(out, "dim_categories"))
+    cats = _read(spark, out, "dim_categories")
+    products = _p(out, f"dim_products.new-{uuid.uuid4().hex}")
+    I.splice_products(old["dim_products"], by_product, batch, cats, load_ts).write.parquet(products)
+    moved = I.changed_days(old["dim_products"], spark.read.parquet(products), by_product, batch)
+    append_table(days.unionByName(moved).distinct(), pending)
+    swap_in(spark, products, _p(out, "dim_products"))
+    write_table(I.update_users(old["dim_users"], by_user, batch, power, engaged, load_ts), _p(out, "dim_users"))
+    write_table(I.splice_users(old["dim_user_versions"], by_user, batch, power, engaged, load_ts), _p(out, "dim_user_versions"))
+
+    silver = {n: _read(spark, out, n) for n in DIMENSIONS}
+    again = spark.read.parquet(pending).distinct()
+    write_bronze(S.fact_events(rows_of_days(bronze, again), silver["dim_date"], silver["dim_users"], silver["dim_products"], load_ts),
+                 _p(out, "fact_events"))
+    silver["fact_events"] = _read(spark, out, "fact_events")
+    silver |= write_cells(spark, out, rows_of_days(silver["fact_events"], again))
     result = build_gold(spark, out, silver, only, load_ts)
     result |= build_quality(spark, out, silver)
+    for done in (pending, staged):
+        remove_table(spark, done)
     return result
 
 
@@ -145,6 +181,7 @@ def build_quality(spark: SparkSession, out: str, silver: dict[str, DataFrame]) -
     row counts."""
     tables = {"quality_keys": Q.fk_resolution(silver["fact_events"], ["date_sk", "user_sk", "product_sk", "category_sk"]),
               "quality_products": Q.scd2_invariants(silver["dim_products"], "product_id"),
+              "quality_users": Q.scd2_invariants(silver["dim_user_versions"], "user_id"),
               "quality_rows": Q.row_counts(silver)}
     for name, df in tables.items():
         write_table(df, _p(out, name))

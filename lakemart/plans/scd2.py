@@ -172,7 +172,7 @@ def products_from_history(bronze: DataFrame, categories: DataFrame, load_ts=None
     The per-(product, day) reduction is a ``max_by`` aggregate (partial
     aggregation before the shuffle), so the windows only see one row per
     product per day however hot a product is."""
-    ev = bronze.filter(F.col("product_id").isNotNull())
+    ev = bronze.filter(F.col("product_id").isNotNull() & F.col("event_date").isNotNull())
     daily = (ev.groupBy("product_id", F.col("event_date").alias("day"))
              .agg(F.max_by(F.struct("price", "brand", "category_code"),
                            F.struct("event_time", "event_id")).alias("_v"))
@@ -193,7 +193,7 @@ def users_from_history(bronze: DataFrame, power: int = SEGMENT_POWER_MIN,
                        engaged: int = SEGMENT_ENGAGED_MIN, load_ts=None) -> DataFrame:
     """User segment versions: the segment implied by the running event count
     at the end of each active day; a new version on each day it changes."""
-    per_day = (bronze.filter(F.col("user_id").isNotNull())
+    per_day = (bronze.filter(F.col("user_id").isNotNull() & F.col("event_date").isNotNull())
                .groupBy("user_id", F.col("event_date").alias("day"))
                .agg(F.count(F.lit(1)).alias("n")))
     w = Window.partitionBy("user_id").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)

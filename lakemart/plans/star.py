@@ -32,22 +32,26 @@ def dim_date(spark: SparkSession, bronze: DataFrame, buffer_days: int = CALENDAR
     return days.select(*calendar_columns(F.col("d")))
 
 
-def dim_categories(bronze: DataFrame, load_ts=None) -> DataFrame:
+def category_rows(bronze: DataFrame) -> DataFrame:
     """Distinct category paths split into three levels; NULL path ->
-    'unknown' (depth 0); key = position in path order."""
+    'unknown' (depth 0)."""
     raw = bronze.select("category_code").distinct()
     parts = F.split(F.col("category_code"), r"\.")
     l1, l2, l3 = F.get(parts, 0), F.get(parts, 1), F.get(parts, 2)
     depth = (F.when(l3.isNotNull(), 3).when(l2.isNotNull(), 2)
              .when(l1.isNotNull(), 1).otherwise(0))
-    cats = raw.select(
+    return raw.select(
         F.coalesce(l1, F.lit("unknown")).alias("category_l1"),
         l2.alias("category_l2"),
         l3.alias("category_l3"),
         F.coalesce(F.col("category_code"), F.lit("unknown")).alias("category_full_path"),
         depth.alias("category_depth"),
     )
-    keyed = dense_key(cats, ["category_full_path"], "category_sk")
+
+
+def dim_categories(bronze: DataFrame, load_ts=None) -> DataFrame:
+    """The category paths; key = position in path order."""
+    keyed = dense_key(category_rows(bronze), ["category_full_path"], "category_sk")
     return keyed.select("category_sk", "category_l1", "category_l2", "category_l3",
                         "category_full_path", "category_depth",
                         (load_ts if load_ts is not None else F.current_timestamp()).alias("created_at"))
@@ -82,8 +86,12 @@ def user_activity(bronze: DataFrame) -> DataFrame:
     """Per-user activity counts. Two-level aggregate: (user, date, type)
     counts first (partial aggregation collapses hot users before the
     shuffle), then the per-user distincts run on that small frame."""
-    lvl1 = (bronze.filter(F.col("user_id").isNotNull())
-            .groupBy("user_id", "event_date", "event_type").agg(F.count(F.lit(1)).alias("n")))
+    return _activity(bronze.filter(F.col("user_id").isNotNull())
+                     .groupBy("user_id", "event_date", "event_type").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _activity(lvl1: DataFrame) -> DataFrame:
+    """Per user from (user, date, type) counts."""
 
     def n_of(t):
         return F.sum(F.when(F.col("event_type") == t, F.col("n")).otherwise(F.lit(0))).cast("long")
@@ -104,9 +112,22 @@ def dim_users(bronze: DataFrame, power: int = SEGMENT_POWER_MIN, engaged: int =
               load_ts=None) -> DataFrame:
     """Initial user dimension: activity metrics and segment, version 1 valid
     from the first seen date."""
-    act = user_activity(bronze)
+    versioned = _user_columns(user_activity(bronze), power, engaged)
+    keyed = dense_key(versioned, ["user_id"], "user_sk")
+    ts = load_ts if load_ts is not None else F.current_timestamp()
+    return keyed.select("user_sk", *[c for c in versioned.columns], ts.alias("created_at"),
+                        ts.alias("updated_at"))
+
+
+def users_from_days(days: DataFrame, power: int = SEGMENT_POWER_MIN, engaged: int = SEGMENT_ENGAGED_MIN) -> DataFrame:
+    """``dim_users`` without key and audit times, from (user, date, type)
+    counts."""
+    return _user_columns(_activity(days), power, engaged)
+
+
+def _user_columns(act: DataFrame, power: int, engaged: int) -> DataFrame:
     days_active = F.datediff("last_seen_date", "first_seen_date") + 1
-    versioned = act.select(
+    return act.select(
         "user_id",
         segment("total_events", power, engaged).alias("user_segment"),
         "total_events", "event_types_count", "first_seen_date", "last_seen_date", "active_days",
@@ -117,10 +138,6 @@ def dim_users(bronze: DataFrame, power: int = SEGMENT_POWER_MIN, engaged: int =
         F.lit(True).alias("is_current_version"),
         F.lit(1).alias("version_number"),
     )
-    keyed = dense_key(versioned, ["user_id"], "user_sk")
-    ts = load_ts if load_ts is not None else F.current_timestamp()
-    return keyed.select("user_sk", *[c for c in versioned.columns], ts.alias("created_at"),
-                        ts.alias("updated_at"))
 
 
 def fact_events(bronze: DataFrame, dates: DataFrame, users: DataFrame, products: DataFrame,

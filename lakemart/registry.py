@@ -28,4 +28,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from .queries import marts_q, star_q, reports_q, quality_q, scd2_q, stream_q, features_q  # noqa: F401
+    from .queries import marts_q, star_q, reports_q, quality_q, scd2_q, stream_q, features_q, later_q  # noqa: F401
