@@ -46,11 +46,23 @@ WITH d AS (SELECT rid, doc_id, coalesce(text, '') AS text, regexp_extract_all(co
 tok AS (SELECT rid, trusted, generate_subscripts(w, 1) AS i, unnest(w) AS word FROM d),
 h AS (SELECT word, {crc32('word')} AS h FROM (SELECT DISTINCT word FROM tok)),
 hw AS (SELECT rid, trusted, i, h FROM tok JOIN h USING (word)),
-g AS (SELECT rid, trusted, h % {quality.BUCKETS} AS bucket FROM hw
-      UNION ALL SELECT a.rid, a.trusted, (a.h * {quality.PAIR} + b.h) % {quality.BUCKETS} FROM hw a JOIN hw b ON a.rid = b.rid AND b.i = a.i + 1),
-c AS (SELECT bucket, count(*) AS r, count(*) FILTER (trusted) AS t FROM g GROUP BY bucket),
-s AS (SELECT sum(r)::DOUBLE AS rs, sum(t)::DOUBLE AS ts FROM c),
-lr AS (SELECT bucket, round((ln(t + {quality.SMOOTHING}::DOUBLE) - ln(r::DOUBLE * ts / rs + {quality.SMOOTHING}::DOUBLE)) * 1e6)::BIGINT AS weight FROM c, s),
+hl AS (SELECT rid, list(h ORDER BY i) AS h FROM hw GROUP BY rid),
+pr AS (SELECT d.rid, d.doc_id, trusted, md5(text) AS m, coalesce(h, []::BIGINT[]) AS h,
+              [(h[j] * {quality.PAIR} + h[j + 1]) % {quality.PRIME} FOR j IN range(1, len(h))] AS p FROM d LEFT JOIN hl USING (rid)),
+q AS (SELECT rid, doc_id, trusted, m, CASE WHEN len(h) >= 4
+        THEN [((p[j] * {quality.PAIR} + p[j + 2]) % {quality.PRIME} * {quality.MIX} % {quality.PRIME}) * 2147483648 + (p[j] * {quality.SECOND} + p[j + 2]) % {quality.PRIME} FOR j IN range(1, len(h) - 2)]
+        ELSE [-1 - list_reduce(list_prepend(0::BIGINT, h), lambda a, x: (a * {quality.PAIR} + x) % {quality.PRIME})] END AS q FROM pr),
+cl AS (SELECT *, list_min(q) AS least, list_max(q) AS most FROM q),
+raw1 AS (SELECT * FROM cl QUALIFY row_number() OVER (PARTITION BY least ORDER BY doc_id NULLS FIRST, m) = 1),
+tgt1 AS (SELECT * FROM cl WHERE trusted QUALIFY row_number() OVER (PARTITION BY least ORDER BY doc_id NULLS FIRST, m) = 1),
+reps AS (SELECT rid, row_number() OVER (PARTITION BY most ORDER BY doc_id NULLS FIRST, m) = 1 AS raw, FALSE AS target FROM raw1
+         UNION ALL SELECT rid, FALSE, row_number() OVER (PARTITION BY most ORDER BY doc_id NULLS FIRST, m) = 1 FROM tgt1),
+one AS (SELECT rid, bool_or(raw) AS raw, bool_or(target) AS target FROM reps GROUP BY rid),
+g AS (SELECT rid, h % {quality.BUCKETS} AS bucket FROM hw
+      UNION ALL SELECT a.rid, (a.h * {quality.PAIR} + b.h) % {quality.BUCKETS} FROM hw a JOIN hw b ON a.rid = b.rid AND b.i = a.i + 1),
+c AS (SELECT bucket, count(*) FILTER (raw) AS r, count(*) FILTER (target) AS t FROM g JOIN one USING (rid) GROUP BY bucket),
+s AS (SELECT greatest(sum(r), 1)::DOUBLE AS rs, sum(t)::DOUBLE AS ts, greatest(sum(t)::DOUBLE * {quality.SMOOTHING}::DOUBLE / {float(quality.BUCKETS)}::DOUBLE, 1e-9::DOUBLE) AS ps FROM c),
+lr AS (SELECT bucket, round((ln(t + ps) - ln(r::DOUBLE * ts / rs + ps)) * 1e6)::BIGINT AS weight FROM c, s),
 score AS (SELECT rid, sum(weight)::BIGINT AS total FROM g JOIN lr USING (bucket) GROUP BY rid),
 win AS (SELECT rid, i, array_to_string(list_slice(w, i, i + 7), ' ') AS k FROM d, unnest(range(1, len(w) - 6)) t(i)),
 twice AS (SELECT rid, k FROM win GROUP BY rid, k HAVING count(*) > 1),
@@ -106,9 +118,12 @@ l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY nth
 fr AS (SELECT min(nth) AS nth, min_by(level, nth) AS level FROM l WHERE level * weight < cap),
 t AS (SELECT source, source_size, CASE WHEN l.nth >= fr.nth THEN fr.level * weight ELSE cap::DOUBLE END AS target FROM l, fr),
 r AS (SELECT d.doc_id, size, t.source_size, target, CASE WHEN t.source_size > 0 THEN target / t.source_size ELSE 0 END AS rate,
-             ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, '')))), 1, 13))::UBIGINT / 4503599627370496.0::DOUBLE AS u
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM r
+             count(*) OVER same AS n, row_number() OVER same AS j,
+             ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))), 1, 13))::UBIGINT / 4503599627370496.0::DOUBLE AS u
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source WINDOW same AS (PARTITION BY doc_id, md5(coalesce(text, '')), d.source)),
+e AS (SELECT *, n * (rate - floor(rate)) AS more FROM r)
+SELECT doc_id, size, source_size, target,
+       (size * (floor(rate) + CASE WHEN j <= floor(more) + CASE WHEN u < more - floor(more) THEN 1 ELSE 0 END THEN 1 ELSE 0 END))::BIGINT AS taken FROM e
 """
 
 _TRIM = "trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
