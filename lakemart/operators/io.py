@@ -1,5 +1,6 @@
 """Sinks and table-layout operators: partitioned / full-refresh / append
-writes, mart refresh, compaction, clustered writes, column comments, the
+writes, mart refresh, compaction (to a file count, or of small files in
+place), range- and Z-order-clustered writes, column comments, the
 partition report, snapshot comparison and history sampling."""
 
 from __future__ import annotations
@@ -139,6 +140,124 @@ def write_clustered(df: DataFrame, path: str, cols: list[str], num_files: int |
     write_table(ordered, path, partition_by)
 
 
+def _ordinal(df: DataFrame, col: str) -> Column:
+    """A number in the order of the column: strings by their first 7 bytes."""
+    kind = df.schema[col].dataType.typeName()
+    if kind == "date":
+        return F.unix_date(col).cast("double")
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    if kind == "string":
+        head = F.rpad(F.hex(F.substring(F.encode(F.col(col), "UTF-8"), 1, 7)), 14, "0")
+        return F.conv(head, 16, 10).cast("double")
+    return F.col(col).cast("double")
+
+
+def with_z_value(df: DataFrame, cols: list[str], bits: int = 5, name: str = "_z") -> DataFrame:
+    """``df`` with the bits of the columns' range ranks, interleaved. A rank
+    is the number of the 2^bits - 1 approximate quantiles below the value, so skew
+    in a column's values does not crowd the curve; NULL ranks first."""
+    cuts = [i / (1 << bits) for i in range(1, 1 << bits)]
+    bounds = df.agg(F.struct(*[F.percentile_approx(_ordinal(df, c), cuts).alias(f"q{i}") for i, c in enumerate(cols)]).alias("_b")).scalar()
+    def below(x: Column):
+        return lambda q: q < x
+    z = F.lit(0).cast("long")
+    for j, c in enumerate(cols):
+        rank = F.coalesce(F.size(F.filter(F.col(f"_zb.q{j}"), below(_ordinal(df, c)))), F.lit(0)).cast("long")
+        rank = F.greatest(rank, F.lit(0).cast("long"))
+        for i in range(bits):
+            z = z + F.shiftleft(F.shiftright(rank, i).bitwiseAND(F.lit(1).cast("long")), i * len(cols) + j)
+    return df.withColumn("_zb", bounds).withColumn(name, z).drop("_zb")
+
+
+def write_zordered(df: DataFrame, path: str, cols: list[str], num_files: int | None = None, bits: int = 5,
+                   partition_by: list[str] | None = None) -> None:
+    """Cluster rows on several columns at once: files are ranges of the
+    Z-order curve over the columns' ranks, so a filter on any of ``cols``
+    skips files by their min / max statistics (``write_clustered`` does so
+    for its first column only)."""
+    n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    z = with_z_value(df, cols, bits)
+    laid = z.repartitionByRange(n, "_z", _spread(df)).sortWithinPartitions("_z").drop("_z")
+    write_table(laid, path, partition_by)
+
+
+def _listed(spark: SparkSession, path: str):
+    """File system and (folder, file, bytes) of the data files below."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, it = [], fs.listFiles(root, True)
+    while it.hasNext():
+        f = it.next()
+        name = f.getPath().getName()
+        if not name.startswith(("_", ".")):
+            found.append((f.getPath().getParent().toString(), f.getPath().toString(), f.getLen()))
+    return fs, found
+
+
+def pack(sizes: list[tuple[str, int]], target: int) -> list[list[str]]:
+    """First-fit decreasing: files into bins of at most ``target`` bytes
+    (larger files alone)."""
+    bins: list[list] = []
+    for name, size in sorted(sizes, key=lambda x: (-x[1], x[0])):
+        home = next((b for b in bins if b[0] + size <= target), None)
+        if home is None:
+            bins.append([size, [name]])
+        else:
+            home[0] += size
+            home[1].append(name)
+    return [b[1] for b in bins]
+
+
+def compact_small(spark: SparkSession, path: str, target_bytes: int = 128 << 20, small: float = 0.75) -> dict:
+    """Merge small files (under ``small`` of ``target_bytes``) of a Parquet
+    table in place. The listing alone decides: per folder the small files
+    are packed into bins of ``target_bytes``; only bins of two files or more
+    are read and rewritten, all in one job, one task and one file a bin.
+    Other files, and folders without small files, stay as they are.
+
+    A journal beside the table names new and old files before the first is
+    moved, so an interrupted swap is finished by the next call; in between
+    rows may be seen twice (table formats have commits for that)."""
+    journal = f"{path.rstrip('/')}.compaction"
+    finish_compaction(spark, path)
+    fs, files = _listed(spark, path)
+    by: dict[str, list[tuple[str, int]]] = {}
+    for folder, name, size in files:
+        if size < small * target_bytes:
+            by.setdefault(folder, []).append((name, size))
+    bins = [(folder, b) for folder, own in sorted(by.items()) for b in pack(own, target_bytes) if len(b) > 1]
+    if not bins:
+        return {"bins": 0, "files": len(files)}
+    staged = f"{journal}-{uuid.uuid4().hex}"
+    where = spark.createDataFrame([(name, i) for i, (_, b) in enumerate(bins) for name in b], "_file string, _bin int")
+    rows = spark.read.parquet(*[name for _, b in bins for name in b]).withColumn("_file", F.col("_metadata.file_path"))
+    # one row a file: bounded by the listing
+    rows.join(F.broadcast(where), "_file").drop("_file").repartition(len(bins), "_bin").write.partitionBy("_bin").parquet(staged)
+    moves = [(new, bins[int(folder.rsplit("=", 1)[1])][0]) for folder, new, _ in _listed(spark, staged)[1]]
+    lines = [("add", new, f"{folder}/part-compact-{uuid.uuid4().hex}.parquet") for new, folder in moves]
+    lines += [("drop", name, "") for _, b in bins for name in b] + [("drop", staged, "")]
+    spark.createDataFrame([(i, *x) for i, x in enumerate(lines)], "i int, op string, src string, dst string").coalesce(1).write.parquet(journal)
+    finish_compaction(spark, path)
+    return {"bins": len(bins), "files": len(_listed(spark, path)[1])}
+
+
+def finish_compaction(spark: SparkSession, path: str) -> None:
+    """Carry out a journal that is there: move new files in, then drop the
+    old ones. Steps already done are skipped."""
+    hadoop, journal = spark._jvm.org.apache.hadoop.fs.Path, f"{path.rstrip('/')}.compaction"
+    fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop(f"{journal}/_SUCCESS")):
+        remove_table(spark, journal)
+        return
+    for r in spark.read.parquet(journal).orderBy("i").collect():
+        if r.op == "add" and fs.exists(hadoop(r.src)):
+            fs.rename(hadoop(r.src), hadoop(r.dst))
+        elif r.op == "drop":
+            fs.delete(hadoop(r.src), True)
+    remove_table(spark, journal)
+
+
 def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
     """Attach column comments as column metadata (kept by Parquet writes)."""
     out = df
