@@ -23,7 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from lakemart.operators.io import partitioned_layout, write_bronze, write_table  # noqa: E402
 from lakemart.oracle import ENGAGED, POWER  # noqa: E402
-from lakemart.pipeline import gold_builders  # noqa: E402
+from lakemart.pipeline import gold_builders, write_cells  # noqa: E402
 from lakemart.plans import reports, scd2, star as S  # noqa: E402
 from lakemart.session import get_spark  # noqa: E402
 from lakemart.sources.events import bronze_from_tables  # noqa: E402
@@ -67,9 +67,11 @@ def run_pipeline(spark, sf_dir: str, out: str, cpus: int, times: dict) -> dict:
         path("fact"), ["event_date"]))
     fact = spark.read.parquet(path("fact"))
 
-    # gold marts (the pipeline job's builders)
+    # gold marts (the pipeline job's builders): the fact is reduced to cells
+    # once, every mart is added up from them
+    cells = timed("gold_cells", lambda: write_cells(spark, out, fact))
     builders = gold_builders({"fact_events": fact, "dim_date": dates, "dim_users": users,
-                              "dim_products": products, "dim_categories": cats}, load_ts)
+                              "dim_products": products, "dim_categories": cats, **cells}, load_ts)
     for name, build in builders.items():
         timed(name, lambda b=build, n=name: write_table(b(), path(n)))
 
