@@ -65,6 +65,40 @@ def ntile_global(df: DataFrame, order, n: int, name: str = "ntile") -> DataFrame
     return indexed.withColumn(name, tile.cast("int")).drop(tmp)
 
 
+def ntiles_global(df: DataFrame, tiles: dict[str, list[str]], n: int) -> DataFrame:
+    """Exact ``NTILE(n) OVER (ORDER BY cols)`` for several orders at once
+    (name -> ascending columns, the last one unique), with one shuffle and
+    one checkpoint in all.
+
+    Every row is laid down once per order (other columns only once); one
+    index over (order, its columns) ranks all of them. The rows at which a
+    tile begins, at most n - 1 an order, are read back as scalar subqueries,
+    and each row counts the cuts at or below it: no index is joined back."""
+    names = list(tiles)
+    numbered = F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("_nt_m")
+    used = {c for cols in tiles.values() for c in cols}
+    laid = df.select("*", numbered)
+    laid = laid.select(*[F.col(c) if c in used else F.when(F.col("_nt_m") == 0, F.col(c)).alias(c) for c in df.columns], "_nt_m")
+    order = [F.col("_nt_m"), *[F.when(F.col("_nt_m") == i, F.col(c)) for i, name in enumerate(names) for c in tiles[name]]]
+    indexed = row_index(laid, order, "_nt_i")
+    total = indexed.select(F.expr(f"max(_nt_i) div {len(names)}")).scalar()
+    rank, q = F.col("_nt_i") - F.col("_nt_m") * F.col("_nt_n"), F.expr(f"_nt_n div {n}")
+    first = F.exists(F.sequence(F.lit(1), F.lit(n - 1)) if n > 1 else F.array().cast("array<int>"),
+                     lambda t: t * q + F.least(t, F.col("_nt_n") % n) + 1 == rank)
+    cuts = indexed.withColumn("_nt_n", total).filter(first)
+
+    def at(name: str) -> Column:
+        return F.struct(*[F.col(c).alias(f"k{j}") for j, c in enumerate(tiles[name])])
+
+    below = [cuts.select(F.collect_list(F.when(F.col("_nt_m") == i, at(name)))).scalar() for i, name in enumerate(names)]
+    rows = indexed.filter("_nt_m = 0").select(*df.columns, *[b.alias(f"_nt_c{i}") for i, b in enumerate(below)])
+
+    def tile(i: int, name: str) -> Column:
+        return (F.size(F.filter(f"_nt_c{i}", lambda c: c <= at(name))) + 1).cast("int").alias(name)
+
+    return rows.select(*df.columns, *[tile(i, name) for i, name in enumerate(names)])
+
+
 def running_total(df: DataFrame, order, amount: str, name: str, num_partitions: int | None = None) -> DataFrame:
     """``SUM(amount) OVER (ORDER BY order)`` (distinct order values) without
     a single-partition window: range partitions are summed, their offsets
@@ -81,6 +115,25 @@ def running_total(df: DataFrame, order, amount: str, name: str, num_partitions:
             .withColumn(name, (F.col(name) + F.col("_rt_off")).cast("long")).drop("_rt_pid", "_rt_off"))
 
 
+def medians_in(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
+    """(group, name): the exact median of the non-null values of each group
+    (mean of the two middle ones), as ``percentile(value, 0.5)`` gives it,
+    without a buffer of a group's values: values are counted per (group,
+    value), running counts over all groups place them, and the two middle
+    values are picked by position."""
+    counts = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_md_n"))
+    placed = running_total(counts, [F.col(group), F.col(value)], "_md_n", "_md_c")
+    bounds = placed.groupBy(group).agg(F.min(F.col("_md_c") - F.col("_md_n")).alias("_md_0"), F.max("_md_c").alias("_md_1")).select(
+        F.col(group).alias("_md_g"), "_md_0", (F.col("_md_1") - F.col("_md_0")).alias("_md_all"))
+    at = placed.join(bounds, F.col(group).eqNullSafe(F.col("_md_g"))).withColumn("_md_c", F.col("_md_c") - F.col("_md_0"))
+
+    def middle(rank: str) -> Column:
+        return F.min(F.when(F.col("_md_c") > F.expr(rank), F.col(value)))
+
+    both = at.groupBy(group).agg(middle("(_md_all - 1) div 2").alias("_md_l"), middle("_md_all div 2").alias("_md_h"))
+    return both.select(group, (0.5 * F.col("_md_l") + 0.5 * F.col("_md_h")).alias(name))
+
+
 def dense_rank_in(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
     """``DENSE_RANK() OVER (PARTITION BY group ORDER BY value DESC)`` without
     sorting a group in one task: the distinct (group, value) pairs are

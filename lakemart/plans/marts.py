@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import MONEY_TYPE, TOTAL_TYPE, money, ratio_avg, round_half_up, safe_rate, total_avg, total_sum
 from ..operators.joins import UNKNOWN_SK
-from ..operators.windows import dense_rank_in, number_session_buckets
+from ..operators.windows import dense_rank_in, medians_in, number_session_buckets
 from ..session import checkpoint_dir
 
 DATE_ATTRS = ["date_key", "full_date", "year", "quarter", "month", "month_name",
@@ -362,7 +362,8 @@ def session_rows(fact: DataFrame, gap_s: int = SESSION_GAP_S) -> DataFrame:
 def gold_session(fact: DataFrame, dates: DataFrame, gap_s: int = 1800, load_ts=None) -> DataFrame:
     """Per day: sessions, users, duration avg / exact median / max, events,
     outcomes, revenue and engagement buckets."""
-    sa = session_rows(fact, gap_s)
+    checkpoint_dir(fact.sparkSession)
+    sa = session_rows(fact, gap_s).checkpoint(eager=True)  # read twice: daily sums and medians
     d = F.broadcast(dates.select("date_key", "full_date"))
     j = sa.join(d, sa.date_sk == F.col("date_key"))
     n = F.col("total_events_in_session")
@@ -370,7 +371,6 @@ def gold_session(fact: DataFrame, dates: DataFrame, gap_s: int = 1800, load_ts=N
         F.count(F.lit(1)).alias("total_sessions"),
         F.count_distinct("user_sk").alias("unique_users_with_sessions"),
         round_half_up(F.avg("session_duration_minutes"), 2).alias("avg_session_duration_minutes"),
-        round_half_up(F.percentile("session_duration_minutes", 0.5), 2).alias("median_session_duration_minutes"),
         F.max("session_duration_minutes").alias("max_session_duration_minutes"),
         round_half_up(F.avg(n), 2).alias("avg_events_per_session"),
         round_half_up(F.avg("views_in_session"), 2).alias("avg_views_per_session"),
@@ -385,6 +385,9 @@ def gold_session(fact: DataFrame, dates: DataFrame, gap_s: int = 1800, load_ts=N
         F.sum(F.when(n.between(6, 15), 1).otherwise(0)).cast("long").alias("medium_engagement_sessions"),
         F.sum(F.when(n > 15, 1).otherwise(0)).cast("long").alias("high_engagement_sessions"),
     )
+    medians = medians_in(sa, "date_sk", "session_duration_minutes", "_median").withColumnRenamed("date_sk", "_day")
+    agg = agg.join(medians, F.col("date_sk") == F.col("_day"), "left").withColumn(
+        "median_session_duration_minutes", round_half_up("_median", 2))
     return agg.select(
         "date_sk", "full_date", "total_sessions", "unique_users_with_sessions",
         "avg_session_duration_minutes", "median_session_duration_minutes",

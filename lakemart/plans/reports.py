@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import (count_of, ltv_tier, money, money_avg, money_sum, ratio_avg, round_half_up as rhu, total_avg, total_sum,
                                  safe_rate)
-from ..operators.windows import ntile_global, running_total, top_n
+from ..operators.windows import ntiles_global, running_total, top_n
 
 RAW_COLUMNS = ["event_time", "event_type", "product_id", "category_id", "category_code", "brand",
                "price", "user_id", "user_session"]
@@ -249,14 +249,13 @@ def rfm_segments(user_mart: DataFrame, min_score: int = 4, n: int = 10) -> DataF
     """Quintile R/F/M scores of purchasers (R reversed), keep users scoring
     at least ``min_score`` on all three, group by the score string.
 
-    NTILE over the whole user base is computed from an exact global row
-    index (no single-partition window); user_id breaks score ties."""
+    All three NTILEs over the whole user base come from one global index
+    (no single-partition window); user_id breaks score ties."""
     buyers = user_mart.filter(F.col("total_purchases") > 0).select(
         "user_id", "recency_days", "frequency_purchases", "lifetime_revenue")
-    r = ntile_global(buyers, [F.col("recency_days"), F.col("user_id")], 5, "r_tile")
-    f = ntile_global(r, [F.col("frequency_purchases"), F.col("user_id")], 5, "f_score")
-    m = ntile_global(f, [F.col("lifetime_revenue"), F.col("user_id")], 5, "m_score")
-    scored = m.withColumn("r_score", 6 - F.col("r_tile"))
+    tiles = ntiles_global(buyers, {"r_tile": ["recency_days", "user_id"], "f_score": ["frequency_purchases", "user_id"],
+                                   "m_score": ["lifetime_revenue", "user_id"]}, 5)
+    scored = tiles.withColumn("r_score", 6 - F.col("r_tile"))
     top = scored.filter((F.col("r_score") >= min_score) & (F.col("f_score") >= min_score)
                         & (F.col("m_score") >= min_score))
     seg = F.concat(F.col("r_score").cast("string"), F.col("f_score").cast("string"),

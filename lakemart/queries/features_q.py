@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import oracle
 from ..operators.windows import sessionize
-from ..plans import features as X
+from ..plans import features as X, session_state as SS, snapshots
 from ..registry import register
 from .common import mavg, msum, rate, rnd, star
 from .marts_q import session_ctes
@@ -207,6 +207,61 @@ def q_incremental_sessions_late(spark, sf):
     return X.incremental_sessions(sessionize(f.filter(~late), "user_sk", "event_time", 1800), f.filter(late))
 
 
+@register("incremental_sessions_state", oracle.with_star("""
+SELECT user_sk, event_id, event_time, CAST(a.sn AS BIGINT) AS session_number
+FROM lall a LEFT JOIN lold o USING (event_id) WHERE late OR a.sn <> o.sn""", LATE_CTES))
+def q_incremental_sessions_state(spark, sf):
+    """The same late purchases, numbered against the table of sessions; the
+    history is read only for the rows whose number changes."""
+    f = star(spark, sf).fact.select("user_sk", "event_id", "event_time", "event_date", "event_type")
+    late = F.col("event_type") == "purchase"
+    history, state = SS.start_state(f.filter(~late))
+    load = SS.load_sessions(state, f.filter(late))
+    moved = SS.renumber(history, load.moves)
+    return load.events.unionByName(moved).select("user_sk", "event_id", "event_time", "session_number")
+
+
+def _ago(lo: int, hi: int) -> str:
+    return f"f.age BETWEEN {lo} AND {hi - 1}"
+
+
+def _paid(lo: int, hi: int) -> str:
+    return msum(f"CASE WHEN {_ago(lo, hi)} AND f.event_type = 'purchase' THEN f.revenue ELSE 0 END")
+
+
+@register("user_daily_features", oracle.with_star(f"""
+SELECT a.user_sk, a.feature_date, recency_days, events_last_7d, events_last_14d, events_last_30d, sessions_last_7d, sessions_last_30d,
+  revenue_last_7d, revenue_last_30d, purchases_last_30d, avg_order_value_30d, h.v AS favorite_shopping_hour, w.v AS preferred_day_of_week,
+  weekend * 2 > events AS is_weekend_shopper,
+  {rate('events_last_30d', 'sessions_last_30d', '1.0')} AS avg_events_per_session_30d,
+  {rate('purchases_last_30d', 'sessions_last_30d', '1.0')} AS conversion_rate_30d,
+  {rate('events_last_7d', 'events_prior', '1.0')} AS trend_events_7d_vs_prior_7d,
+  {rate('revenue_last_30d', 'revenue_prior', '1.0')} AS trend_revenue_30d_vs_prior_30d
+FROM (
+  SELECT user_sk, feature_date, CAST(MIN(age) AS INTEGER) AS recency_days, COUNT(*) AS events,
+    COUNT(CASE WHEN isodow(f.event_time) IN (6, 7) THEN 1 END) AS weekend,
+    COUNT(CASE WHEN {_ago(0, 7)} THEN 1 END) AS events_last_7d, COUNT(CASE WHEN {_ago(0, 14)} THEN 1 END) AS events_last_14d,
+    COUNT(CASE WHEN {_ago(0, 30)} THEN 1 END) AS events_last_30d, COUNT(CASE WHEN {_ago(7, 14)} THEN 1 END) AS events_prior,
+    COUNT(DISTINCT CASE WHEN {_ago(0, 7)} THEN user_session END) AS sessions_last_7d,
+    COUNT(DISTINCT CASE WHEN {_ago(0, 30)} THEN user_session END) AS sessions_last_30d,
+    {_paid(0, 7)} AS revenue_last_7d, {_paid(0, 30)} AS revenue_last_30d, {_paid(30, 60)} AS revenue_prior,
+    COUNT(CASE WHEN {_ago(0, 30)} AND f.event_type = 'purchase' THEN 1 END) AS purchases_last_30d,
+    {mavg(f"CASE WHEN {_ago(0, 30)} AND f.event_type = 'purchase' THEN f.revenue END")} AS avg_order_value_30d
+  FROM seen f GROUP BY 1, 2) a
+JOIN (SELECT user_sk, feature_date, v FROM (SELECT user_sk, feature_date, CAST(hour(event_time) AS INTEGER) AS v,
+        row_number() OVER (PARTITION BY user_sk, feature_date ORDER BY COUNT(*) DESC, hour(event_time)) AS r FROM seen GROUP BY 1, 2, hour(event_time)) WHERE r = 1) h
+  ON a.user_sk = h.user_sk AND a.feature_date = h.feature_date
+JOIN (SELECT user_sk, feature_date, v FROM (SELECT user_sk, feature_date, strftime(event_time, '%A') AS v,
+        row_number() OVER (PARTITION BY user_sk, feature_date ORDER BY COUNT(*) DESC, strftime(event_time, '%A')) AS r FROM seen GROUP BY 1, 2, 3) WHERE r = 1) w
+  ON a.user_sk = w.user_sk AND a.feature_date = w.feature_date""", """
+grid AS (SELECT user_sk, CAST(unnest(generate_series(CAST(MIN(event_date) AS TIMESTAMP), (SELECT CAST(MAX(event_date) AS TIMESTAMP) FROM fact), INTERVAL 1 DAY)) AS DATE) AS feature_date
+         FROM fact GROUP BY user_sk),
+seen AS (SELECT f.*, g.feature_date, datediff('day', f.event_date, g.feature_date) AS age
+         FROM fact f JOIN grid g ON f.user_sk = g.user_sk AND f.event_date <= g.feature_date)"""))
+def q_user_daily_features(spark, sf):
+    return snapshots.user_daily_features(star(spark, sf).fact)
+
+
 @register("sessionize_null_keys", oracle.with_star("""
 SELECT user_sk, event_id, event_time, CASE WHEN user_sk IS NOT NULL AND event_time IS NOT NULL THEN CAST(SUM(st) OVER (
          PARTITION BY user_sk, event_time IS NULL ORDER BY event_time, event_id) AS BIGINT) END AS session_number
