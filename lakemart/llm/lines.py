@@ -7,8 +7,8 @@ above ``min_sites`` is cross-site boilerplate, one surely below is not, and
 lines near the threshold (five standard errors) get exact distinct counts.
 Boilerplate lines are removed from every document.
 
-Only hashes are shuffled for the counts, with partial sketches formed before
-the shuffle; lines above the threshold join back by hash (splittable), and a
+Only hashes are shuffled for the counts, with partial counts formed before
+the shuffle; lines that occur often enough to matter get a sketch; lines above the threshold join back by hash (splittable), and a
 text moves at most once, to meet the numbers of its lines to remove.
 
 Defined cases: a null text has no lines and stays null; a null site is one
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import SPACES, apart, let, row_key, without
+from .common import SPACES, apart, let, row_key, sized, without
 
 MIN_SITES = 10
 LG_K = 12
@@ -32,15 +32,22 @@ def _lines(docs: DataFrame, text: str) -> DataFrame:
     return d.select("doc_id", "key", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), "line").alias("h2"))
 
 
+def _among(lines: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``lines`` with one of the (h1, h2) ``keys``; a hot line can be split."""
+    a, b = (apart(F.col("h1")) == F.col("__1")), (F.col("h2") == F.col("__2"))
+    return lines.join(keys.select(apart(F.col("h1")).alias("__1"), F.col("h2").alias("__2")), a & b, "left_semi")
+
+
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
     """(h1, h2) of the lines that stand on at least ``min_sites`` sites."""
     margin = 5 * 1.04 / 2 ** (lg_k / 2) * min_sites + 0.5
-    # a line that occurs fewer times than min_sites needs no sketch's answer
-    spread = (lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.hll_sketch_agg("site", F.lit(lg_k)).alias("s"))
-              .filter(F.col("n") >= min_sites).select("h1", "h2", F.hll_sketch_estimate("s").alias("sites")))
+    # a line that occurs fewer times than min_sites gets no sketch
+    often = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_sites)
+    spread = (_among(lines, sized(often.select("h1", "h2"))).groupBy("h1", "h2").agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("s"))
+              .select("h1", "h2", F.hll_sketch_estimate("s").alias("sites")))
     sure = spread.filter(F.col("sites") > min_sites + margin).select("h1", "h2")
     near = spread.filter(F.col("sites").between(min_sites - margin, min_sites + margin)).select("h1", "h2")
-    pairs = lines.select("h1", "h2", "site").distinct().join(near, ["h1", "h2"])
+    pairs = _among(lines, near).select("h1", "h2", "site").distinct()
     exact = pairs.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("sites")).filter(F.col("sites") >= min_sites).select("h1", "h2")
     return sure.unionAll(exact)
 
@@ -52,8 +59,7 @@ def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source"
     where: Column = F.coalesce(F.concat(F.lit("s:"), F.col(site).cast("string")), F.lit("null"))
     keyed = docs.select("doc_id", row_key(docs, text).alias("key"), where.alias("site"), F.col(text).alias("__t"))
     lines = _lines(keyed, "__t")
-    bad = boilerplate(lines, min_sites, lg_k).select(apart(F.col("h1")).alias("__1"), F.col("h2").alias("__2"))
-    hit = (lines.join(bad, (apart(F.col("h1")) == F.col("__1")) & (F.col("h2") == F.col("__2")), "left_semi")
+    hit = (_among(lines, boilerplate(lines, min_sites, lg_k))
            .groupBy("doc_id", "key").agg(F.collect_set("pos").alias("__gone"))
            .select(F.col("doc_id").alias("__i"), F.col("key").alias("__k"), "__gone"))
     d = docs.select("*", row_key(docs, text).alias("__key"))
