@@ -36,6 +36,8 @@ from .common import sized
 #: Payloads below this many bytes are always stored in full.
 MIN_REVISIT = 1000
 SPLIT_BYTES = 8 << 20
+#: Partitions of a read at most; a task then takes several ranges, one after another.
+MAX_TASKS = 20_000
 WARC_DATE = "2024-01-01T00:00:00Z"
 MAGIC = b"\x1f\x8b\x08"
 _CHUNK = 1 << 16
@@ -206,15 +208,15 @@ def read_range(f, start: int, end: int, damaged: str = "raise") -> Iterator[tupl
         at = _next_record(f, at + 1, end)
 
 
-def archive_ranges(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+def archive_ranges(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES, max_tasks: int = MAX_TASKS) -> DataFrame:
     """(path, start, end): byte ranges of all files under ``path``, one
-    partition each."""
+    partition each up to ``MAX_TASKS``, beyond that several."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
              .select("path", "length").filter("length > 0"))
     cut = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))
     ranges = files.select("path", "length", F.explode(cut).alias("start"))
     ranges = ranges.select("path", "start", F.least(F.col("start") + split_bytes, "length").alias("end"))
-    return ranges.repartition(max(1, ranges.count()))
+    return ranges.repartition(min(max(1, ranges.count()), max_tasks))
 
 
 RECORD = "path string, offset long, record_type string, record_id string, target_uri string, payload_digest string, payload_bytes long, refers_to string, payload binary"

@@ -277,6 +277,22 @@ def test_lines_far_and_near_the_threshold(spark):
     assert all(r.line_removed == 1 and r.line_text.startswith("near ") for r in got)
 
 
+def test_hot_and_rare_lines(spark):
+    """One line on most rows, a line often on one site only, lines seen once."""
+    rows = [(i, f"hot\nown {i}\n" + ("often" if i % 3 else "local"), f"s{i % 40}" if i % 3 else "home") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.line_text for r in lines.remove_boilerplate(df, min_sites=10).collect()}
+    assert got == {i: f"own {i}" if i % 3 else f"own {i}\nlocal" for i, *_ in rows}
+
+
+def test_warc_tasks_are_bounded(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"http://x/{i}", f"page {i} " * 20) for i in range(60)], "page_id long, url string, html string")
+    warc.write_archives(warc.plan_records(df), f"{tmp_path}/w")
+    many, few = (warc.archive_ranges(spark, f"{tmp_path}/w", 256, most) for most in (20_000, 3))
+    assert few.rdd.getNumPartitions() == 3 and many.rdd.getNumPartitions() == many.count() > 3
+    assert sorted(few.collect()) == sorted(many.collect())
+
+
 def test_license_templates(spark):
     texts = [(i, f"some words before {notice} and after") for i, (_, notice, _) in enumerate(licenses.TEMPLATES)]
     texts += [(100, "license mit released the under"), (101, "the general public licenses"), (102, "General-Public\nLICENSE general public license")]
