@@ -337,7 +337,11 @@ def session_rows(fact: DataFrame, gap_s: int = SESSION_GAP_S) -> DataFrame:
     the gap; given cells must have been reduced so): sessions are numbered
     from their (user, bucket) bounds (``number_session_buckets``), then rolled
     up, and products and categories are counted as reduced rows."""
-    cells = fact if "n" in fact.columns else reduce_cells(fact, gap_s)
+    unused = {"event_date": F.to_date("event_time"), "quantity": F.lit(0)}  # in cells, but not needed here
+    if "n" in fact.columns:
+        cells = fact
+    else:
+        cells = reduce_cells(fact.withColumns({c: v for c, v in unused.items() if c not in fact.columns}), gap_s)
     cells = cells.withColumns({"_smin": F.unix_timestamp("first_time"), "_smax": F.unix_timestamp("last_time")})
     numbers = number_session_buckets(
         cells.groupBy("user_sk", "bucket").agg(F.min("_smin").alias("_first"), F.max("_smax").alias("_last")),
