@@ -82,13 +82,19 @@ def _ranges(lo: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(lo - before, size) + np.arange(int(size.sum()))
 
 
+def _offsets(a: pa.Array) -> np.ndarray:
+    """Where the values of a binary, text or list array begin, and the end."""
+    large = pa.types.is_large_binary(a.type) or pa.types.is_large_string(a.type) or pa.types.is_large_list(a.type)
+    return np.frombuffer(a.buffers()[1], np.int64 if large else np.int32)[a.offset:a.offset + len(a) + 1].astype(np.int64)
+
+
 class Texts:
     """Some texts as one sequence of words with digests of word ranges in
     constant time. ``start`` and ``end`` are the words' bytes in ``data``;
     text i has the words first[i] to first[i + 1] - 1."""
 
     def __init__(self, texts: pa.Array):
-        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        offsets = _offsets(texts)
         self.data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
         offsets -= offsets[0]
         # with a null's bytes, if any, out of the way
@@ -176,7 +182,7 @@ class Texts:
 
 def _chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``_CHUNK`` bytes of text."""
-    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    offsets = _offsets(texts)
     at = 0
     while at < len(texts):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _CHUNK, "right")) - 1)
@@ -186,7 +192,7 @@ def _chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 def _unpacked(ranges: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, start and size of each packed range of a list column."""
-    sizes = np.diff(np.frombuffer(ranges.buffers()[1], np.int32)[ranges.offset:ranges.offset + len(ranges) + 1])
+    sizes = np.diff(_offsets(ranges))
     sizes = np.where(ranges.is_null().to_numpy(zero_copy_only=False), 0, sizes)
     flat = ranges.flatten().to_numpy(zero_copy_only=False)
     return np.repeat(np.arange(len(ranges)), sizes), flat >> _BITS, flat & ((1 << _BITS) - 1)
