@@ -99,11 +99,10 @@ jump(rid, k, j, shard, grown) AS (
   FROM (SELECT rid, shard, grown, k2, floor((j + 1) * (2147483648.0::DOUBLE / ((k2 >> 33) + 1)::DOUBLE))::BIGINT AS j2
         FROM (SELECT rid, j, shard, grown, (k * 2862933555777941757 + 1) % 18446744073709551616 AS k2 FROM jump WHERE j < {sharding.SHARDS + 1}))),
 last AS (SELECT rid, max(shard) AS shard, max(grown) AS grown FROM jump GROUP BY rid),
-f AS (SELECT doc_id, (octet_length(encode(text)) + 8)::BIGINT AS size, ({crc32('text')})::BIGINT AS text_crc32, shard::INTEGER AS shard, grown::INTEGER AS grown_shard
+f AS (SELECT doc_id, (octet_length(encode(text)) + 8)::BIGINT AS size, ({crc32('text')})::BIGINT AS text_crc32, shard::INTEGER AS shard, grown::INTEGER AS grown_shard, ('0x' || substr(h, 17, 8))::BIGINT AS spread
       FROM d JOIN last USING (rid))
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,
-       (row_number() OVER (PARTITION BY shard ORDER BY (((coalesce(doc_id, 0) % {sharding.BUCKETS}) + {sharding.BUCKETS}) % {sharding.BUCKETS} + text_crc32) % {sharding.BUCKETS},
-                           doc_id NULLS LAST, size, text_crc32, grown_shard) - 1)::BIGINT AS slot, grown_shard
+       (row_number() OVER (PARTITION BY shard ORDER BY (spread + text_crc32) % {sharding.BUCKETS}, doc_id NULLS LAST, size, text_crc32, grown_shard) - 1)::BIGINT AS slot, grown_shard
 FROM f
 """
 

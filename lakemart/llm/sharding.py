@@ -7,12 +7,14 @@ sequence is the published 64-bit linear congruential generator, seeded with
 64 bits of the key's MD5 and computed in exact decimals.
 
 Shards are decided row by row, without a shuffle. Positions in a shard
-(``slot``) are numbered in (shard, bucket) groups spread by id and text, then
-shifted by the rows in earlier buckets (at most shards * ``buckets`` counts,
+(``slot``) are numbered in (shard, bucket) groups, spread by further bits of
+the id's MD5 and by the text's CRC-32 so that neither ids in a pattern nor one
+id with many texts fill few buckets, then shifted by the rows in earlier buckets (at most shards * ``buckets`` counts,
 so their broadcast is bounded); equal rows are one row with a count until the
 end, so neither a hot key nor a group of copies is numbered in one task.
 
-Defined cases: a null doc_id is a key of its own; equal ids share a shard;
+Defined cases: ids of any type that casts to text (the cast is hashed); a null
+doc_id is the key ``null``; equal ids share a shard;
 equal rows get distinct slots; null texts have 0 bytes and CRC 0.
 """
 
@@ -57,9 +59,17 @@ def jump_hash(key: Column, shards: Column, grown: Column | None = None, most: in
     return short
 
 
+def _digest(column: str) -> Column:
+    return F.md5(F.coalesce(F.col(column).cast("string"), F.lit("null")).cast("binary"))
+
+
 def key_of(column: str = "doc_id") -> Column:
-    digest = F.md5(F.coalesce(F.col(column).cast("string"), F.lit("null")).cast("binary"))
-    return F.conv(F.substring(digest, 1, 16), 16, 10).cast("decimal(20,0)")
+    return F.conv(F.substring(_digest(column), 1, 16), 16, 10).cast("decimal(20,0)")
+
+
+def spread_of(column: str = "doc_id") -> Column:
+    """32 bits of the key's MD5 that ``key_of`` does not use."""
+    return F.conv(F.substring(_digest(column), 17, 8), 16, 10).cast("long")
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id") -> DataFrame:
@@ -95,6 +105,5 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, text: str = "text") -
     grown_shard of every row."""
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     narrow = docs.select("doc_id", (F.octet_length(body) + OVERHEAD).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
-    spread = F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(BUCKETS)) + F.col("text_crc32")
-    placed = number_slots(assign_shards(narrow, shards), spread)
+    placed = number_slots(assign_shards(narrow, shards), spread_of() + F.col("text_crc32"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")

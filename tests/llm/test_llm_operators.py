@@ -229,6 +229,17 @@ def test_substrings_match_brute_force(spark, seed):
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
+def test_substrings_take_large_arrow_types(spark, edge):
+    def run():
+        return sorted(map(tuple, substrings.dedup_substrings(edge).collect()), key=repr)
+    want = run()
+    spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "true")
+    try:
+        assert run() == want and any(r[2] for r in want)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.useLargeVarTypes")
+
+
 def test_jump_hash_is_the_published_one(spark):
     def jump(key, n):
         b, j = -1, 0
@@ -255,6 +266,22 @@ def test_slots_of_many_equal_rows(spark, monkeypatch):
     assert sum(map(len, got.values())) == 100 and all(sorted(s) == list(range(len(s))) for s in got.values())
 
 
+def test_text_ids_are_sharded(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", None), ("007", "y"), ("7", "y"), (None, "y"), ("a", "x")], "doc_id string, text string")
+    got = [r.asDict() for r in sharding.shard_documents(df, 3).collect()]
+    assert sorted((r["doc_id"] or "-", r["size"]) for r in got) == [("-", 9), ("007", 9), ("7", 9), ("a", 9), ("a", 9), ("b", 8)]
+    for shard in range(3):
+        slots = sorted(r["slot"] for r in got if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+
+
+@pytest.mark.parametrize("step", [1, 512, 4096, 1 << 32])
+def test_ids_in_a_pattern_fill_all_buckets(spark, step):
+    ids = spark.range(20_000).select((F.col("id") * step).alias("doc_id"))
+    sizes = ids.groupBy(F.pmod(sharding.spread_of(), F.lit(sharding.BUCKETS)).alias("b")).count().agg(F.count("b"), F.max("count")).first()
+    assert sizes[0] == sharding.BUCKETS and sizes[1] < 100  # 39 on average
+
+
 def test_mixing_meets_targets(spark):
     r = random.Random(2)
     docs = spark.createDataFrame([(i, "w " * r.randrange(1, 40), f"s{min(i % 7, r.randrange(7))}") for i in range(6000)], "doc_id long, text string, source string")
