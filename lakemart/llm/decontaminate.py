@@ -7,12 +7,13 @@ shorter than the shortest phrase cannot match. Over that sequence each task
 builds a suffix array (prefix doubling), the Burrows-Wheeler transform and a
 wavelet tree over its bits; test phrases are searched backwards through
 wavelet-tree ranks, all phrases at once; matches are located by walking to
-the next sampled suffix position; removal spans are merged per document.
+the next sampled suffix position; removal spans are merged per document. A
+phrase is a position in an array of the benchmark's words, made once.
 
 Documents are never shuffled and never meet each other. Phrases are sent to
 the tasks in blocks of at most ``BLOCK_BYTES`` of benchmark text; a larger
 benchmark takes several passes, each adding its spans to those found before,
-with a checkpoint between passes.
+with a checkpoint between passes, after which a block is dropped everywhere.
 
 Defined cases: null or wordless texts have no words and no hits; items
 without words are never found; items with equal text all count; a null
@@ -25,6 +26,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from .common import annotate, persisted, without
@@ -35,6 +37,8 @@ BLOCK_BYTES = 32 << 20
 #: Words a shard's index may hold; a batch with more is cut at documents.
 SHARD_WORDS = 4 << 20
 SAMPLE = 8
+#: Phrases searched at once in a shard's index.
+SEARCHED = 1 << 18
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -44,22 +48,40 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class Phrases:
-    """Distinct windows of benchmark items as arrays of word numbers."""
+    """Distinct windows of benchmark items. The items' words are one array of
+    word numbers (``flat``) and a window is where it begins in it, so a window
+    costs some bytes, not its words; built once and sent to the tasks."""
 
     def __init__(self, items: list[tuple[str, bytes | None]], window: int = WINDOW):
         self.vocabulary: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set[str]] = {}
-        for item, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
-            for at in range(max(1, len(ids) - window + 1) if ids else 0):
-                found.setdefault(tuple(ids[at:at + window]), set()).add(item)
-        self.items = [sorted(v) for v in found.values()]
-        lengths = np.array([len(p) for p in found], np.int64)
-        self.shortest = int(lengths.min()) if found else 0
-        # (length, numbers of the phrases, their words)
-        phrases = list(found)
-        self.by_length = [(int(m), at, np.array([phrases[i] for i in at], np.int64))
-                          for m in np.unique(lengths) for at in [np.flatnonzero(lengths == m)]]
+        number = self.vocabulary.setdefault
+        ids = [np.array([number(w, len(self.vocabulary) + 1) for w in words_of(text)], np.int32) for _, text in items]
+        self.names = [name for name, _ in items]
+        self.flat = np.concatenate([np.zeros(0, np.int32), *ids])
+        sizes = np.array([i.size for i in ids], np.int64)
+        first = np.cumsum(sizes) - sizes
+        lengths = np.minimum(sizes, window)
+        ranks = [self.flat]  # equal numbers where the next 1, 2, 4, ... words are equal
+        # (length, where its windows begin, whose they are as ranges of owners)
+        self.by_length: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+        for m in np.unique(lengths[lengths > 0]).tolist():
+            have = np.flatnonzero(lengths == m)
+            count = sizes[have] - m + 1
+            owner = np.repeat(have, count)
+            at = np.arange(owner.size) + np.repeat(first[have] - np.cumsum(count) + count, count)
+            while 2 << (len(ranks) - 1) <= m:
+                half = 1 << (len(ranks) - 1)
+                key = ranks[-1].astype(np.int64) << 32
+                key[:-half] |= ranks[-1][half:]
+                ranks.append(np.unique(key, return_inverse=True)[1].astype(np.int32))
+            # m words are equal if their first and their last 2^i words are
+            low = ranks[m.bit_length() - 1]
+            key = low[at].astype(np.int64) << 32 | low[at + m - (1 << (m.bit_length() - 1))]
+            _, begin, same = np.unique(key, return_index=True, return_inverse=True)
+            pairs = np.unique(same * np.int64(len(items)) + owner)
+            ends = np.searchsorted(pairs // len(items), np.arange(begin.size + 1))
+            self.by_length.append((m, at[begin], ends, (pairs % len(items)).astype(np.int32)))
+        self.shortest = self.by_length[0][0] if self.by_length else 0
 
 
 class FMIndex:
@@ -121,13 +143,14 @@ class FMIndex:
             hi = np.where(one, self.zeros[level] + hi_ones, hi - hi_ones)
         return hi - lo
 
-    def search(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Backward search of equally long phrases (rows): numbers of those
-        that occur, and their ranges of rows."""
-        alive = np.arange(len(phrases))
+    def search(self, words: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Backward search of the phrases of ``length`` words that begin in
+        ``words`` where ``at`` says: numbers of those that occur, and their
+        ranges of rows."""
+        alive = np.arange(at.size)
         lo, hi = np.zeros(alive.size, np.int64), np.full(alive.size, self.marked.size, np.int64)
-        for j in range(phrases.shape[1] - 1, -1, -1):
-            c = phrases[alive, j]
+        for j in range(length - 1, -1, -1):
+            c = words[at[alive] + j].astype(np.int64)
             lo, hi = self.first[c] + self._occurrences(c, lo), self.first[c] + self._occurrences(c, hi)
             there = lo < hi
             alive, lo, hi = alive[there], lo[there], hi[there]
@@ -164,7 +187,7 @@ def find_in_shard(texts: list[list[int]], phrases: Phrases) -> tuple[list[list[t
     starts, ends = edge[::2], edge[1::2]
     long = ends - starts >= max(1, phrases.shortest)
     starts, ends = starts[long], ends[long]
-    if not starts.size or not phrases.items:
+    if not starts.size or not phrases.by_length:
         return spans, items
     take = np.zeros(flat.size + 1, np.int64)
     np.add.at(take, starts, 1)
@@ -172,24 +195,27 @@ def find_in_shard(texts: list[list[int]], phrases: Phrases) -> tuple[list[list[t
     place = np.flatnonzero(np.cumsum(take[:-1]) > 0)
     index = FMIndex(flat[place], len(phrases.vocabulary).bit_length())
     hits: list[np.ndarray] = []
-    for length, numbers, rows in phrases.by_length:
-        found, lo, hi = index.search(rows)
-        if found.size:
-            size = hi - lo
-            row = np.repeat(lo - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(int(size.sum()))
-            at = place[index.locate(row)]
-            doc = np.searchsorted(begin, at, "right") - 1
-            hits.append(np.stack((doc, at - begin[doc], np.full(at.size, length), np.repeat(numbers[found], size))))
+    for which, (length, windows, _, _) in enumerate(phrases.by_length):
+        for cut in range(0, windows.size, SEARCHED):
+            found, lo, hi = index.search(phrases.flat, windows[cut:cut + SEARCHED], length)
+            if found.size:
+                size = hi - lo
+                row = np.repeat(lo - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(int(size.sum()))
+                at = place[index.locate(row)]
+                doc = np.searchsorted(begin, at, "right") - 1
+                hits.append(np.stack((doc, at - begin[doc], np.full(at.size, which), np.repeat(found + cut, size))))
     if hits:
-        doc, at, length, number = np.concatenate(hits, axis=1)
+        doc, at, which, number = np.concatenate(hits, axis=1)
         for i in np.lexsort((at, doc)).tolist():
-            d, s, e = int(doc[i]), int(at[i]), int(at[i] + length[i])
+            d, s = int(doc[i]), int(at[i])
+            e = s + phrases.by_length[which[i]][0]
             if spans[d] and s <= spans[d][-1][1]:
                 spans[d][-1] = (spans[d][-1][0], max(e, spans[d][-1][1]))
             else:
                 spans[d].append((s, e))
-        for d, k in set(zip(doc.tolist(), number.tolist())):
-            items[d].update(phrases.items[k])
+        for d, w, k in set(zip(doc.tolist(), which.tolist(), number.tolist())):
+            _, _, ends, owners = phrases.by_length[w]
+            items[d].update(phrases.names[o] for o in owners[ends[k]:ends[k + 1]].tolist())
     return spans, items
 
 
@@ -206,11 +232,10 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
 
-def _one_pass(docs: DataFrame, text: str, items: list[tuple[str, bytes | None]], window: int, last: str | None) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
-
+def _one_pass(docs: DataFrame, text: str, shared: Broadcast, last: str | None) -> DataFrame:
+    """``shared`` holds the ``Phrases`` of one block."""
     def make():
-        phrases = Phrases(shared.value, window)
+        phrases = shared.value
         number = phrases.vocabulary.get
 
         def run(batch, texts):
@@ -255,10 +280,14 @@ def find_phrases(docs: DataFrame, benchmark: DataFrame, text: str = "text", wind
     size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     passes = 1 + int(size) // block_bytes
     which = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
-    out = docs
+    out, shared = docs, None
     for k in range(passes):
+        if shared is not None:
+            out = persisted(out)
+            shared.destroy()
         block = [(r[0], None if r[1] is None else bytes(r[1])) for r in items.filter(which == k).toLocalIterator()]
-        out = _one_pass(out if k == 0 else persisted(out), text, block, window, "decon" if k else None)
+        shared = docs.sparkSession.sparkContext.broadcast(Phrases(block, window))
+        out = _one_pass(out, text, shared, "decon" if k else None)
     return out
 
 

@@ -2,6 +2,7 @@
 import collections
 import io
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -26,7 +27,7 @@ def test_fm_index_finds_every_occurrence(seed):
     index = decontaminate.FMIndex(seq, 3)
     for length in (1, 2, 3, 5):
         rows = np.array([[r.randrange(1, 5) for _ in range(length)] for _ in range(30)] + [([1, 2] * 3)[:length]])
-        found, lo, hi = index.search(rows)
+        found, lo, hi = index.search(rows.ravel(), np.arange(0, rows.size, length), length)
         where = {int(f): sorted(index.locate(np.arange(a, b)).tolist()) for f, a, b in zip(found, lo, hi)}
         for i, p in enumerate(rows.tolist()):
             assert where.get(i, []) == naive_find(seq.tolist(), p)
@@ -44,17 +45,57 @@ def test_decontamination_sends_repeated_rows_once(spark, monkeypatch):
     phrase = " ".join(f"w{i}" for i in range(13))
     docs = spark.createDataFrame([(1, f"before {phrase} after"), (2, "clean")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, phrase)] * 300 + [(None, "other words")] * 2 + [(2, phrase)], "item_id long, text string")
-    sent, one_pass = [], decontaminate._one_pass
+    sent, build = [], decontaminate.Phrases.__init__
 
-    def spy(frame, text, items, *rest):
+    def spy(self, items, *rest):
         sent.append(items)
-        return one_pass(frame, text, items, *rest)
-    monkeypatch.setattr(decontaminate, "_one_pass", spy)
+        build(self, items, *rest)
+    monkeypatch.setattr(decontaminate.Phrases, "__init__", spy)
     got = {r.doc_id: r.decon["items"] for r in decontaminate.find_phrases(docs, bench, block_bytes=4000).collect()}
     assert got == {1: ["1", "2"], 2: []}
     assert sorted(x for block in sent for x in block) == [("1", phrase.encode()), ("2", phrase.encode()), ("null", b"other words")]
 
 
+@pytest.mark.parametrize("seed,window", [(1, 13), (2, 4), (3, 1), (4, 2), (5, 7), (6, 13)])
+def test_phrases_are_the_distinct_windows(seed, window, monkeypatch):
+    r = random.Random(seed)
+    texts = [" ".join(r.choice("abc") * r.choice((1, 1, 2)) for _ in range(r.randrange(0, 30))) for _ in range(40)]
+    items = [(str(i % 25), t.encode()) for i, t in enumerate(texts)] + [("none", None), ("25", texts[0].encode() * 2)]
+    want = collections.defaultdict(set)
+    for name, t in items:
+        w = tuple(decontaminate.words_of(t))
+        for i in range(max(1, len(w) - window + 1) if w else 0):
+            want[w[i:i + window]].add(name)
+    p = decontaminate.Phrases(items, window)
+    word = {n: w for w, n in p.vocabulary.items()}
+    got = {}
+    for length, at, ends, owners in p.by_length:
+        for i, a in enumerate(at.tolist()):
+            key = tuple(word[n] for n in p.flat[a:a + length].tolist())
+            assert key not in got
+            got[key] = {p.names[o] for o in owners[ends[i]:ends[i + 1]].tolist()}
+    assert got == dict(want)
+    # many small searches find what one does
+    docs = [[p.vocabulary.get(w, 0) for w in decontaminate.words_of(t.encode())] for t in texts]
+    one = decontaminate.find_in_shard(docs, p)
+    monkeypatch.setattr(decontaminate, "SEARCHED", 3)
+    assert decontaminate.find_in_shard(docs, p) == one
+
+
+def test_phrases_of_a_large_block_stay_small():
+    r = random.Random(7)
+    words = [f"w{i}" for i in range(20_000)]
+    items = [(str(i), " ".join(r.choices(words, k=1000)).encode()) for i in range(200)]
+    size = sum(len(t) for _, t in items)
+    tracemalloc.start()
+    p = decontaminate.Phrases(items)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert sum(at.size for _, at, _, _ in p.by_length) > 190_000
+    # 200,000 windows of 13 words: some 30 bytes each, and the vocabulary
+    assert held < 10 * size and peak < 30 * size
+
+
 def test_spans_are_cut_from_the_text(spark):
     phrase = " ".join(f"w{i}" for i in range(13))
     docs = spark.createDataFrame([(1, f"Before, it. {phrase.upper()}! after"), (2, None), (3, "clean")], "doc_id long, text string")
