@@ -15,9 +15,13 @@ def tag_events(raw: DataFrame, schema=STREAM_EVENT, time_format: str | None = No
     """Parse the ``value`` column (binary or string JSON) and tag each row:
     ``json`` (raw text), ``data`` (parsed struct), ``_ts`` (parsed time),
     ``is_bad`` and ``reason``. ``from_json`` is PERMISSIVE: a malformed
-    message yields a struct of NULLs, so required fields decide."""
+    message yields a struct of NULLs, so required fields decide.
+
+    The struct comes out of a generator (one row for each message): a filter
+    on it would otherwise be pushed below the projection and parse (and
+    encode) the message once for each field it tests."""
     text = raw.select(F.col("value").cast("string").alias("json"))
-    parsed = text.select("json", F.from_json("json", schema).alias("data"))
+    parsed = text.select("json", F.explode(F.array(F.from_json("json", schema))).alias("data"))
     ts = (F.try_to_timestamp(F.col("data.event_time"), F.lit(time_format)) if time_format
           else F.try_to_timestamp(F.col("data.event_time")))
     parsed = parsed.withColumn("_ts", ts)
