@@ -3,6 +3,7 @@ dimensions and the event-grain fact table."""
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,6 +14,7 @@ from ..functions.columns import (SEGMENT_ENGAGED_MIN, SEGMENT_POWER_MIN, clean_b
 from ..operators.joins import OPEN_END, UNKNOWN_SK, lookup, point_in_time
 from ..operators.keys import dense_key
 from ..operators.windows import latest_per_key
+from ..session import checkpoint_dir
 from ..sources.events import bronze_from_tables
 
 CALENDAR_BUFFER_DAYS = 365
@@ -161,6 +163,20 @@ def fact_events(bronze: DataFrame, dates: DataFrame, users: DataFrame, products:
         (load_ts if load_ts is not None else F.current_timestamp()).alias("created_at"))
 
 
+#: Bronze columns that dimensions and fact are built from.
+SILVER_INPUT = ["event_id", "event_time", "event_date", "event_type", "user_id", "product_id", "price", "brand",
+                "category_code", "user_session"]
+
+
+def _laid_down(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to a new folder beside the shared
+    checkpoints and read back (columns pruned, no lineage)."""
+    spark = df.sparkSession
+    out = f"{checkpoint_dir(spark).rstrip('/')}/star-{uuid.uuid4().hex}"
+    df.write.parquet(out)
+    return spark.read.schema(df.schema).parquet(out)
+
+
 class Star:
     """Bronze and the tables built from it, each built when first asked for
     (a bronze reader starts no dimension job)."""
@@ -169,25 +185,32 @@ class Star:
                  engaged: int = SEGMENT_ENGAGED_MIN):
         self.spark, self.bronze, self._power, self._engaged = spark, bronze, power, engaged
 
+    @cached_property
+    def _events(self) -> DataFrame:
+        """The bronze columns that dimensions and fact read, laid down once:
+        the joins behind bronze are not repeated for each of them."""
+        return _laid_down(self.bronze.select(*SILVER_INPUT))
+
     @cached_property
     def dates(self) -> DataFrame:
-        return dim_date(self.spark, self.bronze)
+        return dim_date(self.spark, self._events)
 
     @cached_property
     def categories(self) -> DataFrame:
-        return dim_categories(self.bronze)
+        return dim_categories(self._events)
 
     @cached_property
     def products(self) -> DataFrame:
-        return dim_products(self.bronze, self.categories)
+        return dim_products(self._events, self.categories)
 
     @cached_property
     def users(self) -> DataFrame:
-        return dim_users(self.bronze, self._power, self._engaged)
+        return dim_users(self._events, self._power, self._engaged)
 
     @cached_property
     def fact(self) -> DataFrame:
-        return fact_events(self.bronze, self.dates, self.users, self.products)
+        """Laid down too: a mart reads it several times."""
+        return _laid_down(fact_events(self._events, self.dates, self.users, self.products))
 
 
 def build_star(spark: SparkSession, bronze: DataFrame, power: int = SEGMENT_POWER_MIN,

@@ -54,13 +54,16 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str, load_ts: Column | None
 
     Every column is a plain expression, so the plan is one scan of ``events``
     joined to the (pruned) ``part`` scan; Spark chooses broadcast or
-    sort-merge at run time from the measured size of ``part``.
+    sort-merge at run time from the measured size of ``part``. The scanned
+    rows are dealt anew first: a file of few row groups is read by few tasks,
+    which would otherwise do all the work that follows.
     """
-    ev = load(spark, sf_dir, "events")
-    ev = ev.select(
-        "event_id", "ts", "user_id", "event_type", "value",
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+    ev = load(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value", "props",
         F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("source_file"))
+    ev = ev.repartition("event_id", "ts").select(
+        "event_id", "ts", "user_id", "event_type", "value",
+        F.get_json_object("props", "$.k").cast("bigint").alias("k"), "source_file")
     part = load(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("k"),
         F.lower("p_type").alias("ptype"),
