@@ -8,16 +8,18 @@ reaches a fixed threshold. Every document is decided by the same
 deterministic rule (no sampling): weights are integers in 1e-6 nats, so sums
 do not depend on order.
 
-How often a text was copied says nothing about its quality, so every class of
-copies and near copies counts once in either multinomial: of texts with the
-same least hash of four consecutive words (a one-band MinHash; an edit
-elsewhere leaves it) the row least by (doc_id, MD5) stays, and of those that
-stay with the same greatest hash again (in the target, of trusted rows). Smoothing is a share of the target's
-n-grams, so the rule means the same for little and for much trusted text.
-
-Classes are found on narrow rows; the rows that stand for them are joined back
-by broadcast up to ``BROADCAST_ROWS`` of them (beyond, by a splittable shuffle
-join that moves each text once). Counting is a narrow pass whose partial
+Every row counts, but how often a text was copied says nothing about its
+quality, so the rows of a class of copies and near copies share the weight of
+one: rows with the same least hash of four consecutive words (a one-band
+MinHash; an edit elsewhere leaves it) are of one class, and so are those whose
+first rows by (doc_id, MD5) have the same greatest hash. A row counts ``UNIT``
+divided by its class's rows in the raw corpus and by its class's trusted rows
+in the target. Smoothing is a share of the target's n-grams, so the rule means
+the same for little and for much trusted text.
+
+Classes are found on narrow rows; the weights of the rows that share one are
+joined back by broadcast up to ``BROADCAST_ROWS`` of them (beyond, by a
+splittable shuffle join that moves each text once). Counting is a narrow pass whose partial
 aggregates shuffle at most ``buckets`` rows a task; scoring is another that
 reads the weights as one array of ``buckets`` numbers (bounded by that
 parameter). Repeated windows are found by 64-bit hashes and confirmed on their
@@ -32,7 +34,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import let, persisted, sized, split_words, without
+from .common import apart, let, persisted, sized, split_words, without
 
 BUCKETS = 1 << 16
 #: Pseudo n-grams of the target, spread over all buckets (and, in proportion,
@@ -47,6 +49,8 @@ REPEAT_WINDOW = 8  # a power of two
 PAIR = 65_599
 #: Modulus and multipliers of the hashes that choose a class's four words.
 PRIME, MIX, SECOND = 2_147_483_647, 48_271, 40_503
+#: What a row without copies counts; rows of a class share it.
+UNIT = 1 << 30
 SYMBOL_RE = "[#*$%&|<>]"
 
 
@@ -85,43 +89,40 @@ def copy_classes(h: Column) -> Column:
         let(whole, lambda x: F.struct(x.alias("least"), x.alias("most"))))
 
 
-def one_of_each(docs: DataFrame, trusted: Column, text: str = "text") -> DataFrame:
-    """(words, raw, target): the words of the rows that stand for a class of
-    copies in the raw corpus or the target; the two numbers say how many
-    equal rows share that part (0: not of it)."""
+def class_weights(docs: DataFrame, trusted: Column, text: str = "text") -> DataFrame:
+    """(words, raw, target) of every row: what the row counts in the raw
+    corpus and in the target, ``UNIT`` divided by the (trusted) rows of its
+    class of copies (0 in the target if the row is not trusted)."""
     words = split_words(F.col(text))
-    rows = docs.select("doc_id", F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("m"), let(word_hashes(words), copy_classes).alias("c"),
-                       trusted.alias("t"))
-    per = persisted(rows.groupBy("c.least", "c.most", "doc_id", "m").agg(F.count(F.lit(1)).alias("k"), F.max("t").alias("t")))
-
-    def least(df: DataFrame, name: str) -> DataFrame:
-        first = df.groupBy("least").agg(F.min(F.struct("doc_id", "m", "k", "most")).alias("r"))
-        first = first.groupBy("r.most").agg(F.min("r").alias("r"))
-        other = {"raw": "target", "target": "raw"}[name]
-        return first.select("r.doc_id", "r.m", F.col("r.k").alias(name), F.lit(0).cast("long").alias(other)).select("doc_id", "m", "raw", "target")
-    both = least(per, "raw").unionByName(least(per.filter("t"), "target")).groupBy("doc_id", "m").agg(F.max("raw").alias("raw"), F.max("target").alias("target"))
-    stand = sized(both.select(F.col("doc_id").alias("__i"), F.col("m").alias("__m"), "raw", "target"))
     own = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
-    return docs.join(stand, (own == F.col("__m")) & F.col("doc_id").eqNullSafe(F.col("__i"))).select(words.alias("words"), "raw", "target")
+    rows = docs.select("doc_id", own.alias("m"), let(word_hashes(words), copy_classes).alias("c"), trusted.alias("t"))
+    per = persisted(rows.groupBy("c.least", "c.most", "doc_id", "m").agg(F.count(F.lit(1)).alias("k"), F.count_if("t").alias("kt")))
+    groups = per.groupBy("least").agg(F.min(F.struct("doc_id", "m", "most")).alias("r"), F.sum("k").alias("k"), F.sum("kt").alias("kt"))
+    sizes = persisted(groups.select("least", "r.most", "k", "kt"))
+    classes = sizes.groupBy(apart(F.col("most")).alias("c")).agg(F.sum("k").alias("n"), F.sum("kt").alias("nt")).filter("n > 1")
+    shared = sizes.join(classes, apart(F.col("most")) == F.col("c")).select(apart(F.col("least")).alias("__l"), "n", "nt")
+    few = sized(per.join(shared, apart(F.col("least")) == F.col("__l")).select(F.col("doc_id").alias("__i"), F.col("m").alias("__m"), "n", "nt"))
+
+    def part(n: str) -> Column:
+        return F.call_function("div", F.lit(UNIT).cast("long"), F.greatest(F.coalesce(n, F.lit(1)), F.lit(1)).cast("long"))
+    marked = docs.select("doc_id", F.col(text), trusted.alias("__t"))
+    joined = marked.join(few, (own == F.col("__m")) & F.col("doc_id").eqNullSafe(F.col("__i")), "left")
+    return joined.select(words.alias("words"), part("n").alias("raw"), F.when(F.col("__t"), part("nt")).otherwise(F.lit(0).cast("long")).alias("target"))
 
 
 def gram_weights(docs: DataFrame, trusted: Column, text: str = "text", buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
     """One row, one array of ``buckets`` log ratios (1e-6 nats, long);
     ``trusted`` says of a row of ``docs`` whether its text is target text."""
-    grams = one_of_each(docs, trusted, text).select(F.explode(gram_buckets(F.col("words"), buckets)).alias("bucket"), "raw", "target")
-    counts = grams.groupBy("bucket", "raw", "target").agg(F.count(F.lit(1)).alias("n"))
-
-    def total(k: str) -> Column:  # equal rows have equal n-grams: the division is exact
-        share = F.call_function("div", F.col("n"), F.greatest(F.col(k), F.lit(1).cast("long")))
-        return F.sum(F.when(F.col(k) > 0, share).otherwise(F.lit(0).cast("long")))
-    per = counts.groupBy("bucket").agg(total("raw").alias("r"), total("target").alias("t"))
+    grams = class_weights(docs, trusted, text).select(F.explode(gram_buckets(F.col("words"), buckets)).alias("bucket"), "raw", "target")
+    per = grams.groupBy("bucket").agg(F.sum("raw").alias("r"), F.sum("target").alias("t"))
     spark = docs.sparkSession
+    # integers up to here: sums do not depend on the order of rows
     both = (spark.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(per, "bucket", "left")
-            .select("bucket", F.coalesce("r", F.lit(0)).alias("r"), F.coalesce("t", F.lit(0)).alias("t")))
-    # one window over the fixed number of buckets
-    w = Window.partitionBy()
-    target = F.sum("t").over(w).cast("double")
-    expected = F.col("r").cast("double") * target / F.greatest(F.sum("r").over(w), F.lit(1)).cast("double")
+            .select("bucket", *[(F.coalesce(c, F.lit(0)).cast("double") / UNIT).alias(c) for c in ("r", "t")]))
+    # one window over the fixed number of buckets, in their order
+    w = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    target = F.sum("t").over(w)
+    expected = F.col("r") * target / F.greatest(F.sum("r").over(w), F.lit(1.0))
     pseudo = F.greatest(target * smoothing / float(buckets), F.lit(1e-9))
     ratio = F.ln(F.col("t") + pseudo) - F.ln(expected + pseudo)
     weighted = both.select("bucket", F.round(ratio * 1e6).cast("long").alias("weight"))
@@ -129,15 +130,15 @@ def gram_weights(docs: DataFrame, trusted: Column, text: str = "text", buckets:
     return packed.select(F.transform("p", lambda x: x["weight"]).alias("weights"))
 
 
-def repeated_words(words: Column) -> Column:
+def repeated_words(words: Column, hashes: Column | None = None) -> Column:
     """Words inside windows of REPEAT_WINDOW words found twice or more.
-    Windows whose 64-bit hashes (built by doubling) meet are compared by
-    their words."""
+    Windows whose 64-bit hashes (built by doubling, from the words' own
+    ``hashes`` if at hand) meet are compared by their words."""
     n, window = F.size(words), REPEAT_WINDOW
 
     def doubled(h: Column, step: int) -> Column:
         return F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + step)))
-    hashes = F.transform(words, lambda x: F.xxhash64(x))
+    hashes = F.transform(words, lambda x: F.xxhash64(x)) if hashes is None else hashes
     windows = F.when(n >= window, let(hashes, lambda h: let(doubled(h, 1), lambda a: let(doubled(a, 2), lambda b: F.slice(
         doubled(b, 4), 1, F.greatest(n - (window - 1), F.lit(1)))))))
 
@@ -180,7 +181,7 @@ def quality_rules(docs: DataFrame, weights: DataFrame, text: str = "text", bucke
         def hashed(h: Column) -> Column:
             per_word = F.transform(h, lambda x, i: F.get(lr, _uni(x, buckets)) + F.coalesce(F.get(lr, _bi(x, F.get(h, i + 1), buckets)), F.lit(0).cast("long")))
             return F.struct(F.size(h).cast("long").alias("n"), F.length(F.array_join(w, "")).cast("long").alias("chars"),
-                            repeated_words(w).alias("repeat"), F.aggregate(per_word, F.lit(0).cast("long"), lambda a, x: a + x).alias("sum"))
+                            repeated_words(w, h).alias("repeat"), F.aggregate(per_word, F.lit(0).cast("long"), lambda a, x: a + x).alias("sum"))
         return let(word_hashes(w), hashed)
     def judged(m: Column) -> Column:
         n, grams = m["n"], F.greatest(2 * m["n"] - 1, F.lit(1))
