@@ -38,8 +38,9 @@ def as_cells(fact: DataFrame, gap_s: int = SESSION_GAP_S) -> DataFrame:
         return (F.col("event_type") == t).cast("long")
     sec = F.unix_timestamp("event_time")
     purchase = F.col("event_type") == "purchase"
+    day = F.col("event_date") if "event_date" in fact.columns else F.to_date("event_time").alias("event_date")
     return fact.select(
-        "event_date", "date_sk", "user_sk", "product_sk", "category_sk", F.floor(sec / gap_s).alias("bucket"),
+        day, "date_sk", "user_sk", "product_sk", "category_sk", F.floor(sec / gap_s).alias("bucket"),
         F.lit(1).cast("long").alias("n"),
         *[F.coalesce(one(t), F.lit(0).cast("long")).alias(c) for t, c in (("view", "views"), ("cart", "carts"), ("remove_from_cart", "removes"), ("purchase", "purchases"))],
         money("revenue").alias("all_revenue"),
