@@ -14,6 +14,10 @@ over, whichever comes first, so a session is never counted twice.
 
 Windows over one user see at most one row per day of change, however many
 events a hot user has.
+
+The steps are dealt to a number of tasks that grows with the events, so the
+rows that one task holds do not. Events are first counted per hour, sessions
+by buckets: a hot user's rows shrink in many tasks before they meet in one.
 """
 
 from __future__ import annotations
@@ -39,23 +43,65 @@ def _weekday(d: int) -> str:
     return f"_weekday{d}"
 
 
-#: Running totals, over the user's whole past.
+#: Running totals, over the user's whole past; they change on active days only.
 TOTALS = [*(_hour(h) for h in range(24)), *(_weekday(d) for d in range(7))]
+#: What is read off the totals of an active day (weekdays as their position in alphabetical order).
+HABITS = ("_favorite", "_preferred", "_weekender")
+WEEKDAY_NAMES = sorted(WEEKDAYS)
+
+#: Events for each task.
+EVENTS_PER_TASK = 100_000
+#: Parts into which a user's sessions are dealt.
+SESSION_BUCKETS = 64
+
+
+def _tasks(fact: DataFrame) -> int:
+    """Tasks for the events of ``fact`` (of a Parquet scan, only footers are read for it)."""
+    return max(1, -(-fact.count() // EVENTS_PER_TASK))
+
 
+def _dated(fact: DataFrame) -> DataFrame:
+    return fact.filter(F.col("event_date").isNotNull()).withColumns({"day": F.col("event_date"), "_hour": F.hour("event_time")})
 
-def user_day_cells(fact: DataFrame) -> DataFrame:
+
+def user_day_cells(fact: DataFrame, tasks: int) -> DataFrame:
     """(user_sk, day): events by hour and weekday, purchases, exact revenue
     and the number of priced purchases. Events without a date are left out."""
+    bought = F.col("event_type") == "purchase"
+    hourly = (_dated(fact).select(
+        "user_sk", "day", "_hour", F.weekday("event_time").alias("_weekday"), F.when(bought, 1).otherwise(0).alias("purchases"),
+        F.when(bought, F.col("revenue").cast("decimal(18,6)")).alias("paid"))
+        .repartition(tasks, "user_sk", "day", "_hour").groupBy("user_sk", "day", "_hour", "_weekday").agg(
+            F.count(F.lit(1)).alias("events"), F.sum("purchases").alias("purchases"),
+            F.sum("paid").alias("revenue"), F.count("paid").alias("priced")))
+
     def n(cond: Column) -> Column:
-        return F.sum(F.when(cond, 1).otherwise(0)).cast("long")
+        return F.sum(F.when(cond, F.col("events")).otherwise(0)).cast("long")
 
-    bought = F.col("event_type") == "purchase"
-    paid = F.when(bought, F.col("revenue").cast("decimal(18,6)"))
-    return fact.filter(F.col("event_date").isNotNull()).groupBy("user_sk", F.col("event_date").alias("day")).agg(
-        F.count(F.lit(1)).alias("events"), n(bought).alias("purchases"),
-        F.coalesce(F.sum(paid), F.lit(0)).cast("decimal(28,6)").alias("revenue"), F.count(paid).alias("priced"),
-        *[n(F.hour("event_time") == h).alias(_hour(h)) for h in range(24)],
-        *[n(F.weekday("event_time") == d).alias(_weekday(d)) for d in range(7)])
+    return hourly.repartition(tasks, "user_sk").groupBy("user_sk", "day").agg(
+        F.sum("events").alias("events"), F.sum("purchases").alias("purchases"),
+        F.coalesce(F.sum("revenue"), F.lit(0)).cast("decimal(28,6)").alias("revenue"), F.sum("priced").alias("priced"),
+        *[n(F.col("_hour") == h).alias(_hour(h)) for h in range(24)],
+        *[n(F.col("_weekday") == d).alias(_weekday(d)) for d in range(7)])
+
+
+def _most(cols: list[str], labels: list) -> Column:
+    """The label with the greatest total (ties: the smallest label)."""
+    best = F.greatest(*cols)
+    ordered = sorted(zip(labels, cols), key=lambda x: x[0])
+    return reduce(lambda later, x: F.when(F.col(x[1]) == best, F.lit(x[0])).otherwise(later), reversed(ordered), F.lit(None))
+
+
+def _with_habits(cells: DataFrame) -> DataFrame:
+    """The cells' totals up to their day, as ``HABITS``."""
+    until = Window.partitionBy("user_sk").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    amounts = [c for c in cells.columns if c not in TOTALS]
+    so_far = cells.select(*amounts, *[F.sum(c).over(until).alias(c) for c in TOTALS])
+    week = [_weekday(d) for d in range(7)]
+    weekend, all_days = F.col(week[5]) + F.col(week[6]), reduce(Column.__add__, [F.col(c) for c in week])
+    return so_far.select(*amounts, _most([_hour(h) for h in range(24)], list(range(24))).cast("int").alias("_favorite"),
+                         _most(week, [WEEKDAY_NAMES.index(d) for d in WEEKDAYS]).alias("_preferred"),
+                         (weekend * 2 > all_days).alias("_weekender"))
 
 
 def _differences(cells: DataFrame) -> DataFrame:
@@ -72,24 +118,28 @@ def _differences(cells: DataFrame) -> DataFrame:
 
     return d.select(
         "user_sk", F.date_add("day", F.col("_at")).alias("day"), F.when(entering, F.col("day")).alias("_active"),
-        *[moved(c, k).alias(f"{c}_{k}") for c, k in rolling],
-        *[F.when(entering, F.col(c)).otherwise(0).alias(c) for c in TOTALS])
+        *[F.when(entering, F.col(c)).alias(c) for c in HABITS],
+        *[moved(c, k).alias(f"{c}_{k}") for c, k in rolling])
 
 
-def _session_differences(fact: DataFrame) -> DataFrame:
+def _session_differences(fact: DataFrame, tasks: int) -> DataFrame:
     """Rows (user, day, sessions_k) that add up to the distinct sessions of
     the last k days."""
-    seen = (fact.filter(F.col("event_date").isNotNull() & F.col("user_session").isNotNull())
-            .select("user_sk", "user_session", F.col("event_date").alias("day")).distinct())
-    following = F.lead("day").over(Window.partitionBy("user_sk", "user_session").orderBy("day"))
+    keys = ("user_sk", "_bucket", "user_session", "day")
+    seen = (_dated(fact).filter(F.col("user_session").isNotNull())
+            .select("user_sk", F.pmod(F.hash("user_session"), F.lit(SESSION_BUCKETS)).alias("_bucket"), "user_session", "day", "_hour")
+            .repartition(tasks, "user_sk", "day", "_hour").distinct().select(*keys)
+            .repartition(tasks, "user_sk", "_bucket").distinct())
+    following = F.lead("day").over(Window.partitionBy("user_sk", "_bucket", "user_session").orderBy("day"))
     seen = seen.withColumn("_next", following)
     # a session's day is out when the window passes it, or its next day takes over
     enters = F.struct(F.col("day").alias("day"), *[F.lit(1).cast("long").alias(f"sessions_{k}") for k in SESSION_WINDOWS])
     leaves = [F.struct(F.least(F.date_add("day", k), F.col("_next")).alias("day"),
                        *[F.lit(-1 if j == k else 0).cast("long").alias(f"sessions_{j}") for j in SESSION_WINDOWS])
               for k in SESSION_WINDOWS]
-    return (seen.select("user_sk", F.explode(F.array(enters, *leaves)).alias("_d")).select("user_sk", "_d.*")
-            .groupBy("user_sk", "day").agg(*[F.sum(f"sessions_{k}").alias(f"sessions_{k}") for k in SESSION_WINDOWS]))
+    return (seen.select("user_sk", "_bucket", F.explode(F.array(enters, *leaves)).alias("_d")).select("user_sk", "_bucket", "_d.*")
+            .groupBy("user_sk", "_bucket", "day").agg(*[F.sum(f"sessions_{k}").alias(f"sessions_{k}") for k in SESSION_WINDOWS])
+            .drop("_bucket"))
 
 
 def user_feature_changes(fact: DataFrame, last_day=None) -> DataFrame:
@@ -97,29 +147,24 @@ def user_feature_changes(fact: DataFrame, last_day=None) -> DataFrame:
     day before the next (``valid_to``, inclusive; the last one ends on
     ``last_day``, by default the last day of ``fact``)."""
     end = fact.select(F.max("event_date")).scalar() if last_day is None else F.lit(last_day).cast("date")
-    moved, sessions = _differences(user_day_cells(fact)), _session_differences(fact)
-    amounts = [c for c in moved.columns if c not in ("user_sk", "day", "_active")]
+    tasks = _tasks(fact)
+    moved = _differences(_with_habits(user_day_cells(fact, tasks))).filter(F.col("day") <= end)
+    sessions = _session_differences(fact, tasks).filter(F.col("day") <= end).repartition(tasks, "user_sk")
+    amounts = [c for c in moved.columns if c not in ("user_sk", "day", "_active", *HABITS)]
     counted = [f"sessions_{k}" for k in SESSION_WINDOWS]
-    rows = moved.unionByName(sessions, allowMissingColumns=True)
-    per_day = rows.groupBy("user_sk", "day").agg(F.max("_active").alias("_active"), *[
+    rows = moved.unionByName(sessions, allowMissingColumns=True)  # both dealt by user
+    per_day = rows.groupBy("user_sk", "day").agg(*[F.max(c).alias(c) for c in ("_active", *HABITS)], *[
         F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*amounts, *counted)])
     days = Window.partitionBy("user_sk").orderBy("day")
     until = days.rowsBetween(Window.unboundedPreceding, 0)
     state = per_day.select("user_sk", "day", F.lead("day").over(days).alias("_next"), F.max("_active").over(until).alias("_last"),
+                           *[F.last(c, ignorenulls=True).over(until).alias(c) for c in HABITS],
                            *[F.sum(c).over(until).alias(c) for c in (*amounts, *counted)])
-    state = state.withColumn("_end", end).filter(F.col("day") <= F.col("_end"))
+    state = state.withColumn("_end", end)
 
     def money(c: Column | str) -> Column:
         return F.round(c, MONEY).cast("double")
 
-    def most(cols: list[str], labels: list) -> Column:
-        """The label with the greatest total (ties: the smallest label)."""
-        best = F.greatest(*cols)
-        ordered = sorted(zip(labels, cols), key=lambda x: x[0])
-        return reduce(lambda later, x: F.when(F.col(x[1]) == best, F.lit(x[0])).otherwise(later), reversed(ordered), F.lit(None))
-
-    week = [_weekday(d) for d in range(7)]
-    weekend, all_days = F.col(week[5]) + F.col(week[6]), reduce(Column.__add__, [F.col(c) for c in week])
     out = state.select(
         "user_sk", F.col("day").alias("valid_from"), F.coalesce(F.least(F.date_sub("_next", 1), "_end"), F.col("_end")).alias("valid_to"),
         F.col("_last").alias("last_event_date"),
@@ -128,9 +173,9 @@ def user_feature_changes(fact: DataFrame, last_day=None) -> DataFrame:
         money(F.col("revenue_7")).alias("revenue_last_7d"), money(F.col("revenue_30")).alias("revenue_last_30d"),
         F.col("purchases_30").cast("long").alias("purchases_last_30d"),
         ratio_avg("revenue_30", F.col("priced_30")).alias("avg_order_value_30d"),
-        most([_hour(h) for h in range(24)], list(range(24))).cast("int").alias("favorite_shopping_hour"),
-        most(week, WEEKDAYS).alias("preferred_day_of_week"),
-        (weekend * 2 > all_days).alias("is_weekend_shopper"),
+        F.col("_favorite").alias("favorite_shopping_hour"),
+        F.get(F.array(*[F.lit(d) for d in WEEKDAY_NAMES]), "_preferred").alias("preferred_day_of_week"),
+        F.col("_weekender").alias("is_weekend_shopper"),
         (F.col("events_14") - F.col("events_7")).alias("_events_prior"), money(F.col("revenue_60") - F.col("revenue_30")).alias("_revenue_prior"))
     return out.select(
         *[c for c in out.columns if not c.startswith("_")],

@@ -62,6 +62,31 @@ def test_daily_features_shuffle_days_not_events(spark):
     assert snapshots.user_daily_features(_fact(spark, rows), "2024-03-01").count() == 61
 
 
+def test_daily_features_tasks_grow_with_events(spark, monkeypatch):
+    """More events, more tasks: no step is left to a fixed number of partitions, a hot user (None) included."""
+    rnd = random.Random(7)
+    rows = [(rnd.choice([None, *range(40)]) if i % 4 else None, T0 + dt.timedelta(days=rnd.randrange(70), minutes=rnd.randrange(1440)),
+             rnd.choice(["view", "purchase", None]), rnd.choice(["a", "b", f"s{i}", None]), rnd.choice([1.25, 2.0, None])) for i in range(2000)]
+    fact = _fact(spark, rows)
+    small = sorted(map(str, snapshots.user_daily_features(fact).collect()))
+    monkeypatch.setattr(snapshots, "EVENTS_PER_TASK", 100)
+    daily = snapshots.user_daily_features(fact)
+    assert sorted(map(str, daily.collect())) == small
+    assert daily.rdd.getNumPartitions() == 20
+    plan = daily._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 5
+    plan = daily._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in "".join(x for x in plan.splitlines() if "ENSURE_REQUIREMENTS" in x)
+
+
+def test_daily_features_carry_no_totals_past_active_days(spark):
+    """Of a cell's columns only the windowed amounts are repeated for the days on which they leave a window."""
+    fact = _fact(spark, [(1, T0, "view", "a", None)])
+    moved = snapshots._differences(snapshots._with_habits(snapshots.user_day_cells(fact, 1)))
+    assert not set(snapshots.TOTALS) & set(moved.columns)
+    assert moved.filter("_favorite IS NOT NULL").count() == 1
+
+
 EVENTS = "user_sk int, event_id int, event_time timestamp, event_date date"
 
 
