@@ -27,6 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import MONEY, ratio_avg, safe_rate
+from .star import event_tasks
 
 EVENT_WINDOWS = (7, 14, 30)
 SESSION_WINDOWS = (7, 30)
@@ -49,17 +50,10 @@ TOTALS = [*(_hour(h) for h in range(24)), *(_weekday(d) for d in range(7))]
 HABITS = ("_favorite", "_preferred", "_weekender")
 WEEKDAY_NAMES = sorted(WEEKDAYS)
 
-#: Events for each task.
-EVENTS_PER_TASK = 100_000
 #: Parts into which a user's sessions are dealt.
 SESSION_BUCKETS = 64
 
 
-def _tasks(fact: DataFrame) -> int:
-    """Tasks for the events of ``fact`` (of a Parquet scan, only footers are read for it)."""
-    return max(1, -(-fact.count() // EVENTS_PER_TASK))
-
-
 def _dated(fact: DataFrame) -> DataFrame:
     return fact.filter(F.col("event_date").isNotNull()).withColumns({"day": F.col("event_date"), "_hour": F.hour("event_time")})
 
@@ -147,7 +141,7 @@ def user_feature_changes(fact: DataFrame, last_day=None) -> DataFrame:
     day before the next (``valid_to``, inclusive; the last one ends on
     ``last_day``, by default the last day of ``fact``)."""
     end = fact.select(F.max("event_date")).scalar() if last_day is None else F.lit(last_day).cast("date")
-    tasks = _tasks(fact)
+    tasks = event_tasks(fact)
     moved = _differences(_with_habits(user_day_cells(fact, tasks))).filter(F.col("day") <= end)
     sessions = _session_differences(fact, tasks).filter(F.col("day") <= end).repartition(tasks, "user_sk")
     amounts = [c for c in moved.columns if c not in ("user_sk", "day", "_active", *HABITS)]

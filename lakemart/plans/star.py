@@ -18,6 +18,14 @@ from ..session import checkpoint_dir
 from ..sources.events import bronze_from_tables
 
 CALENDAR_BUFFER_DAYS = 365
+#: Events for each task, where a step holds what is left of them in memory.
+EVENTS_PER_TASK = 100_000
+
+
+def event_tasks(events: DataFrame) -> int:
+    """Number of tasks that grows with the events (of a Parquet scan, only
+    footers are read for it)."""
+    return max(1, -(-events.count() // EVENTS_PER_TASK))
 
 
 def dim_date(spark: SparkSession, bronze: DataFrame, buffer_days: int = CALENDAR_BUFFER_DAYS) -> DataFrame:
@@ -87,9 +95,11 @@ def dim_products(bronze: DataFrame, categories: DataFrame, load_ts=None) -> Data
 def user_activity(bronze: DataFrame) -> DataFrame:
     """Per-user activity counts. Two-level aggregate: (user, date, type)
     counts first (partial aggregation collapses hot users before the
-    shuffle), then the per-user distincts run on that small frame."""
-    return _activity(bronze.filter(F.col("user_id").isNotNull())
-                     .groupBy("user_id", "event_date", "event_type").agg(F.count(F.lit(1)).alias("n")))
+    shuffle), then the per-user distincts, which hold each row once for each
+    of them, run on that frame, dealt by user."""
+    days = (bronze.filter(F.col("user_id").isNotNull())
+            .groupBy("user_id", "event_date", "event_type").agg(F.count(F.lit(1)).alias("n")))
+    return _activity(days.repartition(event_tasks(bronze), "user_id"))
 
 
 def _activity(lvl1: DataFrame) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import Window, functions as F
 
 from lakemart.operators.windows import medians_in, ntiles_global, sessionize
-from lakemart.plans import session_state as SS, snapshots
+from lakemart.plans import session_state as SS, snapshots, star
 
 T0 = dt.datetime(2024, 1, 1)
 FACT = "user_sk int, event_time timestamp, event_date date, event_type string, user_session string, revenue double"
@@ -69,7 +70,7 @@ def test_daily_features_tasks_grow_with_events(spark, monkeypatch):
              rnd.choice(["view", "purchase", None]), rnd.choice(["a", "b", f"s{i}", None]), rnd.choice([1.25, 2.0, None])) for i in range(2000)]
     fact = _fact(spark, rows)
     small = sorted(map(str, snapshots.user_daily_features(fact).collect()))
-    monkeypatch.setattr(snapshots, "EVENTS_PER_TASK", 100)
+    monkeypatch.setattr(star, "EVENTS_PER_TASK", 100)
     daily = snapshots.user_daily_features(fact)
     assert sorted(map(str, daily.collect())) == small
     assert daily.rdd.getNumPartitions() == 20
@@ -87,6 +88,18 @@ def test_daily_features_carry_no_totals_past_active_days(spark):
     assert moved.filter("_favorite IS NOT NULL").count() == 1
 
 
+def test_user_activity_tasks_grow_with_events(spark, monkeypatch):
+    """The distincts of a user are counted in tasks dealt by user, not in those left over from the counts before."""
+    rows = [(u, (T0 + dt.timedelta(days=d)).date(), e) for u in (None, *range(1, 30)) for d in range(u or 9) for e in ("view", "purchase", None)]
+    bronze = spark.createDataFrame(rows, "user_id long, event_date date, event_type string")
+    monkeypatch.setattr(star, "EVENTS_PER_TASK", 100)
+    users = star.user_activity(bronze)
+    plan = users._jdf.queryExecution().sparkPlan().toString()
+    assert re.search(rf"hashpartitioning\(user_id#\d+L?, {-(-len(rows) // 100)}\), REPARTITION_BY_NUM", plan)
+    got = {r.user_id: (r.total_events, r.event_types_count, r.active_days, r.purchase_count) for r in users.collect()}
+    assert got == {u: (3 * u, 2, u, u) for u in range(1, 30)}
+
+
 EVENTS = "user_sk int, event_id int, event_time timestamp, event_date date"
 
 
